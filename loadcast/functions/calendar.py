@@ -40,31 +40,40 @@ def _iso_weekday(d: Column) -> Column:
     return F.pmod(F.dayofweek(d) + 5, F.lit(7)) + 1
 
 
-def _observed(actual: Column) -> Column:
-    wd = _iso_weekday(actual)
-    return (F.when(wd == 6, F.date_sub(actual, 1))
-            .when(wd == 7, F.date_add(actual, 1))
-            .otherwise(actual))
+def _month_day(d: Column) -> Column:
+    return F.month(d) * 100 + F.dayofmonth(d)
 
 
 def is_federal_holiday(d: Column) -> Column:
-    """True when date ``d`` is an observed US federal holiday (NULL date -> false)."""
-    y, m, dom, wd = F.year(d), F.month(d), F.dayofmonth(d), _iso_weekday(d)
-    tests = []
-    for _, month, day, first in FIXED_DATE_HOLIDAYS:
-        # A holiday early in January can be observed on 31 December of the year before.
-        years = [y, y + 1] if month == 1 else [y]
-        for yy in years:
-            t = d == _observed(F.make_date(yy, F.lit(month), F.lit(day)))
+    """True when date ``d`` is an observed US federal holiday (NULL date -> false).
+
+    A fixed-date holiday is observed on its own date when that is a weekday, on the Friday
+    before when it falls on a Saturday, and on the Monday after when it falls on a Sunday;
+    so ``d`` is observed when it is a weekday holiday, a Friday before one, or a Monday
+    after one. Compact on purpose: the test runs per row inside generated code.
+    """
+    wd, dom = _iso_weekday(d), F.dayofmonth(d)
+
+    def fixed(md: Column, on: Column) -> Column:
+        hits = []
+        for _, month, day, first in FIXED_DATE_HOLIDAYS:
+            t = md == month * 100 + day
             if first:
-                t = t & (d >= F.lit(first).cast("date"))
-            tests.append(t)
+                t = t & (on >= F.lit(first).cast("date"))
+            hits.append(t)
+        out = hits[0]
+        for h in hits[1:]:
+            out = out | h
+        return out
+
+    tests = [
+        (wd <= 5) & fixed(_month_day(d), d),
+        (wd == 5) & fixed(_month_day(F.date_add(d, 1)), d),
+        (wd == 1) & fixed(_month_day(F.date_sub(d, 1)), d),
+    ]
     for _, month, weekday, nth in FLOATING_HOLIDAYS:
-        if nth > 0:
-            in_week = F.floor((dom - 1) / 7) == nth - 1
-        else:
-            in_week = F.date_add(d, 7) > F.last_day(d)
-        tests.append((m == month) & (wd == weekday) & in_week)
+        in_week = (dom > F.dayofmonth(F.last_day(d)) - 7) if nth < 0 else (F.floor((dom - 1) / 7) == nth - 1)
+        tests.append((F.month(d) == month) & (wd == weekday) & in_week)
     out = tests[0]
     for t in tests[1:]:
         out = out | t

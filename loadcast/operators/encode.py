@@ -46,11 +46,13 @@ def split_by_levels(indexer: StringIndexerModel) -> tuple[list[str], list[str]]:
     return only, encode
 
 
-def fit_encoder(indexed: DataFrame, encode: list[str]) -> OneHotEncoderModel | None:
+def fit_encoder(indexed: DataFrame, encode: list[str], handle_invalid: str = "skip") -> OneHotEncoderModel | None:
+    """One-hot with the last level dropped. Only when the indexer keeps unseen levels (as
+    an extra index) does the encoder keep them too, as an all-zero vector."""
     if not encode:
         return None
-    return OneHotEncoder(inputCols=encode, outputCols=[c + "_encoded" for c in encode],
-                         dropLast=True, handleInvalid="keep").fit(indexed)
+    return OneHotEncoder(inputCols=encode, outputCols=[c + "_encoded" for c in encode], dropLast=True,
+                         handleInvalid="keep" if handle_invalid == "keep" else "error").fit(indexed)
 
 
 def lag_assembler() -> VectorAssembler:
@@ -102,7 +104,7 @@ def fit_features(fit_rows: DataFrame, handle_invalid: str = "skip") -> FeatureMo
     indexer = fit_indexer(rows, handle_invalid)
     only, encode = split_by_levels(indexer)
     indexed = indexer.transform(rows)
-    encoder = fit_encoder(indexed, encode)
+    encoder = fit_encoder(indexed, encode, handle_invalid)
     scaler = fit_scaler(lag_assembler().transform(indexed))
     return FeatureModel(indexer, encoder, scaler, only, encode)
 
@@ -114,13 +116,12 @@ def scaled_columns(df: DataFrame, vector: str = SCALED_VECTOR) -> DataFrame:
 
 
 def one_hot_long(encoded: DataFrame, encode: list[str], key: str = "key") -> DataFrame:
-    """Long form of the one-hot vectors: (key, feature, position, value) for each set slot."""
-    parts = []
-    for c in encode:
-        parts.append(encoded.select(
-            F.col(key), F.lit(c).alias("feature"),
-            F.posexplode(vector_to_array(F.col(c + "_encoded"))).alias("position", "value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.where(F.col("value") != 0).withColumn("position", F.col("position").cast("int"))
+    """Long form of the one-hot vectors: (key, feature, position, value) for each set slot.
+    One pass: all vectors of a row go into one array that is exploded once."""
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"),
+                                 vector_to_array(F.col(c + "_encoded")).alias("v")) for c in encode])
+    return (encoded.select(F.col(key), F.explode(entries).alias("e"))
+            .select(F.col(key), F.col("e.feature").alias("feature"),
+                    F.posexplode(F.col("e.v")).alias("position", "value"))
+            .where(F.col("value") != 0)
+            .withColumn("position", F.col("position").cast("int")))

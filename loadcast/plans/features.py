@@ -58,14 +58,21 @@ def encode_features(features: DataFrame, model: FeatureModel) -> DataFrame:
     return out.select(*keep, *INDEXED_COLUMNS, *vectors, *SCALED_COLUMNS)
 
 
-def build_feature_table(spark: SparkSession, sessions: DataFrame, cfg: RunConfig,
-                        path: str) -> tuple[FeatureModel, DataFrame]:
-    """Fit the encoders, write the feature table to ``path`` and read it back.
+def stage_hourly_features(spark: SparkSession, sessions: DataFrame, cfg: RunConfig, path: str) -> DataFrame:
+    """Compute the hourly features once and keep them as parquet in the shared folder.
 
-    The write cuts the lineage: training and evaluation restart from the parquet files,
-    not from the sessions, and a lost executor only costs re-reading a file split.
+    The fits (indexer, scaler) and the final write each read this table instead of
+    recomputing from the raw sessions; it also cuts the lineage, so a lost executor
+    costs re-reading a file split rather than re-aggregating the sessions.
     """
-    feats = hourly_features(sessions, cfg)
+    hourly_features(sessions, cfg).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def build_feature_table(spark: SparkSession, sessions: DataFrame, cfg: RunConfig,
+                        path: str) -> tuple[FeatureModel, DataFrame]:
+    """Fit the encoders, write the feature table to ``path`` and read it back."""
+    feats = stage_hourly_features(spark, sessions, cfg, path + "-hourly")
     model = fit_features(fit_rows(feats, cfg), cfg.handle_invalid)
     encode_features(feats, model).write.mode("overwrite").parquet(path)
     return model, spark.read.parquet(path)
