@@ -65,8 +65,12 @@ def filter_servers(sessions: DataFrame, servers) -> DataFrame:
 
 
 def sessions_from_events(events: DataFrame) -> DataFrame:
-    """Map the ``events`` table onto the session log (one session per event)."""
-    k = F.get_json_object("props", "$.k").cast("long")
+    """Map the ``events`` table onto the session log (one session per event).
+
+    ``k`` is parsed from the JSON once, in its own projection (Catalyst does not merge a
+    projection into one that would repeat an expensive expression)."""
+    events = events.withColumn("_k", F.get_json_object("props", "$.k").cast("long"))
+    k = F.col("_k")
     v = F.col("value")
     by_type = {"click": 1, "purchase": 2, "error": 3, "signup": 4, "view": 5}
     sub = {n: F.when(F.col("event_type") == t, v).otherwise(F.lit(0.0)) for t, n in by_type.items()}
