@@ -39,10 +39,15 @@ def horizon(score_begin: str) -> dict[str, str]:
 
 
 def write_statistics(hourly: DataFrame, hourly_path: str, daily_path: str) -> None:
-    """Hourly peaks and their daily means, stored by (year, month)."""
-    hourly = hourly if "SessionStartDay" in hourly.columns else with_day(hourly)
+    """Hourly peaks and their daily means, stored by (year, month).
+
+    The daily means are computed from the hourly table just written, so the sessions are
+    aggregated once for both tables.
+    """
     write_stats(hourly_stats(hourly.drop("SessionStartDay")), hourly_path)
-    write_stats(daily_stats(daily_mean(hourly)), daily_path)
+    stored = hourly.sparkSession.read.parquet(hourly_path)
+    write_stats(daily_stats(daily_mean(with_day(stored.select("ServerIP", "SessionStartHourTime",
+                                                              *PEAK_COLUMNS)))), daily_path)
 
 
 def stats_for_score(spark: SparkSession, hourly_path: str, daily_path: str, score_begin: str,

@@ -370,26 +370,31 @@ UNION ALL SELECT 'servers', count(DISTINCT ServerIP) FROM hourly
 UNION ALL SELECT 'train_rows', count(*) FROM hourly WHERE SessionStartHourTime < TIMESTAMP '{cfg.test_split_start}'
 UNION ALL SELECT 'test_rows', count(*) FROM hourly WHERE SessionStartHourTime >= TIMESTAMP '{cfg.test_split_start}'"""))
 def q_row_counts(spark, d):
-    """Size of each stage, one (metric, n) row per count."""
+    """Size of each stage, one (metric, n) row per count.
+
+    The sessions are read and rolled up once: the five-minute rollup of the raw log
+    (cleaning drops rows by server, a grouping key, so it commutes with the rollup) is
+    staged as parquet in the shared folder, and every count is taken from that table.
+    """
     cfg = cfg_of(d)
-    raw = sessions_from_events(table(spark, d, "events"))
-    clean = clean_sessions(raw)
-    roll = five_min_rollup(clean)
+    path = scratch_path(spark, "rollup-all")
+    five_min_rollup(sessions_from_events(table(spark, d, "events"))).write.mode("overwrite").parquet(path)
+    roll_all = spark.read.parquet(path)
+    roll = clean_sessions(roll_all)
     h = hourly_peak(roll)
     split = F.col("SessionStartHourTime") < ntz(cfg.test_split_start)
     one = F.count(F.lit(1))
-    parts = [
-        raw.agg(F.lit("sessions").alias("metric"), one.alias("n")),
-        clean.agg(F.lit("clean_sessions").alias("metric"), one.alias("n")),
-        roll.agg(F.lit("five_min_rows").alias("metric"), one.alias("n")),
-        h.agg(F.lit("hourly_rows").alias("metric"), one.alias("n")),
-        daily_mean(h).agg(F.lit("server_days").alias("metric"), one.alias("n")),
-        h.agg(F.lit("servers").alias("metric"), F.count_distinct("ServerIP").alias("n")),
-        h.where(split).agg(F.lit("train_rows").alias("metric"), one.alias("n")),
-        h.where(~split).agg(F.lit("test_rows").alias("metric"), one.alias("n")),
+    stages = [
+        roll_all.agg(F.sum("NumSession").alias("sessions")),
+        roll.agg(F.sum("NumSession").alias("clean_sessions"), one.alias("five_min_rows")),
+        h.agg(one.alias("hourly_rows"), F.count_distinct("ServerIP").alias("servers"),
+              F.count(F.when(split, 1)).alias("train_rows"), F.count(F.when(~split, 1)).alias("test_rows")),
+        daily_mean(h).agg(one.alias("server_days")),
     ]
-    out = parts[0]
-    for p in parts[1:]:
+    long = [st.select(*[F.col(c).cast("long").alias(c) for c in st.columns])
+            .unpivot([], st.columns, "metric", "n") for st in stages]
+    out = long[0]
+    for p in long[1:]:
         out = out.unionByName(p)
     return out
 
