@@ -29,8 +29,11 @@ def train_test(df: DataFrame, cfg: RunConfig, ts: str = "SessionStartHourTime"):
 
 
 def forest(features: str = "features", label: str = "label") -> RandomForestClassifier:
+    """100 trees, depth 8, gini, 32 bins, seed 42. Node ids are cached between levels
+    (checkpointed every 10 iterations to the shared folder), so deep trees do not
+    re-route every row from the root at each level; the fitted trees are the same."""
     return RandomForestClassifier(numTrees=RF_NUM_TREES, maxDepth=RF_MAX_DEPTH, seed=RF_SEED,
-                                  impurity="gini", maxBins=32,
+                                  impurity="gini", maxBins=32, cacheNodeIds=True, checkpointInterval=10,
                                   featuresCol=features, labelCol=label)
 
 
