@@ -146,6 +146,12 @@ EVENTS = RunConfig("2024-01-01 00:00:00", "2024-01-30 23:59:59", "2024-01-29 00:
                    score_begin="2024-01-29 00:00:00")
 
 
+# Long-history fixture: `lineitem` as a daily session log, 1995-2001, processed the way the
+# original training ETL did (lags and rolling means over observed rows).
+LINEITEM = RunConfig("1995-01-01 00:00:00", "2001-12-31 23:59:59", "2001-01-01 00:00:00",
+                     low=10.0, high=30.0, lag_mode="observed", score_begin="2001-01-01 00:00:00")
+
+
 def events_config(sf_dir: str) -> RunConfig:
     """Fixture config for an ``.../sf<scale>`` directory."""
     m = re.search(r"sf([0-9.]+)/?$", sf_dir.rstrip("/"))

@@ -13,16 +13,24 @@ from .config import (DAILY_COLUMNS, FIVE_MIN_SUMS, HOURLY_LAGS, INDEX_COLUMNS, L
                      SECONDS_PER_YEAR, RunConfig)
 from .functions.calendar import FIXED_DATE_HOLIDAYS, FLOATING_HOLIDAYS
 
-R = 6  # decimal places
-# Values are nudged by this relative amount before rounding, on both sides, so that an
-# exact half-way value computed one ulp low by one engine still rounds like the other.
+R = 6  # decimal places for values below 1e3
+# Doubles are compared after rounding to a scale that shrinks with magnitude (6 decimals
+# below 1e3, 4 below 1e5, 2 below 1e7, else 0), so the last bits that two engines sum in
+# a different order never reach the compared digits. Values are nudged by NUDGE
+# (relative) first, on both sides, so an exact half-way value computed one ulp low by one
+# engine still rounds like the other.
 NUDGE = 1e-12
+SCALES = [(1e3, 6), (1e5, 4), (1e7, 2)]
+LAST_SCALE = 0
 
 
 def r6(expr: str) -> str:
-    """Round half away from zero on the decimal value, as Spark's ``round`` does
-    (DuckDB's ``round`` on a double works on the binary value instead)."""
-    return f"CAST(round(CAST(({expr}) * (1 + {NUDGE}) AS DECIMAL(38, 18)), {R}) AS DOUBLE)"
+    """Round as Spark's ``round`` does (half away from zero on the decimal value; DuckDB's
+    ``round`` on a double works on the binary value instead), at the magnitude's scale."""
+    def at(scale: int) -> str:
+        return f"CAST(round(CAST(({expr}) * (1 + {NUDGE}) AS DECIMAL(38, 18)), {scale}) AS DOUBLE)"
+    whens = " ".join(f"WHEN abs({expr}) < {lim} THEN {at(sc)}" for lim, sc in SCALES)
+    return f"(CASE {whens} ELSE {at(LAST_SCALE)} END)"
 
 
 def rnd(expr: str, alias: str) -> str:
@@ -165,16 +173,18 @@ def label_sql(x: str, cfg: RunConfig) -> str:
 
 # ---- the feature table ------------------------------------------------------------------
 
-def base_ctes() -> list[tuple[str, str]]:
-    return [("raw_sessions", RAW_SESSIONS), ("sessions", SESSIONS), ("rollup", rollup_sql()),
+def base_ctes(source: str = "events") -> list[tuple[str, str]]:
+    """Session log (from ``events`` or ``lineitem``) -> five-minute rollup -> hourly peaks."""
+    raw = RAW_SESSIONS if source == "events" else LINEITEM_SESSIONS
+    return [("raw_sessions", raw), ("sessions", SESSIONS), ("rollup", rollup_sql()),
             ("hourly", hourly_sql())]
 
 
-def features_ctes(cfg: RunConfig) -> list[tuple[str, str]]:
-    """Hourly features (calendar mode), NULL lags as 0."""
+def features_ctes(cfg: RunConfig, source: str = "events") -> list[tuple[str, str]]:
+    """Hourly features in the run's lag mode, NULL lags as 0."""
     mode = cfg.lag_mode
     fill = ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in ROLLING_COLUMNS + LAG_COLUMNS)
-    return base_ctes() + [
+    return base_ctes(source) + [
         ("daily", daily_sql()),
         ("rolling", rolling_sql("daily", mode)),
         ("lagged", lags_sql("hourly", mode)),

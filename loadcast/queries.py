@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from . import oracle as O
 from .config import (DAILY_COLUMNS, INDEX_COLUMNS, INDEXED_COLUMNS, LAG_COLUMNS, PEAK_COLUMNS,
-                     ROLLING_COLUMNS, SCALED_COLUMNS, SUM_COLUMNS, RunConfig, events_config)
+                     LINEITEM, ROLLING_COLUMNS, SCALED_COLUMNS, SUM_COLUMNS, RunConfig, events_config)
 from .functions.calendar import add_calendar, calendar_columns, is_federal_holiday
 from .functions.labels import drop_null_keys, fill_numeric, load_label
 from .functions.timegrid import DAY, FIVE_MINUTES, HOUR, floor_ts, grid_points, ntz
@@ -38,9 +38,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---- helpers ------------------------------------------------------------------------------
 
-def rounded(df: DataFrame, places: int = O.R) -> DataFrame:
-    """Doubles rounded half-up to ``places`` (after the shared relative nudge, see oracle)."""
-    return df.select(*[F.round(F.col(f.name) * F.lit(1 + O.NUDGE), places).alias(f.name)
+def round_double(c: F.Column) -> F.Column:
+    """Half-up rounding at a scale that shrinks with magnitude (see ``oracle.SCALES``)."""
+    x, a = c * F.lit(1 + O.NUDGE), F.abs(c)
+    out = F.round(x, O.LAST_SCALE)
+    for lim, sc in reversed(O.SCALES):
+        out = F.when(a < F.lit(lim), F.round(x, sc)).otherwise(out)
+    return out
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles rounded for comparison with the SQL oracle (which rounds the same way)."""
+    return df.select(*[round_double(F.col(f.name)).alias(f.name)
                        if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -412,8 +421,8 @@ def _ft_final(cols: list[str]) -> str:
                     for c in cols], "scaled")
 
 
-def _ft_sql(cfg: RunConfig, cols: list[str]) -> str:
-    return O.with_(O.features_ctes(cfg) + O.index_ctes("features") +
+def _ft_sql(cfg: RunConfig, cols: list[str], source: str = "events") -> str:
+    return O.with_(O.features_ctes(cfg, source) + O.index_ctes("features") +
                    [("scaled", f"SELECT *, {O.scaled_select()} FROM indexed")], _ft_final(cols))
 
 
@@ -431,6 +440,33 @@ def q_feature_table(spark, d):
     return rounded(table_.select(*_FT_COLS))
 
 
+def lineitem_sessions(spark, d) -> DataFrame:
+    return clean_sessions(sessions_from_lineitem(table(spark, d, "lineitem")))
+
+
+_LONG_COLS = (FT.HOUR_KEYS + PEAK_COLUMNS + ["year", "month", "weekofyear", "dayofmonth", "hourofday",
+                                            "dayofweek", "SessionStartDay", "linearTrend", "date", "Holiday",
+                                            "BusinessHour", "Morning"] + ROLLING_COLUMNS + LAG_COLUMNS)
+
+
+@register("long_history_features", O.with_(O.features_ctes(LINEITEM, "lineitem"),
+                                           O.final([(c, c in set(PEAK_COLUMNS + ROLLING_COLUMNS + LAG_COLUMNS
+                                                                 + ["linearTrend"])) for c in _LONG_COLS],
+                                                   "features")))
+def q_long_history_features(spark, d):
+    """Seven years of daily history (lineitem): hourly features with lags and rolling means
+    over observed rows, as the original training ETL built them (lag 730 is populated)."""
+    return rounded(FT.hourly_features(lineitem_sessions(spark, d), LINEITEM).select(*_LONG_COLS))
+
+
+@register("long_history_feature_table", _ft_sql(LINEITEM, _FT_COLS, "lineitem"))
+def q_long_history_feature_table(spark, d):
+    """Feature table of the long history: multi-level year, month and week indexes."""
+    _, table_ = FT.build_feature_table(spark, lineitem_sessions(spark, d), LINEITEM,
+                                       scratch_path(spark, "feature-table-long"))
+    return rounded(table_.select(*_FT_COLS))
+
+
 @register("string_index", lambda cfg: _ft_sql(cfg, ["key"] + INDEXED_COLUMNS))
 def q_string_index(spark, d):
     _, feats, fm = _features(spark, d)
