@@ -68,8 +68,9 @@ def sessions_from_events(events: DataFrame) -> DataFrame:
     """Map the ``events`` table onto the session log (one session per event).
 
     ``k`` is parsed from the JSON once, in its own projection (Catalyst does not merge a
-    projection into one that would repeat an expensive expression)."""
-    events = events.withColumn("_k", F.get_json_object("props", "$.k").cast("long"))
+    projection into one that would repeat an expensive expression); a malformed value
+    becomes NULL, as a malformed CSV field does."""
+    events = events.withColumn("_k", F.get_json_object("props", "$.k").try_cast("long"))
     k = F.col("_k")
     v = F.col("value")
     by_type = {"click": 1, "purchase": 2, "error": 3, "signup": 4, "view": 5}

@@ -147,3 +147,16 @@ def test_score_horizon():
     h = horizon("2016-07-01 00:00:00")
     assert h == {"score_begin": "2016-07-01 00:00:00", "score_end": "2016-07-02 23:59:59",
                  "feature_begin": "2016-05-31 13:30:01", "feature_end": "2016-06-30 23:59:59"}
+
+
+def test_glob_scan_over_partitioned_folders(spark):
+    """Session files laid out as year/month/container/part (S2), read with one glob."""
+    base = scratch_path(spark, "edge-glob")
+    rows = {"2016/05/a/0": "10.0.0.1", "2016/06/a/0": "10.0.0.2", "2016/06/b/3": "10.0.0.3",
+            "2015/06/c/0": "10.0.0.4"}
+    for sub, server in rows.items():
+        os.makedirs(f"{base}/{sub}")
+        with open(f"{base}/{sub}/request.csv", "w") as f:
+            f.write(f"web,2016-06-01 00:00:12,,1,1.0,A,1,x,0,0,0,0,0,0,2.0,{server},1.2.3.4\n")
+    got = read_sessions_csv(spark, f"{base}/201[0-9]/0[5-6]/[a,b]/[0-6]/request.csv")
+    assert sorted(r.ServerIP for r in got.collect()) == ["10.0.0.1", "10.0.0.2", "10.0.0.3"]
