@@ -99,3 +99,11 @@ def score_batch(model: PipelineModel, features: DataFrame) -> DataFrame:
     """Predicted load class per server-hour (rows with unseen levels are skipped)."""
     from ..operators.encode import prepare_for_index
     return model.transform(prepare_for_index(features)).select("ServerIP", "SessionStartHourTime", "prediction")
+
+
+def run_scoring(spark: SparkSession, model: PipelineModel, cfg: RunConfig, hourly_path: str,
+                daily_path: str, servers=None) -> DataFrame:
+    """Predictions for the 48 hours from ``cfg.score_begin`` for the given servers (a list
+    or a one-column DataFrame of ``ServerIP``), or for every server in the statistics."""
+    hs, ds = stats_for_score(spark, hourly_path, daily_path, cfg.score_begin, servers)
+    return score_batch(model, score_features(hs, ds, cfg))

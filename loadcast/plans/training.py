@@ -57,3 +57,15 @@ def save_model(spark: SparkSession, model: PipelineModel, fm: FeatureModel, cfg:
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     info = spark.read.json(f"{path}/info").first().asDict()
     return PipelineModel.load(f"{path}/pipeline"), info
+
+
+def run_training(spark: SparkSession, sessions: DataFrame, cfg: RunConfig, feature_path: str,
+                 model_path: str) -> DataFrame:
+    """Feature table -> forest -> metrics per split; model and run info saved.
+
+    Returns the metrics (one row per split)."""
+    from .features import build_feature_table
+    fm, table = build_feature_table(spark, sessions, cfg, feature_path)
+    model, rf = train(table, fm, cfg)
+    save_model(spark, model, fm, cfg, model_path)
+    return evaluate(predictions(table, rf, fm, cfg))
