@@ -50,33 +50,29 @@ def classification_metrics(pred: DataFrame, group: list[str] | None = None,
                            label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Accuracy and label-frequency-weighted precision, recall and F1 per group.
 
-    Computed from the confusion counts: one aggregation to (group, label, prediction)
-    cells, so only the tiny matrix moves after the partial aggregate. Same definitions as
-    ``MulticlassClassificationEvaluator`` (a class never predicted has precision 0).
+    Same definitions as ``MulticlassClassificationEvaluator``. One aggregation reduces the
+    predictions to confusion cells (group, label, prediction, n); windows over those few
+    cells give each class's label and prediction counts; one more aggregation sums the
+    diagonal. A class with no correct prediction has precision, recall and F1 of 0, so it
+    adds nothing to the weighted sums and needs no row of its own.
     """
     g = list(group or [])
     cells = (pred.groupBy(*g, F.col(label).cast("double").alias("y"),
                           F.col(prediction).cast("double").alias("p"))
              .agg(F.count(F.lit(1)).alias("n")))
     by_g = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
-    by_y = Window.partitionBy(*g, "y")
-    by_p = Window.partitionBy(*g, "p")
     cells = cells.withColumns({
         "total": F.sum("n").over(by_g),
-        "label_n": F.sum("n").over(by_y),
-        "pred_n": F.sum("n").over(by_p),
+        "label_n": F.sum("n").over(Window.partitionBy(*g, "y")),
+        "pred_n": F.sum("n").over(Window.partitionBy(*g, "p")),
     })
-    per_label = (cells.where(F.col("y") == F.col("p"))
-                 .select(*g, "y", "total", "label_n",
-                         (F.col("n") / F.col("pred_n")).alias("prec"),
-                         (F.col("n") / F.col("label_n")).alias("rec"), F.col("n").alias("tp")))
-    labels = cells.select(*g, "y", "total", "label_n").distinct()
-    per_label = labels.join(per_label.select(*g, "y", "prec", "rec", "tp"), g + ["y"], "left").fillna(0.0, ["prec", "rec", "tp"])
-    f1 = F.when(F.col("prec") + F.col("rec") == 0, F.lit(0.0)).otherwise(
-        2 * F.col("prec") * F.col("rec") / (F.col("prec") + F.col("rec")))
+    hit = F.col("y") == F.col("p")
+    prec, rec = F.col("n") / F.col("pred_n"), F.col("n") / F.col("label_n")
     w = F.col("label_n") / F.col("total")
-    return (per_label.groupBy(*g).agg(
-        (F.sum("tp") / F.first("total")).alias("accuracy"),
-        F.sum(w * F.col("prec")).alias("weightedPrecision"),
-        F.sum(w * F.col("rec")).alias("weightedRecall"),
-        F.sum(w * f1).alias("f1")))
+    f1 = 2 * prec * rec / (prec + rec)
+    zero = F.lit(0.0)
+    return cells.groupBy(*g).agg(
+        (F.sum(F.when(hit, F.col("n")).otherwise(0)) / F.first("total")).alias("accuracy"),
+        F.sum(F.when(hit, w * prec).otherwise(zero)).alias("weightedPrecision"),
+        F.sum(F.when(hit, w * rec).otherwise(zero)).alias("weightedRecall"),
+        F.sum(F.when(hit, w * f1).otherwise(zero)).alias("f1"))

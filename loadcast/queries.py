@@ -62,6 +62,14 @@ def hourly(spark, d) -> DataFrame:
     return hourly_peak(five_min_rollup(sessions(spark, d)))
 
 
+def staged_hourly(spark, d) -> DataFrame:
+    """Hourly peaks written once to the shared folder, for queries that use them twice
+    (the sessions are then scanned and aggregated once)."""
+    path = scratch_path(spark, "hourly")
+    with_day(hourly(spark, d)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cfg_of(d) -> RunConfig:
     return events_config(d)
 
@@ -212,7 +220,7 @@ def q_grid_outer_join(spark, d):
 def q_gap_fill_hourly(spark, d):
     """Every server x every hour of the run range, peaks NULL where the hour had no data."""
     cfg = cfg_of(d)
-    h = hourly(spark, d)
+    h = staged_hourly(spark, d).drop("SessionStartDay")
     grid = server_grid(h.select("ServerIP").distinct(), ntz(cfg.train_begin), ntz(cfg.train_end), HOUR,
                        out="SessionStartHourTime")
     return rounded(gap_fill(grid, h.drop("key"), ["ServerIP", "SessionStartHourTime"]))
@@ -228,7 +236,7 @@ def q_gap_fill_hourly(spark, d):
   LEFT JOIN daily dl ON dl.ServerIP = s.ServerIP AND dl.SessionStartDay = g.ts)""")))
 def q_gap_fill_daily(spark, d):
     cfg = cfg_of(d)
-    h = hourly(spark, d)
+    h = staged_hourly(spark, d)
     grid = server_grid(h.select("ServerIP").distinct(), ntz(cfg.train_begin), ntz(cfg.train_end), DAY,
                        out="SessionStartDay")
     return rounded(gap_fill(grid, daily_mean(h), ["ServerIP", "SessionStartDay"]))
@@ -291,7 +299,7 @@ _J2_COLS = ["key", "ServerIP", "SessionStartHourTime", "SessionStartDay", "peakL
   FROM hourly h LEFT JOIN rolling r
     ON r.ServerIP = h.ServerIP AND r.SessionStartDay = date_trunc('day', h.SessionStartHourTime))""")))
 def q_hourly_with_daily_lags(spark, d):
-    h = with_day(hourly(spark, d))
+    h = staged_hourly(spark, d)
     rolling = rolling_daily_mean(daily_mean(h), "observed")
     return rounded(join_daily_lags(h, rolling).select(*_J2_COLS))
 

@@ -19,6 +19,9 @@ RECOMMENDED_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Large input splits: the raw-session scan is the only step whose task count grows
+    # with the data, and its partial aggregate keeps shuffle output small per task.
+    "spark.sql.files.maxPartitionBytes": "512m",
 }
 
 

@@ -28,8 +28,12 @@ def daily_stats(daily: DataFrame) -> DataFrame:
 
 
 def write_stats(stats: DataFrame, path: str) -> None:
-    """Overwrite the months present in ``stats`` (dynamic partition overwrite), keep others."""
-    (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Overwrite the months present in ``stats`` (dynamic partition overwrite), keep others.
+
+    Rows are clustered by month first, so each month folder gets the files of one task
+    rather than one small file from every task (a month holds servers x 744 rows)."""
+    (stats.repartition(*PARTITION_COLUMNS).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
 
