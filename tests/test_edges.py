@@ -160,3 +160,27 @@ def test_glob_scan_over_partitioned_folders(spark):
             f.write(f"web,2016-06-01 00:00:12,,1,1.0,A,1,x,0,0,0,0,0,0,2.0,{server},1.2.3.4\n")
     got = read_sessions_csv(spark, f"{base}/201[0-9]/0[5-6]/[a,b]/[0-6]/request.csv")
     assert sorted(r.ServerIP for r in got.collect()) == ["10.0.0.1", "10.0.0.2", "10.0.0.3"]
+
+
+def test_month_crossing_score_window_reads_two_months(spark):
+    """Scoring 2016-07-01 needs 2016-05-31 13:00 .. 2016-06-30 23:00: May and June only."""
+    from loadcast.plans import scoring as SC
+    hours = spark.sql("""SELECT explode(sequence(TIMESTAMP_NTZ'2016-04-20 00:00:00', TIMESTAMP_NTZ'2016-07-10 00:00:00',
+                                            INTERVAL 1 HOUR)) AS SessionStartHourTime""")
+    hourly = hours.select(F.lit("s1").alias("ServerIP"), "SessionStartHourTime",
+                          *[F.lit(1.0).alias(c) for c in ["peakLoad", "peakBytes", "peakLoad1", "peakLoad2",
+                                                          "peakLoad3", "peakLoad4", "peakLoad5", "peakLoadSecure"]])
+    hourly = hourly.withColumn("key", F.lit("k"))
+    hp, dp = scratch_path(spark, "mc-h"), scratch_path(spark, "mc-d")
+    SC.write_statistics(hourly, hp, dp)
+    hs, ds = SC.stats_for_score(spark, hp, dp, "2016-07-01 00:00:00")
+    got = hs.agg(F.min("SessionStartHourTime"), F.max("SessionStartHourTime"), F.count(F.lit(1))).first()
+    assert got[0] == ts("2016-05-31 13:00:00") and got[1] == ts("2016-06-30 23:00:00")
+    assert got[2] == 11 + 30 * 24
+    assert {(r.year, r.month) for r in hs.select("year", "month").distinct().collect()} == {(2016, 5), (2016, 6)}
+    assert ds.count() == 31
+    cfg = ONE_MONTH.with_(train_begin="2016-04-20 00:00:00")
+    feats = SC.score_features(hs, ds, cfg)
+    assert feats.count() == 48
+    assert feats.where(F.col("peakLoadLag730") != 1.0).count() == 0   # every lag lands in the window
+    assert feats.where(F.col("peakLoadDailyLag2Win7") != 1.0).count() == 0

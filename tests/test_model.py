@@ -96,3 +96,16 @@ def test_save_load_and_stream_give_same_predictions(spark, trained):
     assert a.count() == 8 * 48
     assert a.exceptAll(b).count() == 0
     assert a.exceptAll(c.select(*a.columns)).count() == 0
+
+
+def test_fit_on_train_and_keep_unseen_levels(spark):
+    """fit_on='train' with handle_invalid='keep': the test days' unseen day-of-month levels
+    are kept (all-zero one-hot) instead of being skipped."""
+    cfg = cfg_of(SF_SMALL).with_(fit_on="train", handle_invalid="keep")
+    feats = FT.hourly_features(sessions(spark, SF_SMALL), cfg)
+    fm = fit_features(FT.fit_rows(feats, cfg), cfg.handle_invalid)
+    out = fm.transform(feats)
+    assert out.count() == feats.count()
+    skip = fit_features(FT.fit_rows(feats, cfg), "skip").transform(feats)
+    test_rows = feats.where(F.col("SessionStartHourTime") >= F.lit(cfg.test_split_start).cast("timestamp_ntz"))
+    assert skip.count() == feats.count() - test_rows.count()

@@ -64,3 +64,19 @@ def test_no_python_udfs_in_relational_queries(spark):
             continue
         p = plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_each_query_scans_its_raw_table_once(spark):
+    """No query re-reads and re-aggregates the raw tables (queries that use an
+    intermediate twice read it from a staged table)."""
+    skip = {"rf_train", "model_roundtrip", "score_batch", "score_stream", "feature_table",
+            "long_history_feature_table", "string_index", "scale_lags", "one_hot", "feature_vector",
+            "json_roundtrip", "csv_roundtrip", "hourly_stats", "daily_stats", "stats_for_score",
+            "score_features", "row_counts"}
+    for name, fn in queries().items():
+        if name in skip:
+            continue
+        p = formatted(fn(spark, SF_SMALL))
+        raw = [l for l in re.findall(r"Location: InMemoryFileIndex \[file:([^\]]+)\]", p)
+               if l.startswith("/root/testdata")]
+        assert len(raw) <= 1, (name, raw)
