@@ -62,6 +62,12 @@ def hourly(spark, d) -> DataFrame:
     return hourly_peak(five_min_rollup(sessions(spark, d)))
 
 
+def hourly_by_server(spark, d) -> DataFrame:
+    """Hourly peaks hash-partitioned by server (with their day): windows and per-day
+    groupings over them need no further shuffle."""
+    return FT.hourly_by_server(sessions(spark, d))
+
+
 def staged_hourly(spark, d) -> DataFrame:
     """Hourly peaks written once to the shared folder, for queries that use them twice
     (the sessions are then scanned and aggregated once)."""
@@ -167,7 +173,7 @@ _DAILY_COLS = ["ServerIP", "SessionStartDay"] + DAILY_COLUMNS
 @register("daily_mean_peak", O.with_(O.base_ctes() + [("daily", O.daily_sql())],
                                      O.final(doubles(_DAILY_COLS), "daily")))
 def q_daily_mean_peak(spark, d):
-    return rounded(daily_mean(hourly(spark, d)))
+    return rounded(daily_mean(hourly_by_server(spark, d)))
 
 
 @register("row_key", O.with_(O.base_ctes()[:3], """
@@ -252,7 +258,7 @@ _ROLL_COLS = _DAILY_COLS + ROLLING_COLUMNS
                                         O.final(doubles(_ROLL_COLS), "rolling")))
 def q_rolling_daily_mean(spark, d):
     """Rolling mean over the observed days -9 .. -3 of each server (the training ETL's rows)."""
-    return rounded(rolling_daily_mean(daily_mean(hourly(spark, d)), "observed"))
+    return rounded(rolling_daily_mean(daily_mean(hourly_by_server(spark, d)), "observed"))
 
 
 @register("rolling_daily_calendar", O.with_(O.base_ctes() + [("daily", O.daily_sql()),
@@ -260,7 +266,7 @@ def q_rolling_daily_mean(spark, d):
                                             O.final(doubles(_ROLL_COLS), "rolling")))
 def q_rolling_daily_calendar(spark, d):
     """Rolling mean over the calendar days d-9 .. d-3 (what scoring sees on its day grid)."""
-    return rounded(rolling_daily_mean(daily_mean(hourly(spark, d)), "calendar"))
+    return rounded(rolling_daily_mean(daily_mean(hourly_by_server(spark, d)), "calendar"))
 
 
 _LAG_OUT = ["key", "ServerIP", "SessionStartHourTime", "peakLoad"] + LAG_COLUMNS
@@ -269,13 +275,13 @@ _LAG_OUT = ["key", "ServerIP", "SessionStartHourTime", "peakLoad"] + LAG_COLUMNS
 @register("lag_observed", O.with_(O.base_ctes() + [("lagged", O.lags_sql("hourly", "observed"))],
                                   O.final(doubles(_LAG_OUT), "lagged")))
 def q_lag_observed(spark, d):
-    return rounded(lag_features(hourly(spark, d), "observed").select(*_LAG_OUT))
+    return rounded(lag_features(hourly_by_server(spark, d), "observed").select(*_LAG_OUT))
 
 
 @register("lag_calendar", O.with_(O.base_ctes() + [("lagged", O.lags_sql("hourly", "calendar"))],
                                   O.final(doubles(_LAG_OUT), "lagged")))
 def q_lag_calendar(spark, d):
-    return rounded(lag_features(hourly(spark, d), "calendar").select(*_LAG_OUT))
+    return rounded(lag_features(hourly_by_server(spark, d), "calendar").select(*_LAG_OUT))
 
 
 @register("null_fill", O.with_(O.base_ctes() + [("lagged", O.lags_sql("hourly", "observed"))],
@@ -284,7 +290,7 @@ def q_lag_calendar(spark, d):
                                        + " FROM lagged WHERE ServerIP IS NOT NULL AND SessionStartHourTime IS NOT NULL)")))
 def q_null_fill(spark, d):
     """Observed lags with NULL -> 0, rows without server or hour dropped."""
-    lagged = lag_features(hourly(spark, d), "observed").select(*_LAG_OUT)
+    lagged = lag_features(hourly_by_server(spark, d), "observed").select(*_LAG_OUT)
     return rounded(fill_numeric(drop_null_keys(lagged, ["ServerIP", "SessionStartHourTime"]), LAG_COLUMNS, 0))
 
 
