@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timegrid import DAY, grid_points
+from ..functions.timegrid import DAY, add_seconds, floor_ts, grid_points
 
 
 def time_grid(bounds: DataFrame, begin: str, end: str, seconds: int, out: str = "Time") -> DataFrame:
@@ -22,7 +22,6 @@ def time_grid(bounds: DataFrame, begin: str, end: str, seconds: int, out: str =
     """
     if seconds >= DAY:
         return bounds.select(F.explode(grid_points(F.col(begin), F.col(end), seconds)).alias(out))
-    from ..functions.timegrid import add_seconds, floor_ts
     lo = floor_ts(F.col(begin), seconds)
     hi = add_seconds(floor_ts(F.col(end), seconds), seconds)
     days = bounds.select(lo.alias("_lo"), hi.alias("_hi"),

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import (DAILY_COLUMNS, HOURLY_LAGS, LAG_COLUMNS, LAGGED_MEASURE,
+from ..config import (DAILY_COLUMNS, HOURLY_LAGS, LAG_COLUMNS, LAGGED_MEASURE, PEAK_COLUMNS,
                       ROLLING_COLUMNS, ROLLING_LAG_DAYS, ROLLING_WINDOW_DAYS)
 from ..functions.timegrid import DAY, HOUR, bucket_index
 
@@ -66,7 +66,6 @@ def rolling_on_hours(hourly: DataFrame, mode: str = "calendar", server: str = "S
     so an input already partitioned by server is never shuffled again.
     """
     _check(mode)
-    from ..config import PEAK_COLUMNS
     by_day = Window.partitionBy(server, day)
     first = F.col(ts) == F.min(ts).over(by_day)
     marked = hourly.withColumns({f"_{d}": F.when(first, F.avg(p).over(by_day))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,19 +19,20 @@ from .config import (DAILY_COLUMNS, INDEX_COLUMNS, INDEXED_COLUMNS, LAG_COLUMNS,
                      LINEITEM, ROLLING_COLUMNS, SCALED_COLUMNS, SUM_COLUMNS, RunConfig, events_config)
 from .functions.calendar import add_calendar, calendar_columns, is_federal_holiday
 from .functions.labels import drop_null_keys, fill_numeric, load_label
-from .functions.timegrid import DAY, FIVE_MINUTES, HOUR, floor_ts, grid_points, ntz
+from .functions.timegrid import DAY, FIVE_MINUTES, HOUR, floor_ts, horizon_columns, ntz
 from .operators.encode import fit_features, one_hot_long, prepare_for_index, scaled_columns
 from .operators.gapfill import gap_fill, grid_outer_join, server_grid, time_grid
 from .operators.lags import join_daily_lags, lag_features, rolling_daily_mean
 from .operators.model import add_label, classification_metrics, split_column
-from .operators.rollup import daily_mean, five_min_rollup, hourly_peak, row_key, with_day
+from .operators.rollup import daily_mean, five_min_rollup, hourly_peak, with_day
 from .plans import features as FT
 from .plans import scoring as SC
 from .plans import training as TR
 from .session import scratch_path
+from .streaming.score_stream import score_files_once
 from .sources.sessions import (clean_sessions, filter_servers, read_sessions_csv,
                                sessions_from_events, sessions_from_lineitem, write_sessions_csv)
-from .sources.stats_store import read_stats
+from .sources.records import read_records, write_records
 from .sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -511,9 +513,7 @@ def q_one_hot(spark, d):
 def q_feature_vector(spark, d):
     """Assembled model input per server-hour (vector size and number of non-zeros)."""
     _, feats, fm = _features(spark, d)
-    v = F.col("features")
-    from pyspark.ml.functions import vector_to_array
-    arr = vector_to_array(v)
+    arr = vector_to_array(F.col("features"))
     return fm.transform(feats).select("key", F.size(arr).alias("num_features"),
                                       F.size(F.filter(arr, lambda x: x != 0)).alias("num_nonzero"))
 
@@ -638,7 +638,6 @@ SELECT score_begin,
 FROM (SELECT DISTINCT date_trunc('day', ts) AS score_begin FROM events)""")
 def q_score_horizon(spark, d):
     """Horizon bounds for scoring from the start of each day of the data (a backtest grid)."""
-    from .functions.timegrid import horizon_columns
     days = table(spark, d, "events").select(floor_ts("ts", DAY).alias("score_begin")).distinct()
     return days.select(*[c.alias(n) for n, c in horizon_columns(F.col("score_begin")).items()])
 
@@ -696,7 +695,6 @@ def q_json_roundtrip(spark, d):
     """Scoring feature records written as JSON lines and read back with their schema."""
     _, feats = _score_features(spark, d)
     path = scratch_path(spark, "score-features-json")
-    from .sources.records import read_records, write_records
     write_records(feats, path)
     return rounded(read_records(spark, path, feats.schema))
 
@@ -712,7 +710,6 @@ def q_score_batch(spark, d):
 @register("score_stream")
 def q_score_stream(spark, d):
     """The same scoring, run as a Structured Streaming query over arriving feature files."""
-    from .streaming.score_stream import score_files_once
     cfg, fm, table_, model, rf = _trained(spark, d)
     _, feats = _score_features(spark, d)
     return score_files_once(spark, model, feats)

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.encode import prepare_for_index
 from ..session import scratch_path
-from ..sources.records import TIMESTAMP_FORMAT, read_records, write_records
+from ..sources.records import TIMESTAMP_FORMAT, write_records
 
 
 def prediction_stream(spark: SparkSession, model: PipelineModel, in_dir: str, schema: StructType,
