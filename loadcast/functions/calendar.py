@@ -6,6 +6,8 @@ flagging holidays needs no lookup table, no join and no broadcast, for any date
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -95,8 +97,12 @@ def linear_trend(ts: Column, begin: str) -> Column:
     return F.coalesce(secs / F.lit(SECONDS_PER_YEAR), F.lit(0.0))
 
 
+@lru_cache(maxsize=64)
 def calendar_columns(ts: str, trend_begin: str) -> dict[str, Column]:
-    """Calendar features of an hour column, in the order the feature table holds them."""
+    """Calendar features of an hour column, in the order the feature table holds them.
+
+    The expressions are unresolved (they name the column), so they are built once per
+    column name and reused by every query; treat the returned dict as read-only."""
     t = F.col(ts)
     hour = F.hour(t)
     return {

@@ -15,6 +15,8 @@ hour of the history (65,712 rows for 7.5 years), however many sessions it had.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,13 +48,19 @@ def lag_features(hourly: DataFrame, mode: str = "calendar", server: str = "Serve
                  ts: str = "SessionStartHourTime", measure: str = LAGGED_MEASURE) -> DataFrame:
     """Adds ``peakLoadLag<i>`` for the fixed lag offsets."""
     _check(mode)
+    return hourly.withColumns(_lag_exprs(mode, server, ts, measure))
+
+
+@lru_cache(maxsize=16)
+def _lag_exprs(mode: str, server: str, ts: str, measure: str) -> dict:
+    """Lag expressions (unresolved, so built once per parameter set; read-only)."""
     if mode == "observed":
         w = Window.partitionBy(server).orderBy(ts)
         cols = {c: F.lag(measure, i).over(w) for i, c in zip(HOURLY_LAGS, LAG_COLUMNS)}
     else:
         w = Window.partitionBy(server).orderBy(bucket_index(ts, HOUR))
         cols = {c: F.max(measure).over(w.rangeBetween(-i, -i)) for i, c in zip(HOURLY_LAGS, LAG_COLUMNS)}
-    return hourly.withColumns(cols)
+    return cols
 
 
 def rolling_on_hours(hourly: DataFrame, mode: str = "calendar", server: str = "ServerIP",

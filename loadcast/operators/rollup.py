@@ -9,6 +9,8 @@ servers x time buckets, not by the number of sessions.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,13 +18,19 @@ from ..config import DAILY_COLUMNS, FIVE_MIN_SUMS, PEAK_COLUMNS, PEAK_MEASURES
 from ..functions.timegrid import DAY, FIVE_MINUTES, HOUR, epoch_seconds, floor_ts
 
 
-def five_min_rollup(sessions: DataFrame) -> DataFrame:
-    """Per server and five-minute bucket: sum of the eight load measures and count(*)."""
+# Unresolved expressions are built once per process and shared by every plan (building
+# them costs more Python-to-JVM calls than analysing the plan).
+@lru_cache(maxsize=1)
+def _rollup_exprs():
     aggs = [F.sum(src).alias(name) for name, src in FIVE_MIN_SUMS]
     aggs.insert(1, F.count(F.lit(1)).alias("NumSession"))
-    return (sessions
-            .groupBy("ServerIP", floor_ts("SessionStart", FIVE_MINUTES).alias("SessionStartFiveMin"))
-            .agg(*aggs))
+    return floor_ts("SessionStart", FIVE_MINUTES).alias("SessionStartFiveMin"), aggs
+
+
+def five_min_rollup(sessions: DataFrame) -> DataFrame:
+    """Per server and five-minute bucket: sum of the eight load measures and count(*)."""
+    bucket, aggs = _rollup_exprs()
+    return sessions.groupBy("ServerIP", bucket).agg(*aggs)
 
 
 def row_key(server: str, ts: str) -> F.Column:
@@ -38,17 +46,21 @@ def hourly_peak(rollup: DataFrame) -> DataFrame:
     same bucket. Each group holds at most 12 buckets. Rows without a server or hour are
     dropped here.
     """
+    keep, hour, best, out = _peak_exprs()
+    return rollup.where(keep).groupBy("ServerIP", hour).agg(best).select(*out)
+
+
+@lru_cache(maxsize=1)
+def _peak_exprs():
     load = F.coalesce(F.col("SumTotalLoad"), F.lit(0.0))
     order = F.struct(load.alias("l"), (-epoch_seconds("SessionStartFiveMin")).alias("t"))
     row = F.struct(load.alias("peakLoad"),
                    *[F.col(src).alias(name) for name, src in PEAK_MEASURES[1:]])
-    peaks = (rollup
-             .where(F.col("ServerIP").isNotNull() & F.col("SessionStartFiveMin").isNotNull())
-             .groupBy("ServerIP", floor_ts("SessionStartFiveMin", HOUR).alias("SessionStartHourTime"))
-             .agg(F.max_by(row, order).alias("p")))
-    return peaks.select(row_key("ServerIP", "SessionStartHourTime").alias("key"),
-                        "ServerIP", "SessionStartHourTime",
-                        *[F.col("p." + c).alias(c) for c in PEAK_COLUMNS])
+    keep = F.col("ServerIP").isNotNull() & F.col("SessionStartFiveMin").isNotNull()
+    hour = floor_ts("SessionStartFiveMin", HOUR).alias("SessionStartHourTime")
+    out = [row_key("ServerIP", "SessionStartHourTime").alias("key"), F.col("ServerIP"),
+           F.col("SessionStartHourTime"), *[F.col("p." + c).alias(c) for c in PEAK_COLUMNS]]
+    return keep, hour, F.max_by(row, order).alias("p"), out
 
 
 def with_day(hourly: DataFrame, ts: str = "SessionStartHourTime") -> DataFrame:

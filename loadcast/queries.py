@@ -40,20 +40,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---- helpers ------------------------------------------------------------------------------
 
-def round_double(c: F.Column) -> F.Column:
+def round_double_sql(name: str) -> str:
     """Half-up rounding at a scale that shrinks with magnitude (see ``oracle.SCALES``)."""
-    x, a = c * F.lit(1 + O.NUDGE), F.abs(c)
-    out = F.round(x, O.LAST_SCALE)
-    for lim, sc in reversed(O.SCALES):
-        out = F.when(a < F.lit(lim), F.round(x, sc)).otherwise(out)
-    return out
+    x = f"(`{name}` * {1 + O.NUDGE!r})"
+    whens = " ".join(f"WHEN abs(`{name}`) < {lim!r} THEN round({x}, {sc})" for lim, sc in O.SCALES)
+    return f"CASE {whens} ELSE round({x}, {O.LAST_SCALE}) END AS `{name}`"
 
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles rounded for comparison with the SQL oracle (which rounds the same way)."""
-    return df.select(*[round_double(F.col(f.name)).alias(f.name)
-                       if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-                       for f in df.schema.fields])
+    return df.selectExpr(*[round_double_sql(f.name) if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
+                           for f in df.schema.fields])
 
 
 def sessions(spark, d) -> DataFrame:

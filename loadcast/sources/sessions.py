@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,7 +72,13 @@ def sessions_from_events(events: DataFrame) -> DataFrame:
     ``k`` is parsed from the JSON once, in its own projection (Catalyst does not merge a
     projection into one that would repeat an expensive expression); a malformed value
     becomes NULL, as a malformed CSV field does."""
-    events = events.withColumn("_k", F.get_json_object("props", "$.k").try_cast("long"))
+    parse_k, cols = _events_mapping()
+    return events.withColumn("_k", parse_k).select(*cols)
+
+
+@lru_cache(maxsize=1)
+def _events_mapping():
+    """Column expressions of the events adapter, built once (they only name columns)."""
     k = F.col("_k")
     v = F.col("value")
     by_type = {"click": 1, "purchase": 2, "error": 3, "signup": 4, "view": 5}
@@ -94,7 +102,8 @@ def sessions_from_events(events: DataFrame) -> DataFrame:
         "ServerIP": F.concat(F.lit("10.0.0."), (F.col("user_id") % 8).cast("string")),
         "ClientIP": F.concat(F.lit("172.16.0."), F.col("user_id").cast("string")),
     }
-    return events.select(*[cols[c].cast(_TYPES[c]).alias(c) for c in SESSION_COLUMNS])
+    return (F.get_json_object("props", "$.k").try_cast("long"),
+            [cols[c].cast(_TYPES[c]).alias(c) for c in SESSION_COLUMNS])
 
 
 def sessions_from_lineitem(lineitem: DataFrame) -> DataFrame:
