@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import oracle as O
-from .config import (DAILY_COLUMNS, INDEX_COLUMNS, INDEXED_COLUMNS, LAG_COLUMNS, PEAK_COLUMNS,
+from .config import (DAILY_COLUMNS, FIVE_MIN_SUMS, INDEX_COLUMNS, INDEXED_COLUMNS, LAG_COLUMNS, PEAK_COLUMNS,
                      LINEITEM, ROLLING_COLUMNS, SCALED_COLUMNS, SUM_COLUMNS, RunConfig, events_config)
 from .functions.calendar import add_calendar, calendar_columns, is_federal_holiday
 from .functions.labels import drop_null_keys, fill_numeric, load_label
@@ -33,6 +33,7 @@ from .streaming.score_stream import score_files_once
 from .sources.sessions import (clean_sessions, filter_servers, read_sessions_csv,
                                sessions_from_events, sessions_from_lineitem, write_sessions_csv)
 from .sources.records import read_records, write_records
+from .sources.views import floor_sql, register_views
 from .sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +159,17 @@ def q_five_min_rollup(spark, d):
     return rounded(five_min_rollup(sessions(spark, d)))
 
 
+@register("sql_five_min_rollup", O.with_(O.base_ctes()[:3], O.final(doubles(_ROLLUP_COLS), "rollup")))
+def q_sql_five_min_rollup(spark, d):
+    """The five-minute rollup written in Spark SQL over a temp view (S12)."""
+    register_views(spark, sessions(spark, d), prefix="lc_")
+    sums = ", ".join(f"sum({src}) AS {name}" for name, src in FIVE_MIN_SUMS[1:])
+    return rounded(spark.sql(f"""
+        SELECT ServerIP, {floor_sql('SessionStart', FIVE_MINUTES)} AS SessionStartFiveMin,
+               sum(TotalLoad) AS SumTotalLoad, count(*) AS NumSession, {sums}
+        FROM lc_sessions GROUP BY 1, 2"""))
+
+
 _HOURLY_COLS = ["key", "ServerIP", "SessionStartHourTime"] + PEAK_COLUMNS
 
 
