@@ -80,3 +80,28 @@ def test_each_query_scans_its_raw_table_once(spark):
         raw = [l for l in re.findall(r"Location: InMemoryFileIndex \[file:([^\]]+)\]", p)
                if l.startswith("/root/testdata")]
         assert len(raw) <= 1, (name, raw)
+
+
+def test_hot_server_is_spread_by_the_rollup_shuffle(spark):
+    """One server with a third of all sessions: the rollup shuffles on (server, bucket),
+    so the hot server's rows land in every partition and no partition is dominated."""
+    from pyspark.sql import functions as F
+    from conftest import SF_MID
+    from loadcast.operators.rollup import five_min_rollup
+    s = sessions(spark, SF_MID)
+    s = s.withColumn("ServerIP", F.when(F.col("ServiceGrade") == "0", F.lit("hot")).otherwise(F.col("ServerIP")))
+    share = s.agg(F.avg((F.col("ServerIP") == "hot").cast("double"))).first()[0]
+    assert 0.3 < share < 0.37
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = (five_min_rollup(s).withColumn("pid", F.spark_partition_id())
+                 .groupBy("pid").agg(F.count(F.lit(1)).alias("n"),
+                                     F.sum((F.col("ServerIP") == "hot").cast("int")).alias("hot"))
+                 .collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    total = sum(r.n for r in parts)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(parts) == n_parts and all(r.hot > 0 for r in parts)
+    assert max(r.n for r in parts) / total < 2.0 / n_parts
