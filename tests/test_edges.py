@@ -184,3 +184,14 @@ def test_month_crossing_score_window_reads_two_months(spark):
     assert feats.count() == 48
     assert feats.where(F.col("peakLoadLag730") != 1.0).count() == 0   # every lag lands in the window
     assert feats.where(F.col("peakLoadDailyLag2Win7") != 1.0).count() == 0
+
+
+def test_server_filter_list_and_semi_join_agree(spark):
+    from loadcast.queries import sessions
+    from loadcast.sources.sessions import filter_servers
+    s = sessions(spark, "/root/testdata/sf0.001")
+    wanted = ["10.0.0.1", "10.0.0.6"]
+    by_list = filter_servers(s, wanted)
+    by_join = filter_servers(s, spark.createDataFrame([(w,) for w in wanted] * 2, "ServerIP string"))
+    assert by_list.count() > 0
+    assert by_list.exceptAll(by_join).count() == 0 and by_join.exceptAll(by_list).count() == 0
