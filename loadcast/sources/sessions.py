@@ -62,7 +62,8 @@ def filter_servers(sessions: DataFrame, servers) -> DataFrame:
     """Keep the given servers: a Python list (an IN list) or a one-column DataFrame
     of ``ServerIP`` values (a semi join, so the list can be of any size)."""
     if isinstance(servers, DataFrame):
-        return sessions.join(servers.select("ServerIP").distinct(), "ServerIP", "left_semi")
+        kept = sessions.join(servers.select("ServerIP").distinct(), "ServerIP", "left_semi")
+        return kept.select(*sessions.columns)
     return sessions.where(F.col("ServerIP").isin(list(servers)))
 
 
