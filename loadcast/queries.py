@@ -551,6 +551,13 @@ _METRIC_SQL = {
 }
 
 
+@register("rf_metrics")
+def q_rf_metrics(spark, d):
+    """The forest's accuracy, weighted precision, weighted recall and F1 on each split."""
+    cfg, fm, table_, model, rf = _trained(spark, d)
+    return TR.evaluate(TR.predictions(table_, rf, fm, cfg))
+
+
 @register("classifier_metrics", lambda cfg: O.with_(O.features_ctes(cfg) + [("pred", f"""
 SELECT {_split_sql(cfg, 'SessionStartHourTime')} AS split, CAST({O.label_sql('peakLoad', cfg)} AS DOUBLE) AS y,
        CAST({O.label_sql('peakLoadLag48', cfg)} AS DOUBLE) AS p
