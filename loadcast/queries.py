@@ -1,8 +1,9 @@
 """Registered queries: one per operator of the inventory, each ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the whole test tables (``events`` as the session log, ``lineitem`` for
-the long history). ``ORACLE`` holds the DuckDB SQL of each query that has one.
-Doubles are rounded to 6 places in the output (the SQL does the same).
+the long history). ``ORACLE`` holds the DuckDB SQL of each query that has one. Doubles
+in the output are rounded half-up at a scale that shrinks with magnitude, and the SQL
+rounds the same way (see ``oracle.SCALES``).
 """
 
 from __future__ import annotations
