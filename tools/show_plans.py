@@ -35,7 +35,7 @@ def summary(p: str) -> dict:
     return {
         "exchanges": nodes.get("Exchange", 0),
         "broadcasts": nodes.get("BroadcastExchange", 0),
-        "scans": ", ".join(sorted(os.path.basename(x).replace(".parquet", "") for x in raw)),
+        "scans": ", ".join(sorted(re.sub(r"-[0-9a-f]{12}$", " (staged)", os.path.basename(x).replace(".parquet", "")) for x in raw)),
         "ops": ", ".join(sorted(k for k in nodes if re.search(r"Aggregate|Join|Window|Generate|Expand", k))),
         "python": "yes" if re.search(r"EvalPython|PythonUDF|FlatMapGroupsInPandas", p) else "no",
         "pushed": "yes" if re.search(r"PushedFilters: \[[^\]]+\]|PartitionFilters: \[[^\]]+\]", p) else "",
