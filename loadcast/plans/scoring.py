@@ -108,3 +108,20 @@ def run_scoring(spark: SparkSession, model: PipelineModel, cfg: RunConfig, hourl
     or a one-column DataFrame of ``ServerIP``), or for every server in the statistics."""
     hs, ds = stats_for_score(spark, hourly_path, daily_path, cfg.score_begin, servers)
     return score_batch(model, score_features(hs, ds, cfg))
+
+
+def score_coverage(indexer, features: DataFrame) -> DataFrame:
+    """(metric, n): feature rows, rows the model scores, rows it skips for an unseen level.
+
+    One pass: a copy of the fitted indexer that keeps unseen values maps them to the extra
+    index ``len(labels)``; a row is skipped when any of its columns gets that index."""
+    keep = indexer.copy().setHandleInvalid("keep")
+    idx = keep.transform(prepare_for_index(features))
+    unseen = None
+    for col, labels in zip(keep.getOutputCols(), keep.labelsArray):
+        hit = F.col(col) >= F.lit(float(len(labels)))
+        unseen = hit if unseen is None else (unseen | hit)
+    counts = idx.agg(F.count(F.lit(1)).alias("feature_rows"),
+                     F.count(F.when(~unseen, 1)).alias("scored_rows"),
+                     F.count(F.when(unseen, 1)).alias("skipped_rows"))
+    return counts.unpivot([], counts.columns, "metric", "n")

@@ -663,6 +663,11 @@ _SCORE_DOUBLES = set(LAG_COLUMNS + ROLLING_COLUMNS + ["linearTrend"])
 
 
 def _score_sql(cfg: RunConfig) -> str:
+    return O.with_(_score_ctes(cfg), O.final([(c, c in _SCORE_DOUBLES) for c in SC.SCORE_FEATURE_COLUMNS],
+                                              "scored"))
+
+
+def _score_ctes(cfg: RunConfig) -> list[tuple[str, str]]:
     h = _horizon(cfg)
     fb, fe, sb, se = h["feature_begin"], h["feature_end"], h["score_begin"], h["score_end"]
     ctes = O.base_ctes() + [
@@ -691,7 +696,7 @@ FROM hlag h LEFT JOIN droll r
   ON r.ServerIP = h.ServerIP AND r.SessionStartDay = date_trunc('day', h.SessionStartHourTime)
 WHERE h.SessionStartHourTime BETWEEN TIMESTAMP '{sb}' AND TIMESTAMP '{se}'"""),
     ]
-    return O.with_(ctes, O.final([(c, c in _SCORE_DOUBLES) for c in SC.SCORE_FEATURE_COLUMNS], "scored"))
+    return ctes
 
 
 def _score_features(spark, d):
@@ -716,6 +721,28 @@ def q_json_roundtrip(spark, d):
     return rounded(read_records(spark, path, feats.schema))
 
 
+def _coverage_sql(cfg: RunConfig) -> str:
+    ctes = O.features_ctes(cfg)
+    score = _score_ctes(cfg)
+    names = {n for n, _ in ctes}
+    ctes += [(n, q) for n, q in score if n not in names]
+    seen = " AND ".join(f"CAST(s.{c} AS VARCHAR) IN (SELECT CAST({c} AS VARCHAR) FROM features)"
+                        for c in INDEX_COLUMNS)
+    return O.with_(ctes, f"""
+SELECT 'feature_rows' AS metric, count(*) AS n FROM scored
+UNION ALL SELECT 'scored_rows', count(*) FROM scored s WHERE {seen}
+UNION ALL SELECT 'skipped_rows', count(*) FROM scored s WHERE NOT ({seen})""")
+
+
+@register("score_coverage", _coverage_sql)
+def q_score_coverage(spark, d):
+    """How many 48-hour feature rows the model scores and how many it skips because a
+    categorical value was not seen when the indexer was fitted."""
+    _, feats, fm = _features(spark, d)
+    _, scored = _score_features(spark, d)
+    return SC.score_coverage(fm.indexer, scored)
+
+
 @register("score_batch")
 def q_score_batch(spark, d):
     """Predicted load class for the 48 scored hours of every server."""

@@ -109,3 +109,20 @@ def test_fit_on_train_and_keep_unseen_levels(spark):
     skip = fit_features(FT.fit_rows(feats, cfg), "skip").transform(feats)
     test_rows = feats.where(F.col("SessionStartHourTime") >= F.lit(cfg.test_split_start).cast("timestamp_ntz"))
     assert skip.count() == feats.count() - test_rows.count()
+
+
+def test_score_coverage_counts_what_skip_drops(spark):
+    """Indexer fitted on the train split only: the scored days (29th, 30th) are unseen
+    day-of-month levels, so every 48-hour row is skipped, and coverage says so."""
+    cfg = cfg_of(SF_SMALL).with_(fit_on="train")
+    feats = FT.hourly_features(sessions(spark, SF_SMALL), cfg)
+    fm = fit_features(FT.fit_rows(feats, cfg), "skip")
+    hp, dp = scratch_path(spark, "cov-hs"), scratch_path(spark, "cov-ds")
+    SC.write_statistics(FT.with_day(hourly(spark, SF_SMALL)), hp, dp)
+    hs, ds = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
+    scored = SC.score_features(hs, ds, cfg)
+    cov = {r.metric: r.n for r in SC.score_coverage(fm.indexer, scored).collect()}
+    kept = fm.transform(scored).count()
+    assert cov["feature_rows"] == scored.count() == 8 * 48
+    assert cov["scored_rows"] == kept == 0
+    assert cov["skipped_rows"] == 8 * 48
