@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +48,7 @@ def save_model(spark: SparkSession, model: PipelineModel, fm: FeatureModel, cfg:
             "testSplitStart": cfg.test_split_start, "low": cfg.low, "high": cfg.high,
             "lagMode": cfg.lag_mode, "columnOnlyIndexed": fm.only_indexed,
             "columnForEncode": fm.encoded}
-    spark.read.json(spark.sparkContext.parallelize([json.dumps(info)], 1)) \
-        .write.mode("overwrite").json(f"{path}/info")
+    spark.createDataFrame([info]).coalesce(1).write.mode("overwrite").json(f"{path}/info")
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
