@@ -1,7 +1,9 @@
 """Command line: the four batch steps of the forecasting workflow.
 
-    python -m loadcast.cli train   --sessions 'data/20[0-1][0-9]/*/*/*/request.csv' \
-                                   --config ONE_MONTH --out /shared/run1
+    python -m loadcast.cli features --sessions 'data/20[0-1][0-9]/*/*/*/request.csv' \
+                                   --config ONE_MONTH --out /shared/features
+    python -m loadcast.cli train   --features /shared/features --out /shared/run1
+    python -m loadcast.cli train   --sessions '...' --config ONE_MONTH --out /shared/run1   (both)
     python -m loadcast.cli stats   --sessions '.../2016/06/*/*/request.csv' --out /shared/stats
     python -m loadcast.cli score   --stats /shared/stats --model /shared/run1/model \
                                    --config ONE_MONTH --score-begin '2016-07-01 00:00:00' \
@@ -18,6 +20,7 @@ from __future__ import annotations
 import argparse
 
 from . import config as C
+from .plans import features as FT
 from .plans import scoring as SC
 from .plans import training as TR
 from .operators.rollup import five_min_rollup, hourly_peak, with_day
@@ -43,6 +46,14 @@ def _add_config_args(p) -> None:
         p.add_argument("--" + k.replace("_", "-"), type=typ, dest=k)
 
 
+def _cfg_from_info(info: dict, args) -> C.RunConfig:
+    """The run config stored with the encoders, with command-line overrides on top."""
+    base = C.RunConfig(info["trainBegin"], info["trainEnd"], info["testSplitStart"], low=info["low"],
+                       high=info["high"], lag_mode=info["lagMode"])
+    kw = {k: getattr(args, k) for k in _OVERRIDES if getattr(args, k, None) is not None}
+    return base.with_(**kw)
+
+
 def _sessions(spark, args):
     s = clean_sessions(read_sessions_csv(spark, args.sessions))
     return filter_servers(s, args.servers.split(",")) if args.servers else s
@@ -56,8 +67,15 @@ def main(argv=None, spark=None) -> None:
     """Run one step. With ``spark`` given (tests, notebooks) that session is used and left open."""
     p = argparse.ArgumentParser(prog="loadcast")
     sub = p.add_subparsers(dest="cmd", required=True)
-    t = sub.add_parser("train", help="feature table, forest, metrics, saved model")
-    t.add_argument("--sessions", required=True, action="append", help="path or glob; repeatable")
+    f = sub.add_parser("features", help="feature table and fitted encoders")
+    f.add_argument("--sessions", required=True, action="append", help="path or glob; repeatable")
+    _add_config_args(f)
+    f.add_argument("--servers")
+    f.add_argument("--out", required=True)
+    t = sub.add_parser("train", help="forest, metrics, saved model (from --features or --sessions)")
+    src = t.add_mutually_exclusive_group(required=True)
+    src.add_argument("--sessions", action="append", help="path or glob; repeatable")
+    src.add_argument("--features", help="output folder of the features command")
     _add_config_args(t)
     t.add_argument("--servers")
     t.add_argument("--out", required=True)
@@ -77,7 +95,16 @@ def main(argv=None, spark=None) -> None:
 
     own = spark is None
     spark = spark or build_session(app=f"loadcast-{args.cmd}")
-    if args.cmd == "train":
+    if args.cmd == "features":
+        cfg = _cfg(args)
+        fm, _ = FT.build_feature_table(spark, _sessions(spark, args), cfg, f"{args.out}/table")
+        TR.save_features(spark, fm, cfg, f"{args.out}/encoders")
+    elif args.cmd == "train" and args.features:
+        fm, info = TR.load_features(spark, f"{args.features}/encoders")
+        cfg = _cfg_from_info(info, args)
+        table = spark.read.parquet(f"{args.features}/table")
+        _write(TR.train_from_table(spark, table, fm, cfg, f"{args.out}/model"), f"{args.out}/metrics", args.json)
+    elif args.cmd == "train":
         metrics = TR.run_training(spark, _sessions(spark, args), _cfg(args), f"{args.out}/features",
                                   f"{args.out}/model")
         _write(metrics, f"{args.out}/metrics", args.json)

@@ -56,6 +56,31 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     return PipelineModel.load(f"{path}/pipeline"), info
 
 
+def save_features(spark: SparkSession, fm: FeatureModel, cfg: RunConfig, path: str) -> None:
+    """The fitted encoders (indexer, encoder, scaler) and their column lists."""
+    save_model(spark, fm.pipeline(), fm, cfg, path)
+
+
+def load_features(spark: SparkSession, path: str) -> tuple[FeatureModel, dict]:
+    """Inverse of ``save_features``."""
+    from pyspark.ml.feature import OneHotEncoderModel, StandardScalerModel, StringIndexerModel
+    pipe, info = load_model(spark, path)
+    stages = pipe.stages
+    indexer = next(s for s in stages if isinstance(s, StringIndexerModel))
+    encoder = next((s for s in stages if isinstance(s, OneHotEncoderModel)), None)
+    scaler = next(s for s in stages if isinstance(s, StandardScalerModel))
+    fm = FeatureModel(indexer, encoder, scaler, list(info["columnOnlyIndexed"]), list(info["columnForEncode"]))
+    return fm, info
+
+
+def train_from_table(spark: SparkSession, table: DataFrame, fm: FeatureModel, cfg: RunConfig,
+                     model_path: str) -> DataFrame:
+    """Forest on a stored feature table; model saved; metrics per split returned."""
+    model, rf = train(table, fm, cfg)
+    save_model(spark, model, fm, cfg, model_path)
+    return evaluate(predictions(table, rf, fm, cfg))
+
+
 def run_training(spark: SparkSession, sessions: DataFrame, cfg: RunConfig, feature_path: str,
                  model_path: str) -> DataFrame:
     """Feature table -> forest -> metrics per split; model and run info saved.
@@ -63,6 +88,4 @@ def run_training(spark: SparkSession, sessions: DataFrame, cfg: RunConfig, featu
     Returns the metrics (one row per split)."""
     from .features import build_feature_table
     fm, table = build_feature_table(spark, sessions, cfg, feature_path)
-    model, rf = train(table, fm, cfg)
-    save_model(spark, model, fm, cfg, model_path)
-    return evaluate(predictions(table, rf, fm, cfg))
+    return train_from_table(spark, table, fm, cfg, model_path)

@@ -27,3 +27,19 @@ def test_train_stats_score(spark):
     pred = spark.read.parquet(f"{base}/pred")
     assert pred.count() == 2 * 48
     assert {r.ServerIP for r in pred.select("ServerIP").distinct().collect()} == {"10.0.0.1", "10.0.0.2"}
+
+
+def test_features_then_train(spark):
+    """The two-step flow: features (table + encoders), then training from them."""
+    base = scratch_path(spark, "cli2")
+    ev = sessions_from_events(table(spark, SF_SMALL, "events"))
+    write_sessions_csv(ev, f"{base}/data/2024/01/a/0")
+    rng = ["--train-begin", "2024-01-01 00:00:00", "--train-end", "2024-01-30 23:59:59",
+           "--test-split-start", "2024-01-29 00:00:00", "--low", "24", "--high", "60"]
+    cli.main(["features", "--sessions", f"{base}/data/*/*/*/*/*.csv", *rng, "--out", f"{base}/feat"], spark=spark)
+    cli.main(["train", "--features", f"{base}/feat", "--out", f"{base}/run"], spark=spark)
+    one_step = f"{base}/run1"
+    cli.main(["train", "--sessions", f"{base}/data/*/*/*/*/*.csv", *rng, "--out", one_step], spark=spark)
+    a = spark.read.parquet(f"{base}/run/metrics")
+    b = spark.read.parquet(f"{one_step}/metrics")
+    assert a.count() == 2 and a.exceptAll(b).count() == 0
