@@ -25,7 +25,7 @@ from .plans import scoring as SC
 from .plans import training as TR
 from .operators.rollup import five_min_rollup, hourly_peak, with_day
 from .session import build_session
-from .sources.sessions import clean_sessions, filter_servers, read_sessions_csv
+from .sources.sessions import TIMESTAMP_FORMAT, clean_sessions, filter_servers, read_sessions_csv
 
 CONFIGS = {"ONE_MONTH": C.ONE_MONTH, "FULL": C.FULL}
 
@@ -40,6 +40,13 @@ def _cfg(args) -> C.RunConfig:
     return CONFIGS[args.config].with_(**kw)
 
 
+def _add_session_args(p) -> None:
+    p.add_argument("--sessions", required=True, action="append", help="path or glob; repeatable")
+    p.add_argument("--timestamp-format", default=TIMESTAMP_FORMAT,
+                   help="Spark datetime pattern of the time columns")
+    p.add_argument("--servers", help="comma-separated server list (debug mode)")
+
+
 def _add_config_args(p) -> None:
     p.add_argument("--config", choices=sorted(CONFIGS), default="ONE_MONTH")
     for k, typ in _OVERRIDES.items():
@@ -55,7 +62,7 @@ def _cfg_from_info(info: dict, args) -> C.RunConfig:
 
 
 def _sessions(spark, args):
-    s = clean_sessions(read_sessions_csv(spark, args.sessions))
+    s = clean_sessions(read_sessions_csv(spark, args.sessions, args.timestamp_format))
     return filter_servers(s, args.servers.split(",")) if args.servers else s
 
 
@@ -68,21 +75,20 @@ def main(argv=None, spark=None) -> None:
     p = argparse.ArgumentParser(prog="loadcast")
     sub = p.add_subparsers(dest="cmd", required=True)
     f = sub.add_parser("features", help="feature table and fitted encoders")
-    f.add_argument("--sessions", required=True, action="append", help="path or glob; repeatable")
+    _add_session_args(f)
     _add_config_args(f)
-    f.add_argument("--servers")
     f.add_argument("--out", required=True)
     t = sub.add_parser("train", help="forest, metrics, saved model (from --features or --sessions)")
     src = t.add_mutually_exclusive_group(required=True)
     src.add_argument("--sessions", action="append", help="path or glob; repeatable")
     src.add_argument("--features", help="output folder of the features command")
+    t.add_argument("--timestamp-format", default=TIMESTAMP_FORMAT)
     _add_config_args(t)
     t.add_argument("--servers")
     t.add_argument("--out", required=True)
     t.add_argument("--json", action="store_true")
     s = sub.add_parser("stats", help="hourly and daily statistics for scoring")
-    s.add_argument("--sessions", required=True, action="append", help="path or glob; repeatable")
-    s.add_argument("--servers")
+    _add_session_args(s)
     s.add_argument("--out", required=True)
     c = sub.add_parser("score", help="48-hour predictions")
     c.add_argument("--stats", required=True)

@@ -38,12 +38,15 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 WRITE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def read_sessions_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Headerless CSV (a path, glob or list of them). Malformed fields become NULL."""
+def read_sessions_csv(spark: SparkSession, path: str | list[str],
+                      timestamp_format: str = TIMESTAMP_FORMAT) -> DataFrame:
+    """Headerless CSV (a path, glob or list of them). Malformed fields become NULL.
+
+    ``timestamp_format`` is a Spark datetime pattern for the two time columns."""
     return (spark.read.schema(SESSION_SCHEMA)
             .option("header", "false").option("sep", ",")
             .option("mode", "PERMISSIVE").option("nanValue", "")
-            .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+            .option("timestampNTZFormat", timestamp_format)
             .csv(path))
 
 
