@@ -15,10 +15,12 @@ METRICS = ["accuracy", "weightedPrecision", "weightedRecall", "f1"]
 
 
 def add_label(df: DataFrame, cfg: RunConfig, load: str = "peakLoad") -> DataFrame:
+    """Adds ``label``: the load class (1, 2, 3) of ``load`` under the run's thresholds."""
     return df.withColumn("label", load_label(F.col(load), cfg.low, cfg.high))
 
 
 def split_column(cfg: RunConfig, ts: str = "SessionStartHourTime") -> F.Column:
+    """"train" before the run's split start, "test" from it on."""
     return F.when(F.col(ts) < ntz(cfg.test_split_start), F.lit("train")).otherwise(F.lit("test"))
 
 
@@ -42,6 +44,7 @@ def fit_forest(train: DataFrame) -> RandomForestClassificationModel:
 
 
 def evaluator_metrics(pred: DataFrame, label: str = "label") -> dict[str, float]:
+    """The four metrics from ``MulticlassClassificationEvaluator`` (one job each)."""
     ev = MulticlassClassificationEvaluator(predictionCol="prediction", labelCol=label)
     return {m: ev.evaluate(pred, {ev.metricName: m}) for m in METRICS}
 

@@ -76,12 +76,3 @@ def build_feature_table(spark: SparkSession, sessions: DataFrame, cfg: RunConfig
     model = fit_features(fit_rows(feats, cfg), cfg.handle_invalid)
     encode_features(feats, model).write.mode("overwrite").parquet(path)
     return model, spark.read.parquet(path)
-
-
-def scalar_view(table: DataFrame) -> DataFrame:
-    """The feature table without its vector columns (for SQL-side checks)."""
-    return table.select(*[c for c in table.columns if not c.endswith("_encoded")])
-
-
-def key_columns() -> list:
-    return [F.col(c) for c in HOUR_KEYS]

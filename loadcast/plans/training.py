@@ -19,6 +19,7 @@ def table_assembler(fm: FeatureModel) -> VectorAssembler:
 
 
 def labelled(table: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Adds the load class ``label`` and the ``split`` ("train" / "test")."""
     return add_label(table, cfg).withColumn("split", split_column(cfg))
 
 
@@ -30,6 +31,7 @@ def train(table: DataFrame, fm: FeatureModel, cfg: RunConfig):
 
 
 def predictions(table: DataFrame, rf, fm: FeatureModel, cfg: RunConfig) -> DataFrame:
+    """Forest predictions for every row of the feature table, with its split and label."""
     data = table_assembler(fm).transform(labelled(table, cfg))
     return rf.transform(data).select("key", "ServerIP", "SessionStartHourTime", "split", "label",
                                      F.col("prediction"))
@@ -43,6 +45,7 @@ def evaluate(pred: DataFrame) -> DataFrame:
 # ---- persistence: the fitted pipeline plus a one-row run-info dataset -------------------
 
 def save_model(spark: SparkSession, model: PipelineModel, fm: FeatureModel, cfg: RunConfig, path: str) -> None:
+    """``path/pipeline``: the fitted stages; ``path/info``: run config and column lists (one JSON row)."""
     model.write().overwrite().save(f"{path}/pipeline")
     info = {"trainBegin": cfg.train_begin, "trainEnd": cfg.train_end,
             "testSplitStart": cfg.test_split_start, "low": cfg.low, "high": cfg.high,
@@ -52,6 +55,7 @@ def save_model(spark: SparkSession, model: PipelineModel, fm: FeatureModel, cfg:
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
+    """Inverse of ``save_model``: (pipeline, run info dict)."""
     info = spark.read.json(f"{path}/info").first().asDict()
     return PipelineModel.load(f"{path}/pipeline"), info
 

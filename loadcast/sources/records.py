@@ -10,6 +10,7 @@ WRITE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def write_records(df: DataFrame, path: str) -> None:
+    """JSON lines, one record per row, written by the tasks."""
     df.write.mode("overwrite").option("timestampNTZFormat", WRITE_TIMESTAMP_FORMAT).json(path)
 
 

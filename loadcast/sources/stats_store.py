@@ -17,12 +17,14 @@ PARTITION_COLUMNS = ["year", "month"]
 
 
 def hourly_stats(hourly: DataFrame) -> DataFrame:
+    """Hourly peaks with the calendar columns they are stored and filtered by."""
     t = F.col("SessionStartHourTime")
     return hourly.withColumns({"year": F.year(t), "month": F.month(t),
                                "dayofmonth": F.dayofmonth(t), "hourofday": F.hour(t)})
 
 
 def daily_stats(daily: DataFrame) -> DataFrame:
+    """Daily means with their partition columns."""
     t = F.col("SessionStartDay")
     return daily.withColumns({"year": F.year(t), "month": F.month(t)})
 
@@ -61,5 +63,6 @@ def read_stats(spark: SparkSession, path: str, begin: str, end: str, ts: str) ->
 
 
 def shift(ts: str, seconds: float) -> str:
+    """A ``yyyy-MM-dd HH:mm:ss`` literal moved by ``seconds`` (driver-side constant folding)."""
     fmt = "%Y-%m-%d %H:%M:%S"
     return (datetime.strptime(ts, fmt) + timedelta(seconds=seconds)).strftime(fmt)

@@ -18,5 +18,6 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The parquet table ``name`` of a test-data folder."""
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
