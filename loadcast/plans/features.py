@@ -10,7 +10,6 @@ exchange (their keys all start with the server).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import (INDEXED_COLUMNS, LAG_COLUMNS, PEAK_COLUMNS, ROLLING_COLUMNS,
                       SCALED_COLUMNS, RunConfig)
