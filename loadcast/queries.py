@@ -519,7 +519,24 @@ def q_one_hot(spark, d):
     return one_hot_long(fm.transform(feats), fm.encoded)
 
 
-@register("feature_vector")
+def _feature_vector_sql(cfg: RunConfig) -> str:
+    """Vector size = trend + (levels - 1 per encoded column, 1 per index-only column) + 20
+    scaled lags; non-zeros = trend != 0, index-only != 0, encoded index below its last
+    (dropped) level, scaled lag != 0."""
+    lv = {c: f"(SELECT max(levels) FROM lv_{c})" for c in INDEX_COLUMNS}
+    size = " + ".join(f"CASE WHEN {lv[c]} >= 2 THEN {lv[c]} - 1 ELSE 1 END" for c in INDEX_COLUMNS)
+    nz = [f"CASE WHEN linearTrend <> 0 THEN 1 ELSE 0 END"]
+    nz += [f"CASE WHEN ({lv[c]} >= 2 AND {c}_indexed < {lv[c]} - 1) OR ({lv[c]} < 2 AND {c}_indexed <> 0) "
+           f"THEN 1 ELSE 0 END" for c in INDEX_COLUMNS]
+    nz += [f"CASE WHEN {c} <> 0 THEN 1 ELSE 0 END" for c in SCALED_COLUMNS]
+    return O.with_(O.features_ctes(cfg) + O.index_ctes("features") +
+                   [("scaled", f"SELECT *, {O.scaled_select()} FROM indexed")], f"""
+SELECT key, CAST(1 + {size} + {len(SCALED_COLUMNS)} AS INTEGER) AS num_features,
+       CAST({' + '.join(nz)} AS INTEGER) AS num_nonzero
+FROM scaled""")
+
+
+@register("feature_vector", _feature_vector_sql)
 def q_feature_vector(spark, d):
     """Assembled model input per server-hour (vector size and number of non-zeros)."""
     _, feats, fm = _features(spark, d)

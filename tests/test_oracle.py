@@ -26,8 +26,7 @@ def test_every_query_is_registered_with_entry():
     import __spark_entry__ as E
     assert set(E.oracle_sql()) <= set(E.queries())
     rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"feature_vector", "rf_train", "rf_metrics", "model_roundtrip", "score_batch",
-                         "score_stream"}
+    assert rows_only == {"rf_train", "rf_metrics", "model_roundtrip", "score_batch", "score_stream"}
 
 
 def test_entry_smoke(spark):
