@@ -23,6 +23,9 @@ EAGER = {"rf_train", "model_roundtrip", "score_batch", "score_stream", "feature_
          "long_history_feature_table", "csv_roundtrip", "json_roundtrip", "hourly_stats", "daily_stats"}
 
 
+TREES = ["five_min_rollup", "hourly_peak", "lag_calendar", "long_history_features", "score_features"]
+
+
 def formatted(spark, df) -> str:
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     return df._jdf.queryExecution().explainString(mode)
@@ -64,6 +67,13 @@ def main():
     for name, s in rows:
         out.append(f"| {name} | {s['exchanges']} | {s['broadcasts']} | {s['scans']} | {s['ops']} | "
                    f"{s['python']} | {s['pushed']} |")
+    out += ["", "## Plan trees of the key queries", "",
+            "`long_history_features` is the training feature build (rollup, hourly arg-max, daily "
+            "and rolling means, lags, calendar); its two exchanges are the rollup's and the one "
+            "on server.", ""]
+    for name in TREES:
+        p = formatted(spark, Q.queries()[name](spark, sf))
+        out += [f"### {name}", "", "```", p.split("\n\n")[0].strip(), "```", ""]
     text = "\n".join(out) + "\n"
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write(text)
