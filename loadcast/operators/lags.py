@@ -68,25 +68,31 @@ def rolling_on_hours(hourly: DataFrame, mode: str = "calendar", server: str = "S
     """Rolling daily means computed straight on hourly rows: no daily table, no join.
 
     Same result as ``daily_mean`` -> ``rolling_daily_mean`` -> ``join_daily_lags``. The
-    daily mean is a window over (server, day); it is kept on the first hour of each day
-    only, and a second window averages those over the day frame (``avg`` skips the
-    NULLs of the other hours). Every window is partitioned by server (or server and day),
-    so an input already partitioned by server is never shuffled again.
+    daily mean is a window over the server's rows of the same day number; it is kept on
+    the first hour of each day only, and a second window averages those over the day
+    frame (``avg`` skips the NULLs of the other hours). Every window is partitioned by
+    server, so an input already partitioned by server is never shuffled again, and in
+    calendar mode both windows share one sort.
     """
     _check(mode)
-    by_day = Window.partitionBy(server, day)
+    # The per-day window is a zero-width RANGE frame on the day number, so it shares the
+    # sort order (server, day number) of the rolling window that follows.
+    # The day number is materialised once, so both windows order by the same column.
+    hourly = hourly.withColumn("_dayidx", bucket_index(day, DAY))
+    day_no = F.col("_dayidx")
+    by_day = Window.partitionBy(server).orderBy(day_no).rangeBetween(0, 0)
     first = F.col(ts) == F.min(ts).over(by_day)
     marked = hourly.withColumns({f"_{d}": F.when(first, F.avg(p).over(by_day))
                                  for p, d in zip(PEAK_COLUMNS, DAILY_COLUMNS)})
     lo, hi = -(ROLLING_LAG_DAYS + ROLLING_WINDOW_DAYS), -(ROLLING_LAG_DAYS + 1)
     if mode == "observed":
-        marked = marked.withColumn("_dayno", F.dense_rank().over(Window.partitionBy(server).orderBy(day)))
+        marked = marked.withColumn("_dayno", F.dense_rank().over(Window.partitionBy(server).orderBy(day_no)))
         order = F.col("_dayno")
     else:
-        order = bucket_index(day, DAY)
+        order = day_no
     w = Window.partitionBy(server).orderBy(order).rangeBetween(lo, hi)
     out = marked.withColumns({r: F.avg(f"_{d}").over(w) for d, r in zip(DAILY_COLUMNS, ROLLING_COLUMNS)})
-    return out.drop(*[f"_{d}" for d in DAILY_COLUMNS], "_dayno")
+    return out.drop(*[f"_{d}" for d in DAILY_COLUMNS], "_dayno", "_dayidx")
 
 
 def join_daily_lags(hourly: DataFrame, rolling: DataFrame, server: str = "ServerIP",

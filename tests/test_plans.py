@@ -105,3 +105,11 @@ def test_hot_server_is_spread_by_the_rollup_shuffle(spark):
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert len(parts) == n_parts and all(r.hot > 0 for r in parts)
     assert max(r.n for r in parts) / total < 2.0 / n_parts
+
+
+def test_feature_plan_sorts(spark):
+    """Calendar mode: one sort for the hourly arg-max, one shared by the per-day and the
+    rolling windows (both ordered by day number), one for the lags (hour number)."""
+    p = formatted(FT.hourly_features(sessions(spark, SF_SMALL), cfg_of(SF_SMALL)))
+    tree = p.split("\n\n")[0]
+    assert len(re.findall(r"Sort \(\d+\)", tree)) == 3, tree
