@@ -4,7 +4,8 @@ Two modes:
 
 * ``calendar``: lag i at hour t is the value at t - i hours, NULL when that hour has no
   row; the rolling mean averages the daily means of days d-9 .. d-3 that exist. Both are
-  RANGE frames on a bucket number, so no gap-filled grid and no join are needed.
+  RANGE frames (interval offsets on the hour, a day number for the days), so no
+  gap-filled grid and no join are needed.
 * ``observed``: lag i is i rows back and the rolling mean spans rows -9 .. -3, counting
   only hours and days that have data (what the original training ETL computed).
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..config import (DAILY_COLUMNS, HOURLY_LAGS, LAG_COLUMNS, LAGGED_MEASURE, PEAK_COLUMNS,
                       ROLLING_COLUMNS, ROLLING_LAG_DAYS, ROLLING_WINDOW_DAYS)
-from ..functions.timegrid import DAY, HOUR, bucket_index
+from ..functions.timegrid import DAY, bucket_index
 
 MODES = ("calendar", "observed")
 
@@ -58,8 +59,11 @@ def _lag_exprs(mode: str, server: str, ts: str, measure: str) -> dict:
         w = Window.partitionBy(server).orderBy(ts)
         cols = {c: F.lag(measure, i).over(w) for i, c in zip(HOURLY_LAGS, LAG_COLUMNS)}
     else:
-        w = Window.partitionBy(server).orderBy(bucket_index(ts, HOUR))
-        cols = {c: F.max(measure).over(w.rangeBetween(-i, -i)) for i, c in zip(HOURLY_LAGS, LAG_COLUMNS)}
+        # An interval RANGE frame on the hour itself: the window then needs exactly the
+        # (server, hour) order the hourly aggregation already produced, so no sort.
+        cols = {c: F.expr(f"max(`{measure}`) OVER (PARTITION BY `{server}` ORDER BY `{ts}` RANGE BETWEEN "
+                          f"INTERVAL {i} HOURS PRECEDING AND INTERVAL {i} HOURS PRECEDING)")
+                for i, c in zip(HOURLY_LAGS, LAG_COLUMNS)}
     return cols
 
 

@@ -37,8 +37,10 @@ def hourly_features(sessions: DataFrame, cfg: RunConfig) -> DataFrame:
     NULL lags (no history yet) become 0, as they are model inputs.
     """
     hourly = hourly_by_server(sessions)
-    feats = rolling_on_hours(hourly, cfg.lag_mode)
-    feats = lag_features(feats, cfg.lag_mode)
+    # Lags first: they are ordered by (server, hour), as the hourly aggregation leaves the
+    # rows, so they add no sort; the day windows then sort once by day number.
+    feats = lag_features(hourly, cfg.lag_mode)
+    feats = rolling_on_hours(feats, cfg.lag_mode)
     feats = add_calendar(feats, "SessionStartHourTime", cfg.train_begin)
     feats = fill_numeric(feats, ROLLING_COLUMNS + LAG_COLUMNS, 0)
     return feats.select(*HOURLY_FEATURE_COLUMNS)

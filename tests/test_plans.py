@@ -108,8 +108,8 @@ def test_hot_server_is_spread_by_the_rollup_shuffle(spark):
 
 
 def test_feature_plan_sorts(spark):
-    """Calendar mode: one sort for the hourly arg-max, one shared by the per-day and the
-    rolling windows (both ordered by day number), one for the lags (hour number)."""
+    """Calendar mode: one sort for the hourly arg-max, which the lag window reuses (it is
+    ordered by the hour itself), and one shared by the per-day and rolling windows."""
     p = formatted(FT.hourly_features(sessions(spark, SF_SMALL), cfg_of(SF_SMALL)))
     tree = p.split("\n\n")[0]
-    assert len(re.findall(r"Sort \(\d+\)", tree)) == 3, tree
+    assert len(re.findall(r"Sort \(\d+\)", tree)) == 2, tree
