@@ -33,7 +33,7 @@ def formatted(spark, df) -> str:
 
 def summary(p: str) -> dict:
     tree = p.split("\n\n")[0]
-    nodes = Counter(re.sub(r"\s*\(\d+\)$", "", re.sub(r"^[\s:|+\-]*", "", l)).strip() for l in tree.splitlines()[1:])
+    nodes = Counter(re.sub(r"\s*\(\d+\)$", "", re.sub(r"^[\s:|+\-*]*", "", l)).strip() for l in tree.splitlines()[1:])
     raw = re.findall(r"Location: InMemoryFileIndex \[file:([^\]]+)\]", p)
     return {
         "exchanges": nodes.get("Exchange", 0),
