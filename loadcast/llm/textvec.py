@@ -45,16 +45,27 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def letter_bytes(raw: np.ndarray) -> np.ndarray:
+    """Bytes of letters in lower-cased UTF-8: a to z and everything beyond ASCII but the
+    signs of U+0080..U+00BF and U+2000..U+2FFF (quotes, dashes, spaces)."""
+    letter = ((raw >= 97) & (raw <= 122)) | (raw >= 128)
+    for lead, size in ((0xC2, 2), (0xE2, 3)):
+        at = np.flatnonzero(raw == lead)
+        for j in range(size):
+            letter[np.minimum(at + j, len(raw) - 1)] = False
+    return letter
+
+
 class Words:
-    """Words of a batch: ``start``/``end`` byte offsets, ``doc`` (row number of each word),
+    """Words of a batch (runs of bytes other than white space, or of letters only): ``start``/``end`` byte offsets, ``doc`` (row number of each word),
     ``first`` (index of each row's first word, with a final total) and ``raw`` bytes."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], letters_only: bool = False):
         data = [t.encode("utf-8", "surrogatepass") for t in texts]
         self.raw = np.frombuffer(b"\n".join(data) + b"\n", np.uint8)
         sizes = np.fromiter((len(d) + 1 for d in data), np.int64, len(data))
         self.doc_start = np.concatenate([[0], np.cumsum(sizes)])
-        inside = ~SPACE[self.raw]
+        inside = letter_bytes(self.raw) if letters_only else ~SPACE[self.raw]
         edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
         self.start = np.flatnonzero(edge == 1)
         self.end = np.flatnonzero(edge == -1)
