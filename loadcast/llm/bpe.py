@@ -328,6 +328,27 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     return rows.mapInPandas(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
+def encode_with_digests(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids, ids_sha256, decoded_sha256 of every document."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enc = encoder(path)
+        for pdf in batches:
+            for at in range(0, len(pdf), 500):
+                part = pdf[at:at + 500]
+                ids = [b"".join(enc.encode(text)) for text in part["text"]]
+                rows = [np.frombuffer(i, "<u4") for i in ids]
+                yield pd.DataFrame({
+                    "doc_id": part["doc_id"].to_numpy(), "n_tokens": [len(r) for r in rows],
+                    "ids": [r.astype(np.int32) for r in rows],
+                    "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
+                    "decoded_sha256": [hashlib.sha256(TokenStrings(enc.merges).feed(r.tolist()).encode()).hexdigest()
+                                       for r in rows]})
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInPandas(run, "doc_id bigint, n_tokens bigint, ids array<int>, ids_sha256 string, "
+                                 "decoded_sha256 string")
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and the token ids of every document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
