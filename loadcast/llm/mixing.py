@@ -61,7 +61,7 @@ def order_key(seed: int, epoch: Column, doc_id: Column) -> Column:
 def level_weight(level: str, weights: dict, tokens: str) -> Column:
     given = weights.get(level)
     if not given:
-        return F.col(tokens).cast("decimal(19,0)")
+        return F.greatest(F.col(tokens), F.lit(1)).cast("decimal(19,0)")
     out = F.lit(None)
     for name, w in given.items():
         out = F.when(F.col(level) == name, F.lit(int(w))).otherwise(out)
@@ -157,7 +157,7 @@ def oracle(weights: dict = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SE
     def weight(level: str) -> str:
         given = weights.get(level)
         if not given:
-            return "tokens::HUGEINT"
+            return "greatest(tokens, 1)::HUGEINT"
         return "CASE " + " ".join(f"WHEN {level} = '{n}' THEN {int(w)}" for n, w in given.items()) + " ELSE 1 END::HUGEINT"
 
     def divided(out: str, rel: str, parent: str, child: str) -> str:
