@@ -41,7 +41,7 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
 
     def sequence(d: str, times: dict[str, float]) -> None:
-        cfg = Q.cfg_of(d)
+        cfg = Q.EVENTS
 
         def timed(name, fn):
             t0 = time.perf_counter()
@@ -64,8 +64,8 @@ def main() -> None:
         def score():
             hp, dp = scratch_path(spark, "bench-hourly-stats"), scratch_path(spark, "bench-daily-stats")
             SC.write_statistics(FT.with_day(Q.hourly(spark, d)), hp, dp)
-            hs, ds = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
-            run(SC.score_batch(model, SC.score_features(hs, ds, cfg)))
+            hs, _ = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
+            run(SC.score_batch(model, SC.score_features(hs, cfg)))
         timed("score_batch", score)
 
     warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")

@@ -6,12 +6,14 @@
     python -m loadcast.cli train   --sessions '...' --config ONE_MONTH --out /shared/run1   (both)
     python -m loadcast.cli stats   --sessions '.../2016/06/*/*/request.csv' --out /shared/stats
     python -m loadcast.cli score   --stats /shared/stats --model /shared/run1/model \
-                                   --config ONE_MONTH --score-begin '2016-07-01 00:00:00' \
+                                   [--score-begin '2016-07-01 00:00:00'] \
                                    [--servers 10.0.0.1,10.0.0.2] --out /shared/predictions
 
 Session files are headerless CSV in the 17-column layout. ``--servers`` restricts any step
-to a list of servers (the debug mode). Outputs are parquet (predictions and metrics
-also as JSON lines with ``--json``). The master and cluster settings come from
+to a list of servers (the debug mode). ``score`` takes its settings from the run info stored
+with the model (any of them can be overridden) and writes ``<out>-coverage`` beside the
+predictions: rows asked for, scored, and skipped for a level the model has not seen. Outputs
+are parquet (predictions and metrics as JSON lines with ``--json``). The master and cluster settings come from
 spark-submit; scratch tables go below ``spark.checkpoint.dir``.
 """
 
@@ -25,13 +27,14 @@ from .plans import scoring as SC
 from .plans import training as TR
 from .operators.rollup import five_min_rollup, hourly_peak, with_day
 from .session import build_session
-from .sources.sessions import TIMESTAMP_FORMAT, clean_sessions, filter_servers, read_sessions_csv
+from .sources.records import write_records
+from .sources.sessions import clean_sessions, filter_servers, read_sessions_csv
 
 CONFIGS = {"ONE_MONTH": C.ONE_MONTH, "FULL": C.FULL}
 
 
 _OVERRIDES = {"train_begin": str, "train_end": str, "test_split_start": str, "score_begin": str,
-              "low": float, "high": float, "lag_mode": str}
+              "low": float, "high": float, "lag_mode": str, "fit_on": str, "handle_invalid": str}
 
 
 def _cfg(args) -> C.RunConfig:
@@ -42,21 +45,20 @@ def _cfg(args) -> C.RunConfig:
 
 def _add_session_args(p) -> None:
     p.add_argument("--sessions", required=True, action="append", help="path or glob; repeatable")
-    p.add_argument("--timestamp-format", default=TIMESTAMP_FORMAT,
-                   help="Spark datetime pattern of the time columns")
+    p.add_argument("--timestamp-format", help="Spark datetime pattern, for times in an unusual form")
     p.add_argument("--servers", help="comma-separated server list (debug mode)")
 
 
-def _add_config_args(p) -> None:
-    p.add_argument("--config", choices=sorted(CONFIGS), default="ONE_MONTH")
+def _add_config_args(p, named: bool = True) -> None:
+    if named:
+        p.add_argument("--config", choices=sorted(CONFIGS), default="ONE_MONTH")
     for k, typ in _OVERRIDES.items():
         p.add_argument("--" + k.replace("_", "-"), type=typ, dest=k)
 
 
 def _cfg_from_info(info: dict, args) -> C.RunConfig:
-    """The run config stored with the encoders, with command-line overrides on top."""
-    base = C.RunConfig(info["trainBegin"], info["trainEnd"], info["testSplitStart"], low=info["low"],
-                       high=info["high"], lag_mode=info["lagMode"])
+    """The stored run config, with command-line overrides on top."""
+    base = TR.config_from_info(info)
     kw = {k: getattr(args, k) for k in _OVERRIDES if getattr(args, k, None) is not None}
     return base.with_(**kw)
 
@@ -67,7 +69,7 @@ def _sessions(spark, args):
 
 
 def _write(df, path: str, as_json: bool) -> None:
-    (df.write.mode("overwrite").json(path) if as_json else df.write.mode("overwrite").parquet(path))
+    (write_records(df, path) if as_json else df.write.mode("overwrite").parquet(path))
 
 
 def main(argv=None, spark=None) -> None:
@@ -82,7 +84,7 @@ def main(argv=None, spark=None) -> None:
     src = t.add_mutually_exclusive_group(required=True)
     src.add_argument("--sessions", action="append", help="path or glob; repeatable")
     src.add_argument("--features", help="output folder of the features command")
-    t.add_argument("--timestamp-format", default=TIMESTAMP_FORMAT)
+    t.add_argument("--timestamp-format")
     _add_config_args(t)
     t.add_argument("--servers")
     t.add_argument("--out", required=True)
@@ -93,7 +95,7 @@ def main(argv=None, spark=None) -> None:
     c = sub.add_parser("score", help="48-hour predictions")
     c.add_argument("--stats", required=True)
     c.add_argument("--model", required=True)
-    _add_config_args(c)
+    _add_config_args(c, named=False)
     c.add_argument("--servers")
     c.add_argument("--out", required=True)
     c.add_argument("--json", action="store_true")
@@ -104,24 +106,27 @@ def main(argv=None, spark=None) -> None:
     if args.cmd == "features":
         cfg = _cfg(args)
         fm, _ = FT.build_feature_table(spark, _sessions(spark, args), cfg, f"{args.out}/table")
-        TR.save_features(spark, fm, cfg, f"{args.out}/encoders")
+        TR.save_features(spark, fm, cfg, f"{args.out}/encoders", ",".join(args.sessions))
     elif args.cmd == "train" and args.features:
         fm, info = TR.load_features(spark, f"{args.features}/encoders")
         cfg = _cfg_from_info(info, args)
         table = spark.read.parquet(f"{args.features}/table")
-        _write(TR.train_from_table(spark, table, fm, cfg, f"{args.out}/model"), f"{args.out}/metrics", args.json)
+        _write(TR.train_from_table(spark, table, fm, cfg, f"{args.out}/model", info.get("dataFile")),
+               f"{args.out}/metrics", args.json)
     elif args.cmd == "train":
         metrics = TR.run_training(spark, _sessions(spark, args), _cfg(args), f"{args.out}/features",
-                                  f"{args.out}/model")
+                                  f"{args.out}/model", ",".join(args.sessions))
         _write(metrics, f"{args.out}/metrics", args.json)
     elif args.cmd == "stats":
         hourly = with_day(hourly_peak(five_min_rollup(_sessions(spark, args))))
         SC.write_statistics(hourly, f"{args.out}/hourly", f"{args.out}/daily")
     else:
-        model, _ = TR.load_model(spark, args.model)
+        model, info = TR.load_model(spark, args.model)
         servers = args.servers.split(",") if args.servers else None
-        pred = SC.run_scoring(spark, model, _cfg(args), f"{args.stats}/hourly", f"{args.stats}/daily", servers)
+        pred, coverage = SC.run_scoring(spark, model, _cfg_from_info(info, args), f"{args.stats}/hourly",
+                                        f"{args.stats}/daily", servers)
         _write(pred, args.out, args.json)
+        _write(coverage, f"{args.out}-coverage", args.json)
     if own:
         spark.stop()
 

@@ -7,7 +7,6 @@ lag offsets, the rolling-window shape, the indexed columns and the forest settin
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, replace
 
 # --------------------------------------------------------------------------------------
@@ -128,6 +127,11 @@ class RunConfig:
     fit_on: str = "all"  # rows the indexer and scaler are fitted on: "all" or "train"
     handle_invalid: str = "skip"  # unseen levels at scoring time
 
+    @property
+    def duration(self) -> str:
+        """``ONE_MONTH`` or ``FULL``: whether training spans one calendar month or more."""
+        return "ONE_MONTH" if self.train_begin[:7] == self.train_end[:7] else "FULL"
+
     def with_(self, **kw) -> "RunConfig":
         return replace(self, **kw)
 
@@ -140,20 +144,13 @@ FULL = RunConfig("2009-01-01 00:00:00", "2016-06-30 23:59:59", "2016-06-01 00:00
                  score_begin="2016-07-01 00:00:00")
 
 # Test fixture: the `events` table (30 days of January 2024), split on the last two days.
-# Thresholds are about the 33rd and 66th percentile of the hourly peak at each scale.
-EVENTS_THRESHOLDS = {"0.001": (24.0, 60.0), "0.01": (40.0, 86.0), "0.1": (197.0, 275.0)}
+# One pair of thresholds for every folder; the hourly peaks grow with the scale, and each
+# scale has at least two load classes between them.
 EVENTS = RunConfig("2024-01-01 00:00:00", "2024-01-30 23:59:59", "2024-01-29 00:00:00",
-                   score_begin="2024-01-29 00:00:00")
+                   low=50.0, high=230.0, score_begin="2024-01-29 00:00:00")
 
 
 # Long-history fixture: `lineitem` as a daily session log, 1995-2001, processed the way the
 # original training ETL did (lags and rolling means over observed rows).
 LINEITEM = RunConfig("1995-01-01 00:00:00", "2001-12-31 23:59:59", "2001-01-01 00:00:00",
                      low=10.0, high=30.0, lag_mode="observed", score_begin="2001-01-01 00:00:00")
-
-
-def events_config(sf_dir: str) -> RunConfig:
-    """Fixture config for an ``.../sf<scale>`` directory."""
-    m = re.search(r"sf([0-9.]+)/?$", sf_dir.rstrip("/"))
-    low, high = EVENTS_THRESHOLDS.get(m.group(1) if m else "", (DEFAULT_LOW, DEFAULT_HIGH))
-    return EVENTS.with_(low=low, high=high)

@@ -7,6 +7,8 @@ adds plain seconds.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,12 +63,27 @@ def grid_points(begin: Column, end: Column, seconds: int) -> Column:
     return F.sequence(lo, hi, F.make_dt_interval(secs=F.lit(seconds)))
 
 
+# Seconds from the first scored hour to the bounds of the horizon: 48 hours are scored,
+# features come from the 365.25/12 days before (both ends inclusive, to the second).
+HORIZON_OFFSETS = {
+    "score_begin": 0,
+    "score_end": SCORE_HOURS * HOUR - 1,
+    "feature_begin": 1 - FEATURE_WINDOW_SECONDS,
+    "feature_end": -1,
+}
+
+
 def horizon_columns(score_begin: Column) -> dict[str, Column]:
-    """Scoring horizon from its first hour: 48 hours scored, features from the
-    365.25/12 days before (both ends inclusive, to the second)."""
-    return {
-        "score_begin": score_begin,
-        "score_end": add_seconds(score_begin, SCORE_HOURS * HOUR - 1),
-        "feature_begin": add_seconds(score_begin, 1 - FEATURE_WINDOW_SECONDS),
-        "feature_end": add_seconds(score_begin, -1),
-    }
+    """The bounds of the scoring horizon that begins at ``score_begin``."""
+    return {name: add_seconds(score_begin, offset) for name, offset in HORIZON_OFFSETS.items()}
+
+
+def horizon(score_begin: str) -> dict[str, str]:
+    """The same bounds as literals, for partition filters that are made on the driver."""
+    return {name: shift(score_begin, offset) for name, offset in HORIZON_OFFSETS.items()}
+
+
+def shift(ts: str, seconds: float) -> str:
+    """A ``yyyy-MM-dd HH:mm:ss`` literal moved by ``seconds``."""
+    fmt = "%Y-%m-%d %H:%M:%S"
+    return (datetime.strptime(ts, fmt) + timedelta(seconds=seconds)).strftime(fmt)

@@ -115,13 +115,23 @@ def scaled_columns(df: DataFrame, vector: str = SCALED_VECTOR) -> DataFrame:
     return df.withColumns({name: arr[i] for i, name in enumerate(SCALED_COLUMNS)})
 
 
-def one_hot_long(encoded: DataFrame, encode: list[str], key: str = "key") -> DataFrame:
-    """Long form of the one-hot vectors: (key, feature, position, value) for each set slot.
-    One pass: all vectors of a row go into one array that is exploded once."""
-    entries = F.array(*[F.struct(F.lit(c).alias("feature"),
-                                 vector_to_array(F.col(c + "_encoded")).alias("v")) for c in encode])
-    return (encoded.select(F.col(key), F.explode(entries).alias("e"))
-            .select(F.col(key), F.col("e.feature").alias("feature"),
-                    F.posexplode(F.col("e.v")).alias("position", "value"))
-            .where(F.col("value") != 0)
-            .withColumn("position", F.col("position").cast("int")))
+def one_hot_long(indexed: DataFrame, model: FeatureModel, key: str = "key") -> DataFrame:
+    """Long form of the one-hot encoding: (key, feature, position, value) for each set slot.
+
+    A value's slot is its index; the last level has none. Taken from the index columns, so a
+    row makes one entry per feature however many levels there are."""
+    levels = dict(zip(model.indexer.getOutputCols(), map(len, model.indexer.labelsArray)))
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("int").alias("position"),
+                                 F.lit(levels[c] - 1).alias("last")) for c in model.encoded])
+    return (indexed.select(F.col(key), F.explode(entries).alias("e")).where("e.position < e.last")
+            .select(F.col(key), "e.feature", "e.position", F.lit(1.0).alias("value")))
+
+
+def vector_entries(df: DataFrame, vector: str = FEATURES, key: str = "key") -> DataFrame:
+    """(key, position, value) of the non-zero slots of a vector column, sparse or dense."""
+    v = F.unwrap_udt(F.col(vector))
+    sparse = F.arrays_zip(v["indices"].alias("position"), v["values"].alias("value"))
+    dense = F.transform(v["values"], lambda x, i: F.struct(i.alias("position"), x.alias("value")))
+    entries = F.when(v["type"] == 0, sparse).otherwise(dense)
+    return (df.select(F.col(key), F.explode(entries).alias("e")).where("e.value <> 0")
+            .select(F.col(key), "e.position", "e.value"))

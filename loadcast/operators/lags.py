@@ -16,8 +16,6 @@ hour of the history (65,712 rows for 7.5 years), however many sessions it had.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,9 +50,8 @@ def lag_features(hourly: DataFrame, mode: str = "calendar", server: str = "Serve
     return hourly.withColumns(_lag_exprs(mode, server, ts, measure))
 
 
-@lru_cache(maxsize=16)
 def _lag_exprs(mode: str, server: str, ts: str, measure: str) -> dict:
-    """Lag expressions (unresolved, so built once per parameter set; read-only)."""
+    """Lag expressions by output column."""
     if mode == "observed":
         w = Window.partitionBy(server).orderBy(ts)
         cols = {c: F.lag(measure, i).over(w) for i, c in zip(HOURLY_LAGS, LAG_COLUMNS)}

@@ -9,8 +9,6 @@ servers x time buckets, not by the number of sessions.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +16,6 @@ from ..config import DAILY_COLUMNS, FIVE_MIN_SUMS, PEAK_COLUMNS, PEAK_MEASURES
 from ..functions.timegrid import DAY, FIVE_MINUTES, HOUR, epoch_seconds, floor_ts
 
 
-# Unresolved expressions are built once per process and shared by every plan (building
-# them costs more Python-to-JVM calls than analysing the plan).
-@lru_cache(maxsize=1)
 def _rollup_exprs():
     aggs = [F.sum(src).alias(name) for name, src in FIVE_MIN_SUMS]
     aggs.insert(1, F.count(F.lit(1)).alias("NumSession"))
@@ -50,7 +45,6 @@ def hourly_peak(rollup: DataFrame) -> DataFrame:
     return rollup.where(keep).groupBy("ServerIP", hour).agg(best).select(*out)
 
 
-@lru_cache(maxsize=1)
 def _peak_exprs():
     load = F.coalesce(F.col("SumTotalLoad"), F.lit(0.0))
     order = F.struct(load.alias("l"), (-epoch_seconds("SessionStartFiveMin")).alias("t"))

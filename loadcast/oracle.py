@@ -1,8 +1,9 @@
 """DuckDB SQL for every query with a relational equivalent (the correctness oracle).
 
-The SQL is written independently of the Spark code: it states each result in plain SQL
-over the pre-registered test tables. Doubles are rounded to 6 places on both sides,
-because sums and means in a different order differ in the last bits.
+The SQL states each result in plain SQL over the pre-registered test tables. It shares the
+fixed names and values of ``config`` (column spellings, offsets, the list of holidays) with
+the Spark code, and no logic. Doubles are rounded to 6 places on both sides, because sums and
+means in a different order differ in the last bits.
 """
 
 from __future__ import annotations
@@ -13,24 +14,17 @@ from .config import (DAILY_COLUMNS, FIVE_MIN_SUMS, HOURLY_LAGS, INDEX_COLUMNS, L
                      SECONDS_PER_YEAR, RunConfig)
 from .functions.calendar import FIXED_DATE_HOLIDAYS, FLOATING_HOLIDAYS
 
-R = 6  # decimal places for values below 1e3
-# Doubles are compared after rounding to a scale that shrinks with magnitude (6 decimals
-# below 1e3, 4 below 1e5, 2 below 1e7, else 0), so the last bits that two engines sum in
-# a different order never reach the compared digits. Values are nudged by NUDGE
-# (relative) first, on both sides, so an exact half-way value computed one ulp low by one
-# engine still rounds like the other.
-NUDGE = 1e-12
-SCALES = [(1e3, 6), (1e5, 4), (1e7, 2)]
-LAST_SCALE = 0
+R = 6  # decimal places of every compared double
+# Two engines add the same doubles in a different order, so a value exactly half-way between
+# two rounded ones can come out a last bit low in one of them. Both sides add HALF_WAY first,
+# far below the compared digits and above that noise.
+HALF_WAY = 1e-9
 
 
 def r6(expr: str) -> str:
     """Round as Spark's ``round`` does (half away from zero on the decimal value; DuckDB's
-    ``round`` on a double works on the binary value instead), at the magnitude's scale."""
-    def at(scale: int) -> str:
-        return f"CAST(round(CAST(({expr}) * (1 + {NUDGE}) AS DECIMAL(38, 18)), {scale}) AS DOUBLE)"
-    whens = " ".join(f"WHEN abs({expr}) < {lim} THEN {at(sc)}" for lim, sc in SCALES)
-    return f"(CASE {whens} ELSE {at(LAST_SCALE)} END)"
+    ``round`` on a double works on the binary value instead)."""
+    return f"CAST(round(CAST(({expr}) + {HALF_WAY} AS DECIMAL(38, 18)), {R}) AS DOUBLE)"
 
 
 def rnd(expr: str, alias: str) -> str:
@@ -62,7 +56,8 @@ SELECT event_type AS TrafficType,
        CASE WHEN event_type = 'view' THEN value ELSE 0.0 END AS SubSerivce_5_Load,
        CASE WHEN {_K} % 2 = 0 THEN value ELSE 0.0 END AS SecureBytes_Load,
        value AS TotalLoad,
-       '10.0.0.' || CAST(user_id % 8 AS VARCHAR) AS ServerIP,
+       CASE WHEN event_id % 97 = 0 THEN 'IPs' WHEN event_id % 89 = 0 THEN NULL
+            ELSE '10.0.0.' || CAST(user_id % 8 AS VARCHAR) END AS ServerIP,
        '172.16.0.' || CAST(user_id AS VARCHAR) AS ClientIP
 FROM events"""
 
@@ -199,16 +194,19 @@ FROM lagged l LEFT JOIN rolling r
     ]
 
 
-def index_ctes(src: str = "features") -> list[tuple[str, str]]:
-    """Frequency rank of each categorical value (ties by the value as text), 0-based."""
+def index_ctes(src: str = "features", levels_from: str | None = None, unseen: bool = False) -> list[tuple[str, str]]:
+    """Frequency rank of each categorical value (ties by the value as text), 0-based. With
+    ``unseen``, a value that ``levels_from`` doesn't hold gets the number of its levels."""
     out = []
     for c in INDEX_COLUMNS:
         out.append((f"lv_{c}", f"""
 SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v ASC) - 1 AS DOUBLE) AS i,
        count(*) OVER () AS levels
-FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {src} GROUP BY 1)"""))
-    joins = " ".join(f"JOIN lv_{c} ON lv_{c}.v = CAST(f.{c} AS VARCHAR)" for c in INDEX_COLUMNS)
-    idx = ", ".join(f"lv_{c}.i AS {c}_indexed" for c in INDEX_COLUMNS)
+FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {levels_from or src} GROUP BY 1)"""))
+    kind = "LEFT JOIN" if unseen else "JOIN"
+    joins = " ".join(f"{kind} lv_{c} ON lv_{c}.v = CAST(f.{c} AS VARCHAR)" for c in INDEX_COLUMNS)
+    idx = ", ".join((f"coalesce(lv_{c}.i, (SELECT CAST(max(levels) AS DOUBLE) FROM lv_{c}))" if unseen else f"lv_{c}.i")
+                    + f" AS {c}_indexed" for c in INDEX_COLUMNS)
     out.append(("indexed", f"SELECT f.*, {idx} FROM {src} f {joins}"))
     return out
 

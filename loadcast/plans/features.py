@@ -10,11 +10,13 @@ exchange (their keys all start with the server).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..config import (INDEXED_COLUMNS, LAG_COLUMNS, PEAK_COLUMNS, ROLLING_COLUMNS,
+from ..config import (HEADER_SERVER_VALUE, INDEXED_COLUMNS, LAG_COLUMNS, PEAK_COLUMNS, ROLLING_COLUMNS,
                       SCALED_COLUMNS, RunConfig)
 from ..functions.calendar import add_calendar
 from ..functions.labels import fill_numeric
+from ..functions.timegrid import DAY, HOUR, floor_ts, ntz
 from ..operators.encode import FeatureModel, fit_features, scaled_columns
 from ..operators.lags import lag_features, rolling_on_hours
 from ..operators.model import train_test
@@ -32,11 +34,15 @@ def hourly_by_server(sessions: DataFrame) -> DataFrame:
 
 
 def hourly_features(sessions: DataFrame, cfg: RunConfig) -> DataFrame:
-    """One row per observed server-hour with calendar, rolling and lag features.
+    """One row per observed server-hour with calendar, rolling and lag features."""
+    return features_of_hours(hourly_by_server(sessions), cfg)
+
+
+def features_of_hours(hourly: DataFrame, cfg: RunConfig) -> DataFrame:
+    """The same from hourly peaks (with their day), shuffled by server unless they are already.
 
     NULL lags (no history yet) become 0, as they are model inputs.
     """
-    hourly = hourly_by_server(sessions)
     # Lags first: they are ordered by (server, hour), as the hourly aggregation leaves the
     # rows, so they add no sort; the day windows then sort once by day number.
     feats = lag_features(hourly, cfg.lag_mode)
@@ -59,21 +65,50 @@ def encode_features(features: DataFrame, model: FeatureModel) -> DataFrame:
     return out.select(*keep, *INDEXED_COLUMNS, *vectors, *SCALED_COLUMNS)
 
 
-def stage_hourly_features(spark: SparkSession, sessions: DataFrame, cfg: RunConfig, path: str) -> DataFrame:
-    """Compute the hourly features once and keep them as parquet in the shared folder.
+def stage_hourly_features(spark: SparkSession, sessions: DataFrame | None, cfg: RunConfig, path: str,
+                          hourly: DataFrame | None = None) -> DataFrame:
+    """Compute the hourly features once, from sessions or from hourly peaks at hand, and keep
+    them as parquet in the shared folder.
 
     The fits (indexer, scaler) and the final write each read this table instead of
     recomputing from the raw sessions; it also cuts the lineage, so a lost executor
     costs re-reading a file split rather than re-aggregating the sessions.
     """
-    hourly_features(sessions, cfg).write.mode("overwrite").parquet(path)
+    feats = hourly_features(sessions, cfg) if hourly is None else features_of_hours(hourly, cfg)
+    feats.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def build_feature_table(spark: SparkSession, sessions: DataFrame, cfg: RunConfig,
-                        path: str) -> tuple[FeatureModel, DataFrame]:
+def row_counts(raw_sessions: DataFrame, cfg: RunConfig) -> DataFrame:
+    """(metric, n) for the size of each stage, in one pass over the session log.
+
+    Cleaning drops rows by server, a grouping key, so it commutes with the rollup; counts are
+    kept per server-hour, then per server-day, then per server, each a sum of the one before.
+    """
+    split = F.col("hour") < ntz(cfg.test_split_start)
+    roll = five_min_rollup(raw_sessions)
+    clean = F.col("ServerIP").isNotNull() & (F.col("ServerIP") != HEADER_SERVER_VALUE)
+    hours = roll.groupBy("ServerIP", floor_ts("SessionStartFiveMin", HOUR).alias("hour")).agg(
+        F.sum("NumSession").alias("sessions"), F.count(F.lit(1)).alias("five_min_rows"))
+    timed = F.col("hour").isNotNull()
+    days = hours.groupBy("ServerIP", floor_ts("hour", DAY).alias("day")).agg(
+        F.sum("sessions").alias("sessions"), F.sum("five_min_rows").alias("five_min_rows"),
+        F.count_if(timed).alias("hourly_rows"), F.count_if(split).alias("train_rows"), F.count_if(~split).alias("test_rows"))
+    servers = days.groupBy("ServerIP").agg(
+        *[F.sum(c).alias(c) for c in ("sessions", "five_min_rows", "hourly_rows", "train_rows", "test_rows")],
+        F.count("day").alias("server_days"))
+    kept = lambda c: F.coalesce(F.sum(F.when(clean, F.col(c))), F.lit(0))
+    total = servers.agg(
+        F.coalesce(F.sum("sessions"), F.lit(0)).alias("sessions"), kept("sessions").alias("clean_sessions"),
+        F.count_if(clean & (F.col("hourly_rows") > 0)).alias("servers"),
+        *[kept(c).alias(c) for c in ("five_min_rows", "hourly_rows", "server_days", "train_rows", "test_rows")])
+    return total.unpivot([], total.columns, "metric", "n")
+
+
+def build_feature_table(spark: SparkSession, sessions: DataFrame | None, cfg: RunConfig, path: str,
+                        hourly: DataFrame | None = None) -> tuple[FeatureModel, DataFrame]:
     """Fit the encoders, write the feature table to ``path`` and read it back."""
-    feats = stage_hourly_features(spark, sessions, cfg, path + "-hourly")
+    feats = stage_hourly_features(spark, sessions, cfg, path + "-hourly", hourly)
     model = fit_features(fit_rows(feats, cfg), cfg.handle_invalid)
     encode_features(feats, model).write.mode("overwrite").parquet(path)
     return model, spark.read.parquet(path)

@@ -1,9 +1,8 @@
 """Statistics for scoring, 48-hour feature batch and batch prediction, for any set of servers.
 
-The scorer builds each server's hour and day grid over the horizon (a bounded sequence
-per server), fills it from the statistics tables, and computes the same calendar lags,
-rolling means and calendar columns as training, so a server-hour gets the same features
-on both paths.
+The scorer appends the 48 hours to score to each server's stored hours and runs the same
+lag, rolling-mean and calendar code over them as training does, on one partitioning by
+server, so a server-hour gets the same features on both paths.
 """
 
 from __future__ import annotations
@@ -11,46 +10,40 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import (DAILY_COLUMNS, LAG_COLUMNS, PEAK_COLUMNS, ROLLING_COLUMNS, SCORE_HOURS,
-                      FEATURE_WINDOW_SECONDS, RunConfig)
+from ..config import LAG_COLUMNS, PEAK_COLUMNS, ROLLING_COLUMNS, RunConfig
 from ..functions.calendar import add_calendar
 from ..functions.labels import fill_numeric
-from ..functions.timegrid import DAY, HOUR, floor_ts, ntz
+from ..functions.timegrid import DAY, HOUR, floor_ts, horizon, ntz, shift
 from ..operators.encode import prepare_for_index
-from ..operators.gapfill import gap_fill, server_grid
-from ..operators.lags import join_daily_lags, lag_features, rolling_daily_mean
+from ..operators.lags import lag_features, rolling_on_hours
 from ..operators.rollup import daily_mean, row_key, with_day
+from ..session import scratch_path
 from ..sources.sessions import filter_servers
-from ..sources.stats_store import daily_stats, hourly_stats, read_stats, shift, write_stats
+from ..sources.stats_store import daily_stats, hourly_stats, of_months, read_stats, write_stats
 
 SCORE_FEATURE_COLUMNS = (["key", "ServerIP", "SessionStartHourTime"] + LAG_COLUMNS + ROLLING_COLUMNS
                          + ["linearTrend", "dayofweek", "year", "month", "weekofyear", "dayofmonth",
                             "hourofday", "Holiday", "BusinessHour", "Morning"])
 
 
-def horizon(score_begin: str) -> dict[str, str]:
-    """Scored hours [score_begin, score_end]; features from [feature_begin, feature_end]."""
-    return {
-        "score_begin": score_begin,
-        "score_end": shift(score_begin, SCORE_HOURS * HOUR - 1),
-        "feature_begin": shift(score_begin, 1 - FEATURE_WINDOW_SECONDS),
-        "feature_end": shift(score_begin, -1),
-    }
-
-
 def write_statistics(hourly: DataFrame, hourly_path: str, daily_path: str) -> None:
     """Hourly peaks and their daily means, stored by (year, month).
 
-    The daily means are computed from the hourly table just written, so the sessions are
-    aggregated once for both tables.
+    Both tables are merged into what is stored. The batch is staged first, so the sessions
+    are aggregated once; the daily means are computed from the stored hours of the months
+    that the batch touches, and of no others.
     """
-    write_stats(hourly_stats(hourly.drop("SessionStartDay")), hourly_path)
-    stored = hourly.sparkSession.read.parquet(hourly_path)
-    write_stats(daily_stats(daily_mean(with_day(stored.select("ServerIP", "SessionStartHourTime",
-                                                              *PEAK_COLUMNS)))), daily_path)
+    spark = hourly.sparkSession
+    path = scratch_path(spark, "stats-batch")
+    hourly_stats(hourly.drop("SessionStartDay")).write.parquet(path)
+    months = write_stats(spark.read.parquet(path), hourly_path, ["ServerIP", "SessionStartHourTime"])
+    if months:
+        stored = of_months(spark.read.parquet(hourly_path), months).select(
+            "ServerIP", "SessionStartHourTime", *PEAK_COLUMNS)
+        write_stats(daily_stats(daily_mean(with_day(stored))), daily_path, ["ServerIP", "SessionStartDay"])
 
 
 def stats_for_score(spark: SparkSession, hourly_path: str, daily_path: str, score_begin: str,
@@ -73,24 +66,29 @@ def _floor(ts: str, seconds: int) -> str:
     return shift("1970-01-01 00:00:00", secs - secs % seconds)
 
 
-def score_features(hs: DataFrame, ds: DataFrame, cfg: RunConfig, servers: DataFrame | None = None) -> DataFrame:
-    """Feature rows for the 48 scored hours of every server (default: servers in ``hs``)."""
-    h = horizon(cfg.score_begin)
-    servers = (servers if servers is not None else hs.select("ServerIP")).distinct()
-    lo, hi = ntz(h["feature_begin"]), ntz(h["score_end"])
-
-    hours = server_grid(servers, lo, hi, HOUR, out="SessionStartHourTime")
-    hours = gap_fill(hours, hs.select("ServerIP", "SessionStartHourTime", *PEAK_COLUMNS[:1]),
-                     ["ServerIP", "SessionStartHourTime"])
-    hours = lag_features(hours, "calendar")
-    hours = hours.where(F.col("SessionStartHourTime").between(ntz(h["score_begin"]), hi))
-
-    days = server_grid(servers, lo, hi, DAY, out="SessionStartDay")
-    days = gap_fill(days, ds.select("ServerIP", "SessionStartDay", *DAILY_COLUMNS),
-                    ["ServerIP", "SessionStartDay"])
-    days = rolling_daily_mean(days, "calendar")
+def score_features(hs: DataFrame, cfg: RunConfig, servers: DataFrame | None = None) -> DataFrame:
+    """Feature rows for the 48 scored hours of every server in ``servers`` (a DataFrame of
+    ``ServerIP``), whether or not it has statistics; by default of every server in ``hs``.
 
-    out = join_daily_lags(hours.withColumn("SessionStartDay", floor_ts("SessionStartHourTime", DAY)), days)
+    ``hs`` is read once and shuffled once, by server. The first, partial day of the window
+    lies before every rolling frame, so daily means of the window's hours are the stored ones.
+    """
+    h = horizon(cfg.score_begin)
+    begin, end = ntz(h["score_begin"]), ntz(h["score_end"])
+    hour = F.col("SessionStartHourTime")
+    ahead = F.sequence(begin, floor_ts(end, HOUR), F.make_dt_interval(hours=F.lit(1)))
+    rows = hs.where(hour < begin).select("ServerIP", "SessionStartHourTime", *PEAK_COLUMNS)
+    if servers is not None:
+        scored = servers.select("ServerIP").distinct().select("ServerIP", F.explode(ahead).alias("SessionStartHourTime"))
+        rows = rows.unionByName(scored, allowMissingColumns=True).repartition("ServerIP")
+    else:
+        # each server's first row also brings the hours to score; explode keeps the partitioning
+        first = F.row_number().over(Window.partitionBy("ServerIP").orderBy("SessionStartHourTime")) == 1
+        own = F.array(hour)
+        rows = rows.repartition("ServerIP").withColumn("_hour", F.when(first, F.concat(own, ahead)).otherwise(own))
+        rows = rows.withColumn("SessionStartHourTime", F.explode("_hour")).drop("_hour")
+        rows = rows.withColumns({c: F.when(hour < begin, F.col(c)) for c in PEAK_COLUMNS})
+    out = rolling_on_hours(lag_features(with_day(rows), "calendar"), "calendar").where(hour >= begin)
     out = add_calendar(out, "SessionStartHourTime", cfg.train_begin)
     out = out.withColumn("key", row_key("ServerIP", "SessionStartHourTime"))
     out = fill_numeric(out, LAG_COLUMNS + ROLLING_COLUMNS + ["linearTrend"], 0)
@@ -102,19 +100,39 @@ def score_batch(model: PipelineModel, features: DataFrame) -> DataFrame:
     return model.transform(prepare_for_index(features)).select("ServerIP", "SessionStartHourTime", "prediction")
 
 
+def server_frame(spark: SparkSession, servers) -> DataFrame | None:
+    """A list of servers, or a DataFrame that holds ``ServerIP``, as a DataFrame."""
+    if servers is None or isinstance(servers, DataFrame):
+        return servers
+    return spark.createDataFrame([(s,) for s in servers], "ServerIP string")
+
+
+def features_for_scoring(spark: SparkSession, cfg: RunConfig, hourly_path: str, daily_path: str,
+                         servers=None) -> DataFrame:
+    """Feature rows from the stored statistics, for the given servers or for all stored ones."""
+    hs, _ = stats_for_score(spark, hourly_path, daily_path, cfg.score_begin, servers)
+    return score_features(hs, cfg, server_frame(spark, servers))
+
+
 def run_scoring(spark: SparkSession, model: PipelineModel, cfg: RunConfig, hourly_path: str,
-                daily_path: str, servers=None) -> DataFrame:
-    """Predictions for the 48 hours from ``cfg.score_begin`` for the given servers (a list
-    or a one-column DataFrame of ``ServerIP``), or for every server in the statistics."""
-    hs, ds = stats_for_score(spark, hourly_path, daily_path, cfg.score_begin, servers)
-    return score_batch(model, score_features(hs, ds, cfg))
+                daily_path: str, servers=None) -> tuple[DataFrame, DataFrame]:
+    """(predictions, coverage) for the 48 hours from ``cfg.score_begin`` of the given servers
+    (a list or a one-column DataFrame of ``ServerIP``), or of every server in the statistics.
+    Coverage counts the rows asked for, scored, and skipped for an unseen level."""
+    feats = features_for_scoring(spark, cfg, hourly_path, daily_path, servers)
+    path = scratch_path(spark, "score-features")
+    feats.write.parquet(path)
+    feats = spark.read.parquet(path)
+    return score_batch(model, feats), score_coverage(model.stages[0], feats)
 
 
 def score_coverage(indexer, features: DataFrame) -> DataFrame:
-    """(metric, n): feature rows, rows the model scores, rows it skips for an unseen level.
+    """(metric, n): feature rows, rows the model scores, rows it skips for an unseen level
+    (none when the indexer itself keeps unseen levels).
 
     One pass: a copy of the fitted indexer that keeps unseen values maps them to the extra
     index ``len(labels)``; a row is skipped when any of its columns gets that index."""
+    strict = indexer.getHandleInvalid() != "keep"
     keep = indexer.copy().setHandleInvalid("keep")
     idx = keep.transform(prepare_for_index(features))
     unseen = None
@@ -122,6 +140,6 @@ def score_coverage(indexer, features: DataFrame) -> DataFrame:
         hit = F.col(col) >= F.lit(float(len(labels)))
         unseen = hit if unseen is None else (unseen | hit)
     counts = idx.agg(F.count(F.lit(1)).alias("feature_rows"),
-                     F.count(F.when(~unseen, 1)).alias("scored_rows"),
-                     F.count(F.when(unseen, 1)).alias("skipped_rows"))
+                     F.count(F.when(~unseen | F.lit(not strict), 1)).alias("scored_rows"),
+                     F.count(F.when(unseen & F.lit(strict), 1)).alias("skipped_rows"))
     return counts.unpivot([], counts.columns, "metric", "n")

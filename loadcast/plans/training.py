@@ -44,13 +44,16 @@ def evaluate(pred: DataFrame) -> DataFrame:
 
 # ---- persistence: the fitted pipeline plus a one-row run-info dataset -------------------
 
-def save_model(spark: SparkSession, model: PipelineModel, fm: FeatureModel, cfg: RunConfig, path: str) -> None:
-    """``path/pipeline``: the fitted stages; ``path/info``: run config and column lists (one JSON row)."""
+def save_model(spark: SparkSession, model: PipelineModel, fm: FeatureModel, cfg: RunConfig, path: str,
+               data_file: str | None = None) -> None:
+    """``path/pipeline``: the fitted stages; ``path/info``: run config, data path, duration and
+    column lists (one JSON row)."""
     model.write().overwrite().save(f"{path}/pipeline")
     info = {"trainBegin": cfg.train_begin, "trainEnd": cfg.train_end,
             "testSplitStart": cfg.test_split_start, "low": cfg.low, "high": cfg.high,
-            "lagMode": cfg.lag_mode, "columnOnlyIndexed": fm.only_indexed,
-            "columnForEncode": fm.encoded}
+            "lagMode": cfg.lag_mode, "fitOn": cfg.fit_on, "handleInvalid": cfg.handle_invalid,
+            "scoreBegin": cfg.score_begin or "", "dataFile": data_file or "", "duration": cfg.duration,
+            "columnOnlyIndexed": fm.only_indexed, "columnForEncode": fm.encoded}
     spark.createDataFrame([info]).coalesce(1).write.mode("overwrite").json(f"{path}/info")
 
 
@@ -60,9 +63,17 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     return PipelineModel.load(f"{path}/pipeline"), info
 
 
-def save_features(spark: SparkSession, fm: FeatureModel, cfg: RunConfig, path: str) -> None:
+def config_from_info(info: dict) -> RunConfig:
+    """The run config that was stored with a model or with encoders."""
+    return RunConfig(info["trainBegin"], info["trainEnd"], info["testSplitStart"], low=info["low"], high=info["high"],
+                     score_begin=info.get("scoreBegin") or None, lag_mode=info["lagMode"],
+                     fit_on=info.get("fitOn", "all"), handle_invalid=info.get("handleInvalid", "skip"))
+
+
+def save_features(spark: SparkSession, fm: FeatureModel, cfg: RunConfig, path: str,
+                  data_file: str | None = None) -> None:
     """The fitted encoders (indexer, encoder, scaler) and their column lists."""
-    save_model(spark, fm.pipeline(), fm, cfg, path)
+    save_model(spark, fm.pipeline(), fm, cfg, path, data_file)
 
 
 def load_features(spark: SparkSession, path: str) -> tuple[FeatureModel, dict]:
@@ -78,18 +89,18 @@ def load_features(spark: SparkSession, path: str) -> tuple[FeatureModel, dict]:
 
 
 def train_from_table(spark: SparkSession, table: DataFrame, fm: FeatureModel, cfg: RunConfig,
-                     model_path: str) -> DataFrame:
+                     model_path: str, data_file: str | None = None) -> DataFrame:
     """Forest on a stored feature table; model saved; metrics per split returned."""
     model, rf = train(table, fm, cfg)
-    save_model(spark, model, fm, cfg, model_path)
+    save_model(spark, model, fm, cfg, model_path, data_file)
     return evaluate(predictions(table, rf, fm, cfg))
 
 
 def run_training(spark: SparkSession, sessions: DataFrame, cfg: RunConfig, feature_path: str,
-                 model_path: str) -> DataFrame:
+                 model_path: str, data_file: str | None = None) -> DataFrame:
     """Feature table -> forest -> metrics per split; model and run info saved.
 
     Returns the metrics (one row per split)."""
     from .features import build_feature_table
     fm, table = build_feature_table(spark, sessions, cfg, feature_path)
-    return train_from_table(spark, table, fm, cfg, model_path)
+    return train_from_table(spark, table, fm, cfg, model_path, data_file)

@@ -2,37 +2,38 @@
 
 Every query reads the whole test tables (``events`` as the session log, ``lineitem`` for
 the long history). ``ORACLE`` holds the DuckDB SQL of each query that has one. Doubles
-in the output are rounded half-up at a scale that shrinks with magnitude, and the SQL
-rounds the same way (see ``oracle.SCALES``).
+in the output are rounded half-up to six decimals, and the SQL rounds the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import oracle as O
 from .config import (DAILY_COLUMNS, FIVE_MIN_SUMS, INDEX_COLUMNS, INDEXED_COLUMNS, LAG_COLUMNS, PEAK_COLUMNS,
-                     LINEITEM, ROLLING_COLUMNS, SCALED_COLUMNS, SUM_COLUMNS, RunConfig, events_config)
+                     EVENTS, LINEITEM, ROLLING_COLUMNS, SCALED_COLUMNS, SUM_COLUMNS, RunConfig)
 from .functions.calendar import add_calendar, calendar_columns, is_federal_holiday
 from .functions.labels import drop_null_keys, fill_numeric, load_label
 from .functions.timegrid import DAY, FIVE_MINUTES, HOUR, floor_ts, horizon_columns, ntz
-from .operators.encode import fit_features, one_hot_long, prepare_for_index, scaled_columns
+from .operators.encode import (fit_features, one_hot_long, prepare_for_index, scaled_columns,
+                               vector_entries)
 from .operators.gapfill import gap_fill, grid_outer_join, server_grid, time_grid
 from .operators.lags import join_daily_lags, lag_features, rolling_daily_mean
 from .operators.model import add_label, classification_metrics, split_column
-from .operators.rollup import daily_mean, five_min_rollup, hourly_peak, with_day
+from .operators.rollup import daily_mean, five_min_rollup, hourly_peak, row_key, with_day
 from .plans import features as FT
 from .plans import scoring as SC
 from .plans import training as TR
 from .session import scratch_path
 from .streaming.score_stream import score_files_once
-from .sources.sessions import (clean_sessions, filter_servers, read_sessions_csv,
-                               sessions_from_events, sessions_from_lineitem, write_sessions_csv)
+from .sources.sessions import (WRITE_TIMESTAMP_FORMAT, clean_sessions, filter_servers, read_sessions_csv,
+                               read_sessions_text, sessions_from_events, sessions_from_lineitem,
+                               unparsed_times, write_sessions_csv)
 from .sources.records import read_records, write_records
 from .sources.views import floor_sql, register_views
 from .sources.tables import table
@@ -43,10 +44,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---- helpers ------------------------------------------------------------------------------
 
 def round_double_sql(name: str) -> str:
-    """Half-up rounding at a scale that shrinks with magnitude (see ``oracle.SCALES``)."""
-    x = f"(`{name}` * {1 + O.NUDGE!r})"
-    whens = " ".join(f"WHEN abs(`{name}`) < {lim!r} THEN round({x}, {sc})" for lim, sc in O.SCALES)
-    return f"CASE {whens} ELSE round({x}, {O.LAST_SCALE}) END AS `{name}`"
+    """Half-up rounding to ``oracle.R`` decimals."""
+    return f"round(`{name}` + {O.HALF_WAY!r}D, {O.R}) AS `{name}`"
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -77,10 +76,6 @@ def staged_hourly(spark, d) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def cfg_of(d) -> RunConfig:
-    return events_config(d)
-
-
 def bounds_row(spark, begin: str, end: str) -> DataFrame:
     return spark.range(1).select(ntz(begin).alias("b"), ntz(end).alias("e"))
 
@@ -105,11 +100,6 @@ def register(name: str, sql: str | Callable[[RunConfig], str] | None = None):
     return deco
 
 
-# The oracle of a few queries depends on the run config; the fixture config for sf0.01
-# (the scale the check runs at) fixes it.
-ORACLE_CFG = events_config("/root/testdata/sf0.01")
-
-
 # ---- S1-S3, P1, P3: session log -----------------------------------------------------------
 
 @register("csv_roundtrip", O.with_([("raw_sessions", O.RAW_SESSIONS)],
@@ -121,6 +111,15 @@ def q_csv_roundtrip(spark, d):
     return rounded(read_sessions_csv(spark, path))
 
 
+@register("csv_glob", O.with_([("raw_sessions", O.RAW_SESSIONS)], O.final(O.session_cols(), "raw_sessions")))
+def q_csv_glob(spark, d):
+    """The session log as several CSV folders, read back through one glob pattern."""
+    path = scratch_path(spark, "sessions-folders")
+    log = sessions_from_events(table(spark, d, "events"))
+    write_sessions_csv(log, path, folder=F.dayofmonth("SessionStart") % 5)
+    return rounded(read_sessions_csv(spark, f"{path}/folder=*/part-*"))
+
+
 @register("clean_sessions", O.with_([("raw_sessions", O.RAW_SESSIONS), ("sessions", O.SESSIONS)],
                                     O.final(O.session_cols(), "sessions")))
 def q_clean_sessions(spark, d):
@@ -194,9 +193,8 @@ SELECT ServerIP, SessionStartFiveMin,
 FROM rollup"""))
 def q_row_key(spark, d):
     r = five_min_rollup(sessions(spark, d))
-    return r.select("ServerIP", "SessionStartFiveMin",
-                    F.concat(F.col("ServerIP"), F.lit("_"),
-                             floor_ts("SessionStartFiveMin", HOUR).cast("string")).alias("key"))
+    r = r.withColumn("hour", floor_ts("SessionStartFiveMin", HOUR))
+    return r.select("ServerIP", "SessionStartFiveMin", row_key("ServerIP", "hour").alias("key"))
 
 
 # ---- T1, T2, J1, J4, J5: grids -------------------------------------------------------------
@@ -219,17 +217,17 @@ def _cfg_grid_sql(cfg: RunConfig, step: str, floor: str) -> str:
 
 
 @register("grid_outer_join", O.with_(O.base_ctes()[:3] + [
-    ("grid", _cfg_grid_sql(ORACLE_CFG, "5 MINUTE", "time_bucket(INTERVAL '5 minutes', {})"))],
+    ("grid", _cfg_grid_sql(EVENTS, "5 MINUTE", "time_bucket(INTERVAL '5 minutes', {})"))],
     O.final([("Time", False)] + doubles(_ROLLUP_COLS),
             "(SELECT g.ts AS Time, r.* FROM grid g FULL OUTER JOIN rollup r ON g.ts = r.SessionStartFiveMin)")))
 def q_grid_outer_join(spark, d):
-    cfg = cfg_of(d)
+    cfg = EVENTS
     grid = time_grid(bounds_row(spark, cfg.train_begin, cfg.train_end), "b", "e", FIVE_MINUTES)
     return rounded(grid_outer_join(grid, five_min_rollup(sessions(spark, d))))
 
 
 @register("gap_fill_hourly", O.with_(O.base_ctes() + [
-    ("grid", _cfg_grid_sql(ORACLE_CFG, "1 HOUR", "date_trunc('hour', {})")),
+    ("grid", _cfg_grid_sql(EVENTS, "1 HOUR", "date_trunc('hour', {})")),
     ("servers", "SELECT DISTINCT ServerIP FROM hourly")],
     O.final([("ServerIP", False), ("SessionStartHourTime", False)] + doubles(PEAK_COLUMNS), """(
   SELECT s.ServerIP, g.ts AS SessionStartHourTime, h.* EXCLUDE (key, ServerIP, SessionStartHourTime)
@@ -237,7 +235,7 @@ def q_grid_outer_join(spark, d):
   LEFT JOIN hourly h ON h.ServerIP = s.ServerIP AND h.SessionStartHourTime = g.ts)""")))
 def q_gap_fill_hourly(spark, d):
     """Every server x every hour of the run range, peaks NULL where the hour had no data."""
-    cfg = cfg_of(d)
+    cfg = EVENTS
     h = staged_hourly(spark, d).drop("SessionStartDay")
     grid = server_grid(h.select("ServerIP").distinct(), ntz(cfg.train_begin), ntz(cfg.train_end), HOUR,
                        out="SessionStartHourTime")
@@ -246,14 +244,14 @@ def q_gap_fill_hourly(spark, d):
 
 @register("gap_fill_daily", O.with_(O.base_ctes() + [
     ("daily", O.daily_sql()),
-    ("grid", _cfg_grid_sql(ORACLE_CFG, "1 DAY", "date_trunc('day', {})")),
+    ("grid", _cfg_grid_sql(EVENTS, "1 DAY", "date_trunc('day', {})")),
     ("servers", "SELECT DISTINCT ServerIP FROM hourly")],
     O.final([("ServerIP", False), ("SessionStartDay", False)] + doubles(DAILY_COLUMNS), """(
   SELECT s.ServerIP, g.ts AS SessionStartDay, dl.* EXCLUDE (ServerIP, SessionStartDay)
   FROM servers s CROSS JOIN grid g
   LEFT JOIN daily dl ON dl.ServerIP = s.ServerIP AND dl.SessionStartDay = g.ts)""")))
 def q_gap_fill_daily(spark, d):
-    cfg = cfg_of(d)
+    cfg = EVENTS
     h = staged_hourly(spark, d)
     grid = server_grid(h.select("ServerIP").distinct(), ntz(cfg.train_begin), ntz(cfg.train_end), DAY,
                        out="SessionStartDay")
@@ -296,14 +294,23 @@ def q_lag_calendar(spark, d):
     return rounded(lag_features(hourly_by_server(spark, d), "calendar").select(*_LAG_OUT))
 
 
-@register("null_fill", O.with_(O.base_ctes() + [("lagged", O.lags_sql("hourly", "observed"))],
-                               O.final(doubles(_LAG_OUT), "(SELECT key, ServerIP, SessionStartHourTime, peakLoad, "
-                                       + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in LAG_COLUMNS)
-                                       + " FROM lagged WHERE ServerIP IS NOT NULL AND SessionStartHourTime IS NOT NULL)")))
+_EARLIER = "2023-12-25 00:00:00"  # a grid that begins before the data has hours without any server
+
+
+@register("null_fill", O.with_(O.base_ctes() + [
+    ("lagged", O.lags_sql("hourly", "observed")),
+    ("grid", _cfg_grid_sql(EVENTS.with_(train_begin=_EARLIER), "1 HOUR", "date_trunc('hour', {})")),
+    ("all_hours", "SELECT g.ts AS Time, l.* FROM grid g FULL OUTER JOIN lagged l ON g.ts = l.SessionStartHourTime")],
+    O.final([("Time", False)] + doubles(_LAG_OUT), "(SELECT Time, key, ServerIP, SessionStartHourTime, peakLoad, "
+            + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in LAG_COLUMNS)
+            + " FROM all_hours WHERE ServerIP IS NOT NULL AND SessionStartHourTime IS NOT NULL)")))
 def q_null_fill(spark, d):
-    """Observed lags with NULL -> 0, rows without server or hour dropped."""
+    """Observed lags on a grid of hours, NULL lags -> 0; the grid's hours without a server go."""
     lagged = lag_features(hourly_by_server(spark, d), "observed").select(*_LAG_OUT)
-    return rounded(fill_numeric(drop_null_keys(lagged, ["ServerIP", "SessionStartHourTime"]), LAG_COLUMNS, 0))
+    grid = time_grid(bounds_row(spark, _EARLIER, EVENTS.train_end), "b", "e", HOUR)
+    rows = grid_outer_join(grid, lagged, ts="SessionStartHourTime")
+    return rounded(fill_numeric(drop_null_keys(rows, ["ServerIP", "SessionStartHourTime"]), LAG_COLUMNS, 0)
+                   .select("Time", *_LAG_OUT))
 
 
 _J2_COLS = ["key", "ServerIP", "SessionStartHourTime", "SessionStartDay", "peakLoad"] + ROLLING_COLUMNS
@@ -332,7 +339,7 @@ _CAL = ["year", "month", "weekofyear", "dayofmonth", "hourofday", "dayofweek", "
 SELECT key, {O.calendar_select('SessionStartHourTime', cfg.train_begin)}
 FROM hourly"""))
 def q_calendar_features(spark, d):
-    return rounded(add_calendar(hourly(spark, d), "SessionStartHourTime", cfg_of(d).train_begin)
+    return rounded(add_calendar(hourly(spark, d), "SessionStartHourTime", EVENTS.train_begin)
                    .select("key", *_CAL))
 
 
@@ -340,7 +347,7 @@ def q_calendar_features(spark, d):
 SELECT key, {O.r6(f"coalesce((epoch(SessionStartHourTime) - epoch(TIMESTAMP '{cfg.train_begin}')) / {O.SECONDS_PER_YEAR}, 0.0)")} AS linearTrend
 FROM hourly"""))
 def q_linear_trend(spark, d):
-    cols = calendar_columns("SessionStartHourTime", cfg_of(d).train_begin)
+    cols = calendar_columns("SessionStartHourTime", EVENTS.train_begin)
     return rounded(hourly(spark, d).select("key", cols["linearTrend"].alias("linearTrend")))
 
 
@@ -372,7 +379,7 @@ def q_holiday_flag(spark, d):
 @register("load_label", lambda cfg: O.with_(O.base_ctes(), f"""
 SELECT key, {O.r6('peakLoad')} AS peakLoad, {O.label_sql('peakLoad', cfg)} AS label FROM hourly"""))
 def q_load_label(spark, d):
-    return rounded(add_label(hourly(spark, d), cfg_of(d)).select("key", "peakLoad", "label"))
+    return rounded(add_label(hourly(spark, d), EVENTS).select("key", "peakLoad", "label"))
 
 
 def _split_sql(cfg: RunConfig, t: str) -> str:
@@ -382,7 +389,7 @@ def _split_sql(cfg: RunConfig, t: str) -> str:
 @register("train_test_split", lambda cfg: O.with_(O.base_ctes(), f"""
 SELECT key, SessionStartHourTime, {_split_sql(cfg, 'SessionStartHourTime')} AS split FROM hourly"""))
 def q_train_test_split(spark, d):
-    return hourly(spark, d).select("key", "SessionStartHourTime", split_column(cfg_of(d)).alias("split"))
+    return hourly(spark, d).select("key", "SessionStartHourTime", split_column(EVENTS).alias("split"))
 
 
 @register("label_distribution", lambda cfg: O.with_(O.base_ctes(), f"""
@@ -390,7 +397,7 @@ SELECT {_split_sql(cfg, 'SessionStartHourTime')} AS split, {O.label_sql('peakLoa
        count(*) AS n
 FROM hourly GROUP BY 1, 2"""))
 def q_label_distribution(spark, d):
-    cfg = cfg_of(d)
+    cfg = EVENTS
     return (add_label(hourly(spark, d), cfg).withColumn("split", split_column(cfg))
             .groupBy("split", "label").agg(F.count(F.lit(1)).alias("n")))
 
@@ -405,33 +412,24 @@ UNION ALL SELECT 'servers', count(DISTINCT ServerIP) FROM hourly
 UNION ALL SELECT 'train_rows', count(*) FROM hourly WHERE SessionStartHourTime < TIMESTAMP '{cfg.test_split_start}'
 UNION ALL SELECT 'test_rows', count(*) FROM hourly WHERE SessionStartHourTime >= TIMESTAMP '{cfg.test_split_start}'"""))
 def q_row_counts(spark, d):
-    """Size of each stage, one (metric, n) row per count.
-
-    The sessions are read and rolled up once: the five-minute rollup of the raw log
-    (cleaning drops rows by server, a grouping key, so it commutes with the rollup) is
-    staged as parquet in the shared folder, and every count is taken from that table.
-    """
-    cfg = cfg_of(d)
-    path = scratch_path(spark, "rollup-all")
-    five_min_rollup(sessions_from_events(table(spark, d, "events"))).write.mode("overwrite").parquet(path)
-    roll_all = spark.read.parquet(path)
-    roll = clean_sessions(roll_all)
-    h = hourly_peak(roll)
-    split = F.col("SessionStartHourTime") < ntz(cfg.test_split_start)
-    one = F.count(F.lit(1))
-    stages = [
-        roll_all.agg(F.sum("NumSession").alias("sessions")),
-        roll.agg(F.sum("NumSession").alias("clean_sessions"), one.alias("five_min_rows")),
-        h.agg(one.alias("hourly_rows"), F.count_distinct("ServerIP").alias("servers"),
-              F.count(F.when(split, 1)).alias("train_rows"), F.count(F.when(~split, 1)).alias("test_rows")),
-        daily_mean(h).agg(one.alias("server_days")),
-    ]
-    long = [st.select(*[F.col(c).cast("long").alias(c) for c in st.columns])
-            .unpivot([], st.columns, "metric", "n") for st in stages]
-    out = long[0]
-    for p in long[1:]:
-        out = out.unionByName(p)
-    return out
+    """Size of each stage, one (metric, n) row per count."""
+    return FT.row_counts(sessions_from_events(table(spark, d, "events")), EVENTS)
+
+
+@register("unparsed_times", """
+SELECT 'unparsed_SessionStart' AS metric, count(*) AS n FROM events WHERE event_id % 13 = 0 AND event_id % 97 <> 0
+UNION ALL SELECT 'unparsed_SessionEnd', 0""")
+def q_unparsed_times(spark, d):
+    """CSV rows whose times are in several forms, one of them none: the lost ones are counted."""
+    path = scratch_path(spark, "sessions-times")
+    ts, number = F.col("ts"), F.col("event_id")
+    forms = (F.when(number % 13 == 0, F.concat(F.lit("day "), F.date_format(ts, "D")))
+             .when(number % 3 == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+             .when(number % 3 == 1, F.date_format(ts, "yyyy-MM-dd HH:mm"))
+             .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+    log = sessions_from_events(table(spark, d, "events"), SessionStart=forms)
+    log.write.option("timestampNTZFormat", WRITE_TIMESTAMP_FORMAT).csv(path)
+    return unparsed_times(read_sessions_text(spark, path))
 
 
 # ---- M1-M7, S4, S7: the feature table -------------------------------------------------------
@@ -452,20 +450,46 @@ def _ft_sql(cfg: RunConfig, cols: list[str], source: str = "events") -> str:
                    [("scaled", f"SELECT *, {O.scaled_select()} FROM indexed")], _ft_final(cols))
 
 
-def _features(spark, d):
-    cfg = cfg_of(d)
-    feats = FT.stage_hourly_features(spark, sessions(spark, d), cfg, scratch_path(spark, "hourly-features"))
+def _features(spark, d, hourly_=None):
+    """(config, features, encoders), from the sessions or from hourly peaks at hand."""
+    cfg = EVENTS
+    raw = None if hourly_ is not None else sessions(spark, d)
+    feats = FT.stage_hourly_features(spark, raw, cfg, scratch_path(spark, "hourly-features"), hourly_)
     return cfg, feats, fit_features(FT.fit_rows(feats, cfg), cfg.handle_invalid)
 
 
 @register("feature_table", lambda cfg: _ft_sql(cfg, _FT_COLS))
 def q_feature_table(spark, d):
     """The training feature table, written as parquet and read back (vector columns left out)."""
-    cfg = cfg_of(d)
+    cfg = EVENTS
     _, table_ = FT.build_feature_table(spark, sessions(spark, d), cfg, scratch_path(spark, "feature-table"))
     return rounded(table_.select(*_FT_COLS))
 
 
+# Encoders fitted on the train split only; levels first met in the test split are kept as one
+# extra index.
+TRAIN_FIT = EVENTS.with_(fit_on="train", handle_invalid="keep")
+
+
+def _train_fit_sql(cfg: RunConfig) -> str:
+    ctes = O.features_ctes(cfg) + [("train_rows", f"SELECT * FROM features WHERE SessionStartHourTime < "
+                                                  f"TIMESTAMP '{cfg.test_split_start}'")]
+    ctes += O.index_ctes("features", levels_from="train_rows", unseen=True)
+    devs = ", ".join(f"coalesce(stddev_samp({c}), 0) AS sd_{i}" for i, c in enumerate(O.SCALED_INPUTS))
+    ctes.append(("devs", f"SELECT {devs} FROM train_rows"))
+    scaled = ", ".join(f"CASE WHEN sd_{i} = 0 THEN 0.0 ELSE {c} / sd_{i} END AS {s}"
+                       for i, (c, s) in enumerate(zip(O.SCALED_INPUTS, SCALED_COLUMNS)))
+    ctes.append(("scaled", f"SELECT i.*, {scaled} FROM indexed i, devs"))
+    return O.with_(ctes, _ft_final(_FT_COLS))
+
+
+@register("feature_table_train_fit", _train_fit_sql(TRAIN_FIT))
+def q_feature_table_train_fit(spark, d):
+    """The feature table with indexer and scaler fitted on the train split only."""
+    _, table_ = FT.build_feature_table(spark, sessions(spark, d), TRAIN_FIT, scratch_path(spark, "feature-table"))
+    return rounded(table_.select(*_FT_COLS))
+
+
 def lineitem_sessions(spark, d) -> DataFrame:
     return clean_sessions(sessions_from_lineitem(table(spark, d, "lineitem")))
 
@@ -516,49 +540,63 @@ def _one_hot_sql(cfg: RunConfig) -> str:
 def q_one_hot(spark, d):
     """One-hot vectors in long form: (key, feature, position, 1.0) for each set slot."""
     _, feats, fm = _features(spark, d)
-    return one_hot_long(fm.transform(feats), fm.encoded)
+    return one_hot_long(fm.indexer.transform(prepare_for_index(feats)), fm)
 
 
 def _feature_vector_sql(cfg: RunConfig) -> str:
-    """Vector size = trend + (levels - 1 per encoded column, 1 per index-only column) + 20
-    scaled lags; non-zeros = trend != 0, index-only != 0, encoded index below its last
-    (dropped) level, scaled lag != 0."""
-    lv = {c: f"(SELECT max(levels) FROM lv_{c})" for c in INDEX_COLUMNS}
-    size = " + ".join(f"CASE WHEN {lv[c]} >= 2 THEN {lv[c]} - 1 ELSE 1 END" for c in INDEX_COLUMNS)
-    nz = [f"CASE WHEN linearTrend <> 0 THEN 1 ELSE 0 END"]
-    nz += [f"CASE WHEN ({lv[c]} >= 2 AND {c}_indexed < {lv[c]} - 1) OR ({lv[c]} < 2 AND {c}_indexed <> 0) "
-           f"THEN 1 ELSE 0 END" for c in INDEX_COLUMNS]
-    nz += [f"CASE WHEN {c} <> 0 THEN 1 ELSE 0 END" for c in SCALED_COLUMNS]
+    """Slots in order: trend, the index-only columns (fewer than two levels), the one-hot slots
+    of the others (levels - 1 each), the scaled lags; non-zero slots only."""
+    levels = {c: f"(SELECT max(levels) FROM lv_{c})" for c in INDEX_COLUMNS}
+    only = {c: f"CASE WHEN {n} < 2 THEN 1 ELSE 0 END" for c, n in levels.items()}
+    slots = {c: f"CASE WHEN {n} >= 2 THEN {n} - 1 ELSE 0 END" for c, n in levels.items()}
+    plus = lambda terms: " + ".join(["1", *terms])
+    parts = ["SELECT key, 0 AS position, linearTrend AS value FROM scaled"]
+    for i, c in enumerate(INDEX_COLUMNS):
+        before = INDEX_COLUMNS[:i]
+        parts.append(f"SELECT key, {plus(only[x] for x in before)}, {c}_indexed FROM scaled WHERE {levels[c]} < 2")
+        parts.append(f"SELECT key, {plus([*only.values(), *(slots[x] for x in before)])} + {c}_indexed, 1.0 "
+                     f"FROM scaled WHERE {levels[c]} >= 2 AND {c}_indexed < {levels[c]} - 1")
+    for i, c in enumerate(SCALED_COLUMNS):
+        parts.append(f"SELECT key, {plus([*only.values(), *slots.values()])} + {i}, {c} FROM scaled")
     return O.with_(O.features_ctes(cfg) + O.index_ctes("features") +
-                   [("scaled", f"SELECT *, {O.scaled_select()} FROM indexed")], f"""
-SELECT key, CAST(1 + {size} + {len(SCALED_COLUMNS)} AS INTEGER) AS num_features,
-       CAST({' + '.join(nz)} AS INTEGER) AS num_nonzero
-FROM scaled""")
+                   [("scaled", f"SELECT *, {O.scaled_select()} FROM indexed"), ("slots", "\nUNION ALL\n".join(parts))],
+                   f"SELECT key, CAST(position AS INTEGER) AS position, {O.rnd('value', 'value')} FROM slots WHERE value <> 0")
 
 
 @register("feature_vector", _feature_vector_sql)
 def q_feature_vector(spark, d):
-    """Assembled model input per server-hour (vector size and number of non-zeros)."""
+    """Assembled model input per server-hour: every non-zero slot with its position and value."""
     _, feats, fm = _features(spark, d)
-    arr = vector_to_array(F.col("features"))
-    return fm.transform(feats).select("key", F.size(arr).alias("num_features"),
-                                      F.size(F.filter(arr, lambda x: x != 0)).alias("num_nonzero"))
+    return rounded(vector_entries(fm.transform(feats)))
 
 
 # ---- M8-M10, S9-S11: model ------------------------------------------------------------------
 
-def _trained(spark, d):
-    cfg = cfg_of(d)
-    fm, table_ = FT.build_feature_table(spark, sessions(spark, d), cfg, scratch_path(spark, "feature-table"))
+def _trained(spark, d, hourly_=None):
+    cfg = EVENTS
+    raw = None if hourly_ is not None else sessions(spark, d)
+    fm, table_ = FT.build_feature_table(spark, raw, cfg, scratch_path(spark, "feature-table"), hourly_)
     model, rf = TR.train(table_, fm, cfg)
     return cfg, fm, table_, model, rf
 
 
-@register("rf_train")
+def _train_labels(table_, cfg) -> list[float]:
+    """The load classes of the train split (three at most)."""
+    train = TR.labelled(table_, cfg).where("split = 'train'")
+    return [float(r["label"]) for r in train.select("label").distinct().collect()]
+
+
+@register("rf_train", lambda cfg: O.with_(O.base_ctes(), f"""
+SELECT key, ServerIP, SessionStartHourTime, {_split_sql(cfg, 'SessionStartHourTime')} AS split,
+       {O.label_sql('peakLoad', cfg)} AS label, TRUE AS known_class
+FROM hourly"""))
 def q_rf_train(spark, d):
-    """Fit the forest on the train split; predictions on both splits."""
+    """Fit the forest on the train split; for every row of both splits whether it predicts one
+    of the classes it was fitted on."""
     cfg, fm, table_, model, rf = _trained(spark, d)
-    return TR.predictions(table_, rf, fm, cfg)
+    pred = TR.predictions(table_, rf, fm, cfg)
+    return pred.select("key", "ServerIP", "SessionStartHourTime", "split", "label",
+                       F.col("prediction").isin(_train_labels(table_, cfg)).alias("known_class"))
 
 
 _METRIC_SQL = {
@@ -569,11 +607,26 @@ _METRIC_SQL = {
 }
 
 
-@register("rf_metrics")
+@register("rf_metrics", lambda cfg: O.with_(O.base_ctes(), f"""
+SELECT split, count(*) AS n_rows, count(DISTINCT label) AS n_classes, TRUE AS accuracy, TRUE AS "weightedPrecision",
+       TRUE AS "weightedRecall", TRUE AS f1
+FROM (SELECT {_split_sql(cfg, 'SessionStartHourTime')} AS split, {O.label_sql('peakLoad', cfg)} AS label FROM hourly)
+GROUP BY split"""))
 def q_rf_metrics(spark, d):
-    """The forest's accuracy, weighted precision, weighted recall and F1 on each split."""
+    """The forest's metrics on each split: rows, classes, and whether each metric equals that
+    of Spark's own evaluator to nine decimals."""
     cfg, fm, table_, model, rf = _trained(spark, d)
-    return TR.evaluate(TR.predictions(table_, rf, fm, cfg))
+    path = scratch_path(spark, "predictions")
+    TR.predictions(table_, rf, fm, cfg).withColumn("label", F.col("label").cast("double")).write.parquet(path)
+    pred = spark.read.parquet(path)
+    theirs = spark.createDataFrame(
+        [(split, *[MulticlassClassificationEvaluator(metricName=m).evaluate(pred.where(F.col("split") == split))
+                   for m in _METRIC_SQL]) for split in ("train", "test")],
+        "split string, " + ", ".join(f"spark_{m} double" for m in _METRIC_SQL))
+    sizes = pred.groupBy("split").agg(F.count("*").alias("n_rows"), F.count_distinct("label").alias("n_classes"))
+    return (TR.evaluate(pred).join(theirs, "split").join(sizes, "split")
+            .select("split", "n_rows", "n_classes",
+                    *[(F.abs(F.col(m) - F.col(f"spark_{m}")) < 1e-9).alias(m) for m in _METRIC_SQL]))
 
 
 @register("classifier_metrics", lambda cfg: O.with_(O.features_ctes(cfg) + [("pred", f"""
@@ -595,7 +648,7 @@ def q_classifier_metrics(spark, d):
     """Metrics per split from the confusion matrix. The prediction here is a fixed rule
     (the load class of the 48-hour lag), so SQL can check the metric arithmetic; the
     forest's own metrics use the same function (see tests)."""
-    cfg = cfg_of(d)
+    cfg = EVENTS
     feats = FT.hourly_features(sessions(spark, d), cfg)
     pred = feats.select(split_column(cfg).alias("split"),
                         load_label(F.col("peakLoad"), cfg.low, cfg.high).alias("label"),
@@ -603,15 +656,27 @@ def q_classifier_metrics(spark, d):
     return rounded(classification_metrics(pred, ["split"]))
 
 
-@register("model_roundtrip")
+def _agreement(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Server-hours that either side predicts, and whether both predict the same."""
+    keys = ["ServerIP", "SessionStartHourTime"]
+    other = b.select(*keys, F.col("prediction").alias("other"))
+    return a.join(other, keys, "full").select(*keys, F.coalesce(F.col("prediction") == F.col("other"), F.lit(False))
+                                              .alias("agree"))
+
+
+@register("model_roundtrip", O.with_(O.base_ctes(), "SELECT ServerIP, SessionStartHourTime, TRUE AS agree FROM hourly"))
 def q_model_roundtrip(spark, d):
-    """Save the scoring pipeline and run info, load both, and score the test split."""
-    cfg, fm, table_, model, rf = _trained(spark, d)
+    """Save the scoring pipeline and run info, load both, and score all rows with the model at
+    hand and the loaded one."""
+    h = staged_hourly(spark, d)
+    cfg, fm, table_, model, rf = _trained(spark, d, h)
     path = scratch_path(spark, "model")
     TR.save_model(spark, model, fm, cfg, path)
     loaded, info = TR.load_model(spark, path)
-    feats = FT.hourly_features(sessions(spark, d), cfg).where(F.col("SessionStartHourTime") >= ntz(cfg.test_split_start))
-    return SC.score_batch(loaded, feats)
+    if TR.config_from_info(info) != cfg:
+        raise ValueError(f"stored run info differs: {info}")
+    feats = FT.features_of_hours(h, cfg)
+    return _agreement(SC.score_batch(model, feats), SC.score_batch(loaded, feats))
 
 
 # ---- S5, S6, S8, U1, P2, P4, T4, M10, M11, S13: statistics and scoring ------------------------
@@ -619,9 +684,9 @@ def q_model_roundtrip(spark, d):
 _HSTATS_COLS = _HOURLY_COLS + ["year", "month", "dayofmonth", "hourofday"]
 
 
-def _stats_paths(spark, d):
+def _stats_paths(spark, d, hourly_=None):
     hp, dp = scratch_path(spark, "hourly-stats"), scratch_path(spark, "daily-stats")
-    SC.write_statistics(with_day(hourly(spark, d)), hp, dp)
+    SC.write_statistics(with_day(hourly(spark, d)) if hourly_ is None else hourly_, hp, dp)
     return hp, dp
 
 
@@ -649,21 +714,63 @@ def q_daily_stats(spark, d):
 
 
 def _horizon(cfg: RunConfig) -> dict[str, str]:
-    return SC.horizon(cfg.score_begin)
+    """Bounds of the scoring horizon as SQL, written out."""
+    begin = f"TIMESTAMP '{cfg.score_begin}'"
+    return {"score_begin": begin, "score_end": f"({begin} + INTERVAL 172799 SECOND)",
+            "feature_begin": f"({begin} - INTERVAL 2629799 SECOND)", "feature_end": f"({begin} - INTERVAL 1 SECOND)"}
 
 
 @register("stats_for_score", lambda cfg: O.with_(O.base_ctes(), f"""
 SELECT {_hstats_sql_select()} FROM hourly
-WHERE SessionStartHourTime BETWEEN date_trunc('hour', TIMESTAMP '{_horizon(cfg)['feature_begin']}')
-                               AND TIMESTAMP '{_horizon(cfg)['feature_end']}'"""))
+WHERE SessionStartHourTime BETWEEN date_trunc('hour', {_horizon(cfg)['feature_begin']})
+                               AND {_horizon(cfg)['feature_end']}"""))
 def q_stats_for_score(spark, d):
     """Hourly statistics of the scoring feature window, read from its months only."""
-    cfg = cfg_of(d)
+    cfg = EVENTS
     hp, dp = _stats_paths(spark, d)
     hs, _ = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
     return rounded(hs.select(*_HSTATS_COLS))
 
 
+@register("stats_for_servers", lambda cfg: O.with_(O.base_ctes(), f"""
+SELECT {_hstats_sql_select()} FROM hourly
+WHERE ServerIP IN ('10.0.0.1', '10.0.0.6')
+  AND SessionStartHourTime BETWEEN date_trunc('hour', {_horizon(cfg)['feature_begin']}) AND {_horizon(cfg)['feature_end']}"""))
+def q_stats_for_servers(spark, d):
+    """Statistics of chosen servers only (P2)."""
+    hp, dp = _stats_paths(spark, d)
+    hs, _ = SC.stats_for_score(spark, hp, dp, EVENTS.score_begin, DEBUG_SERVERS)
+    return rounded(hs.select(*_HSTATS_COLS))
+
+
+# A window over the end of January and all of February, out of 84 stored months.
+TWO_MONTHS = LINEITEM.with_(score_begin="1998-03-01 00:00:00")
+
+
+@register("stats_two_months", O.with_(O.base_ctes("lineitem"), f"""
+SELECT {_hstats_sql_select()} FROM hourly
+WHERE SessionStartHourTime BETWEEN date_trunc('hour', {_horizon(TWO_MONTHS)['feature_begin']})
+                               AND {_horizon(TWO_MONTHS)['feature_end']}"""))
+def q_stats_two_months(spark, d):
+    """A window that crosses a month boundary, read from a store of many months (S8, U1)."""
+    hp, dp = scratch_path(spark, "hourly-stats"), scratch_path(spark, "daily-stats")
+    SC.write_statistics(with_day(hourly_peak(five_min_rollup(lineitem_sessions(spark, d)))), hp, dp)
+    hs, _ = SC.stats_for_score(spark, hp, dp, TWO_MONTHS.score_begin)
+    return rounded(hs.select(*_HSTATS_COLS))
+
+
+@register("stats_merge", O.with_(O.base_ctes(), f"SELECT {_hstats_sql_select()} FROM hourly"))
+def q_stats_merge(spark, d):
+    """The statistics written in three batches that each cover a part of the month, one of
+    them twice: no hour is lost and none is doubled."""
+    h = staged_hourly(spark, d)
+    hp, dp = scratch_path(spark, "hourly-stats"), scratch_path(spark, "daily-stats")
+    day = F.dayofmonth("SessionStartHourTime")
+    for part in (day <= 10, day > 20, (day > 10) & (day <= 20), day <= 10):
+        SC.write_statistics(h.where(part), hp, dp)
+    return rounded(spark.read.parquet(hp).select(*_HSTATS_COLS))
+
+
 @register("score_horizon", """
 SELECT score_begin,
        score_begin + INTERVAL 172799 SECOND AS score_end,
@@ -684,24 +791,24 @@ def _score_sql(cfg: RunConfig) -> str:
                                               "scored"))
 
 
-def _score_ctes(cfg: RunConfig) -> list[tuple[str, str]]:
+def _score_ctes(cfg: RunConfig, servers: str = "SELECT DISTINCT ServerIP FROM hs") -> list[tuple[str, str]]:
     h = _horizon(cfg)
     fb, fe, sb, se = h["feature_begin"], h["feature_end"], h["score_begin"], h["score_end"]
     ctes = O.base_ctes() + [
-        ("hs", f"""SELECT * FROM hourly WHERE SessionStartHourTime BETWEEN date_trunc('hour', TIMESTAMP '{fb}')
-                   AND TIMESTAMP '{fe}'"""),
+        ("hs", f"""SELECT * FROM hourly WHERE SessionStartHourTime BETWEEN date_trunc('hour', {fb})
+                   AND {fe}"""),
         ("ds0", O.daily_sql("hourly")),
-        ("ds", f"""SELECT * FROM ds0 WHERE SessionStartDay BETWEEN date_trunc('day', TIMESTAMP '{fb}')
-                   AND TIMESTAMP '{fe}'"""),
-        ("servers", "SELECT DISTINCT ServerIP FROM hs"),
+        ("ds", f"""SELECT * FROM ds0 WHERE SessionStartDay BETWEEN date_trunc('day', {fb})
+                   AND {fe}"""),
+        ("servers", servers),
         ("hgrid", f"""SELECT s.ServerIP, g.t AS SessionStartHourTime, h.peakLoad
-FROM servers s CROSS JOIN (SELECT unnest(generate_series(date_trunc('hour', TIMESTAMP '{fb}'),
-     date_trunc('hour', TIMESTAMP '{se}') + INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS t) g
+FROM servers s CROSS JOIN (SELECT unnest(generate_series(date_trunc('hour', {fb}),
+     date_trunc('hour', {se}) + INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS t) g
 LEFT JOIN hs h ON h.ServerIP = s.ServerIP AND h.SessionStartHourTime = g.t"""),
         ("hlag", O.lags_sql("hgrid", "calendar")),
         ("dgrid", f"""SELECT s.ServerIP, g.t AS SessionStartDay, {', '.join('d.' + c for c in DAILY_COLUMNS)}
-FROM servers s CROSS JOIN (SELECT unnest(generate_series(date_trunc('day', TIMESTAMP '{fb}'),
-     date_trunc('day', TIMESTAMP '{se}') + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS t) g
+FROM servers s CROSS JOIN (SELECT unnest(generate_series(date_trunc('day', {fb}),
+     date_trunc('day', {se}) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS t) g
 LEFT JOIN ds d ON d.ServerIP = s.ServerIP AND d.SessionStartDay = g.t"""),
         ("droll", O.rolling_sql("dgrid", "calendar")),
         ("scored", f"""
@@ -711,16 +818,14 @@ SELECT h.ServerIP || '_' || CAST(h.SessionStartHourTime AS VARCHAR) AS key, h.Se
        {O.calendar_select('h.SessionStartHourTime', cfg.train_begin)}
 FROM hlag h LEFT JOIN droll r
   ON r.ServerIP = h.ServerIP AND r.SessionStartDay = date_trunc('day', h.SessionStartHourTime)
-WHERE h.SessionStartHourTime BETWEEN TIMESTAMP '{sb}' AND TIMESTAMP '{se}'"""),
+WHERE h.SessionStartHourTime BETWEEN {sb} AND {se}"""),
     ]
     return ctes
 
 
-def _score_features(spark, d):
-    cfg = cfg_of(d)
-    hp, dp = _stats_paths(spark, d)
-    hs, ds = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
-    return cfg, SC.score_features(hs, ds, cfg)
+def _score_features(spark, d, hourly_=None):
+    hp, dp = _stats_paths(spark, d, hourly_)
+    return EVENTS, SC.features_for_scoring(spark, EVENTS, hp, dp)
 
 
 @register("score_features", _score_sql)
@@ -729,6 +834,18 @@ def q_score_features(spark, d):
     return rounded(_score_features(spark, d)[1])
 
 
+REQUESTED = ["10.0.0.1", "10.0.0.6", "10.9.9.9"]  # the last has no statistics
+
+
+@register("score_requested_servers", lambda cfg: O.with_(
+    _score_ctes(cfg, "SELECT unnest(['10.0.0.1', '10.0.0.6', '10.9.9.9']) AS ServerIP"),
+    O.final([(c, c in _SCORE_DOUBLES) for c in SC.SCORE_FEATURE_COLUMNS], "scored")))
+def q_score_requested_servers(spark, d):
+    """Feature rows of a list of servers, one of them without any history."""
+    hp, dp = _stats_paths(spark, d)
+    return rounded(SC.features_for_scoring(spark, EVENTS, hp, dp, REQUESTED))
+
+
 @register("json_roundtrip", _score_sql)
 def q_json_roundtrip(spark, d):
     """Scoring feature records written as JSON lines and read back with their schema."""
@@ -738,47 +855,67 @@ def q_json_roundtrip(spark, d):
     return rounded(read_records(spark, path, feats.schema))
 
 
-def _coverage_sql(cfg: RunConfig) -> str:
+def _scored_and_seen(cfg: RunConfig) -> tuple[list[tuple[str, str]], str]:
+    """CTEs up to ``scored``, and whether its row ``s`` holds only levels met in training."""
     ctes = O.features_ctes(cfg)
-    score = _score_ctes(cfg)
     names = {n for n, _ in ctes}
-    ctes += [(n, q) for n, q in score if n not in names]
+    ctes += [(n, q) for n, q in _score_ctes(cfg) if n not in names]
     seen = " AND ".join(f"CAST(s.{c} AS VARCHAR) IN (SELECT CAST({c} AS VARCHAR) FROM features)"
                         for c in INDEX_COLUMNS)
+    return ctes, seen
+
+
+def _coverage_sql(cfg: RunConfig) -> str:
+    ctes, seen = _scored_and_seen(cfg)
     return O.with_(ctes, f"""
 SELECT 'feature_rows' AS metric, count(*) AS n FROM scored
 UNION ALL SELECT 'scored_rows', count(*) FROM scored s WHERE {seen}
 UNION ALL SELECT 'skipped_rows', count(*) FROM scored s WHERE NOT ({seen})""")
 
 
+def _scored_sql(flag: str) -> Callable[[RunConfig], str]:
+    def sql(cfg: RunConfig) -> str:
+        ctes, seen = _scored_and_seen(cfg)
+        return O.with_(ctes, f"SELECT ServerIP, SessionStartHourTime, TRUE AS {flag} FROM scored s WHERE {seen}")
+    return sql
+
+
 @register("score_coverage", _coverage_sql)
 def q_score_coverage(spark, d):
     """How many 48-hour feature rows the model scores and how many it skips because a
     categorical value was not seen when the indexer was fitted."""
-    _, feats, fm = _features(spark, d)
-    _, scored = _score_features(spark, d)
+    h = staged_hourly(spark, d)
+    _, feats, fm = _features(spark, d, h)
+    _, scored = _score_features(spark, d, h)
     return SC.score_coverage(fm.indexer, scored)
 
 
-@register("score_batch")
+@register("score_batch", _scored_sql("known_class"))
 def q_score_batch(spark, d):
-    """Predicted load class for the 48 scored hours of every server."""
-    cfg, fm, table_, model, rf = _trained(spark, d)
-    _, feats = _score_features(spark, d)
-    return SC.score_batch(model, feats)
+    """The 48 scored hours of every server, and whether each gets one of the fitted classes."""
+    h = staged_hourly(spark, d)
+    cfg, fm, table_, model, rf = _trained(spark, d, h)
+    _, feats = _score_features(spark, d, h)
+    return SC.score_batch(model, feats).select(
+        "ServerIP", "SessionStartHourTime", F.col("prediction").isin(_train_labels(table_, cfg)).alias("known_class"))
 
 
-@register("score_stream")
+@register("score_stream", _scored_sql("agree"))
 def q_score_stream(spark, d):
-    """The same scoring, run as a Structured Streaming query over arriving feature files."""
-    cfg, fm, table_, model, rf = _trained(spark, d)
-    _, feats = _score_features(spark, d)
-    return score_files_once(spark, model, feats)
+    """The same scoring, run as a Structured Streaming query over arriving feature files,
+    against the batch predictions."""
+    h = staged_hourly(spark, d)
+    cfg, fm, table_, model, rf = _trained(spark, d, h)
+    _, feats = _score_features(spark, d, h)
+    path = scratch_path(spark, "score-features")
+    feats.write.parquet(path)
+    feats = spark.read.parquet(path)
+    return _agreement(score_files_once(spark, model, feats), SC.score_batch(model, feats))
 
 
 def queries() -> dict[str, Query]:
     return dict(REG)
 
 
-def oracle_sql(cfg: RunConfig = ORACLE_CFG) -> dict[str, str]:
+def oracle_sql(cfg: RunConfig = EVENTS) -> dict[str, str]:
     return {k: (v(cfg) if callable(v) else v) for k, v in ORACLE.items()}

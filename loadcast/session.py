@@ -45,8 +45,8 @@ def build_session(master: str | None = None, app: str = "loadcast",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a shared file system). Only when it is unset, as in
-    local tests, a folder is created here and registered as the checkpoint dir.
+    On a cluster this must be set (a shared file system): without it this fails. Only on a
+    local master a folder is created here and registered as the checkpoint dir.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -59,6 +59,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             root = os.path.dirname(current.rstrip("/"))
+    if not root and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="loadcast-ckpt-")
         sc.setCheckpointDir(root)

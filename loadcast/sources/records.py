@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-WRITE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def write_records(df: DataFrame, path: str) -> None:
     """JSON lines, one record per row, written by the tasks."""
-    df.write.mode("overwrite").option("timestampNTZFormat", WRITE_TIMESTAMP_FORMAT).json(path)
+    df.write.mode("overwrite").option("timestampNTZFormat", TIMESTAMP_FORMAT).json(path)
 
 
 def read_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

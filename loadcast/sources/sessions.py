@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,26 +32,54 @@ _TYPES = {
 # positional layout of the headerless files maps straight onto these names.
 SESSION_SCHEMA = T.StructType([T.StructField(c, _TYPES[c], True) for c in SESSION_COLUMNS])
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 WRITE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+TIME_COLUMNS = ["SessionStart", "SessionEnd"]
+# As read from the files: times as text, so that none is lost to a pattern it doesn't match.
+RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType() if c in TIME_COLUMNS else _TYPES[c], True)
+                           for c in SESSION_COLUMNS])
+
+
+def parse_time(text: F.Column, timestamp_format: str | None = None) -> F.Column:
+    """A wall-clock time. By default any form of the SQL cast: date and time divided by a
+    space or ``T``, seconds and fractions optional; with a pattern, that pattern first."""
+    plain = F.trim(text).try_cast("timestamp_ntz")
+    if timestamp_format is None:
+        return plain
+    own = F.from_csv(text, "t TIMESTAMP_NTZ", {"timestampNTZFormat": timestamp_format, "sep": "\u0001"})["t"]
+    return F.coalesce(own, plain)
+
+
+def read_sessions_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Headerless CSV (a path, glob or list of them) with the two time columns as text.
+    Other malformed fields become NULL."""
+    return (spark.read.schema(RAW_SCHEMA)
+            .option("header", "false").option("sep", ",")
+            .option("mode", "PERMISSIVE").option("nanValue", "")
+            .csv(path))
 
 
 def read_sessions_csv(spark: SparkSession, path: str | list[str],
-                      timestamp_format: str = TIMESTAMP_FORMAT) -> DataFrame:
-    """Headerless CSV (a path, glob or list of them). Malformed fields become NULL.
+                      timestamp_format: str | None = None) -> DataFrame:
+    """The session log of headerless CSV files. ``timestamp_format`` is a Spark datetime
+    pattern for files whose times are in another form than the usual ones."""
+    raw = read_sessions_text(spark, path)
+    return raw.withColumns({c: parse_time(F.col(c), timestamp_format) for c in TIME_COLUMNS})
 
-    ``timestamp_format`` is a Spark datetime pattern for the two time columns."""
-    return (spark.read.schema(SESSION_SCHEMA)
-            .option("header", "false").option("sep", ",")
-            .option("mode", "PERMISSIVE").option("nanValue", "")
-            .option("timestampNTZFormat", timestamp_format)
-            .csv(path))
+
+def unparsed_times(raw: DataFrame, timestamp_format: str | None = None) -> DataFrame:
+    """(metric, n) of rows read as text whose time is there but can't be parsed, header rows
+    aside, for each time column."""
+    rows = raw.where(F.col("ServerIP").isNull() | (F.col("ServerIP") != HEADER_SERVER_VALUE))
+    counts = rows.agg(*[F.count_if(F.col(c).isNotNull() & parse_time(F.col(c), timestamp_format).isNull())
+                        .alias(f"unparsed_{c}") for c in TIME_COLUMNS])
+    return counts.unpivot([], counts.columns, "metric", "n")
 
 
-def write_sessions_csv(sessions: DataFrame, path: str) -> None:
-    (sessions.select(*SESSION_COLUMNS).write.mode("overwrite")
-     .option("header", "false").option("timestampNTZFormat", WRITE_TIMESTAMP_FORMAT)
-     .csv(path))
+def write_sessions_csv(sessions: DataFrame, path: str, folder: F.Column | None = None) -> None:
+    """Headerless CSV below ``path``, in ``folder=<value>`` folders when a column is given."""
+    out = sessions.select(*SESSION_COLUMNS, *([folder.alias("folder")] if folder is not None else []))
+    writer = out.write.mode("overwrite").option("header", "false").option("timestampNTZFormat", WRITE_TIMESTAMP_FORMAT)
+    (writer.partitionBy("folder") if folder is not None else writer).csv(path)
 
 
 def clean_sessions(sessions: DataFrame) -> DataFrame:
@@ -70,19 +96,19 @@ def filter_servers(sessions: DataFrame, servers) -> DataFrame:
     return sessions.where(F.col("ServerIP").isin(list(servers)))
 
 
-def sessions_from_events(events: DataFrame) -> DataFrame:
+def sessions_from_events(events: DataFrame, **columns: F.Column) -> DataFrame:
     """Map the ``events`` table onto the session log (one session per event).
 
     ``k`` is parsed from the JSON once, in its own projection (Catalyst does not merge a
     projection into one that would repeat an expensive expression); a malformed value
-    becomes NULL, as a malformed CSV field does."""
+    becomes NULL, as a malformed CSV field does. ``columns`` replaces some of the mapping."""
     parse_k, cols = _events_mapping()
-    return events.withColumn("_k", parse_k).select(*cols)
+    return events.withColumn("_k", parse_k).select(
+        *[columns[c].alias(c) if c in columns else cols[i] for i, c in enumerate(SESSION_COLUMNS)])
 
 
-@lru_cache(maxsize=1)
 def _events_mapping():
-    """Column expressions of the events adapter, built once (they only name columns)."""
+    """Column expressions of the events adapter."""
     k = F.col("_k")
     v = F.col("value")
     by_type = {"click": 1, "purchase": 2, "error": 3, "signup": 4, "view": 5}
@@ -103,7 +129,10 @@ def _events_mapping():
         "SubSerivce_5_Load": sub[5],
         "SecureBytes_Load": F.when(k % 2 == 0, v).otherwise(F.lit(0.0)),
         "TotalLoad": v,
-        "ServerIP": F.concat(F.lit("10.0.0."), (F.col("user_id") % 8).cast("string")),
+        # some events stand for stray header rows, some for rows without a server
+        "ServerIP": F.when(F.col("event_id") % 97 == 0, HEADER_SERVER_VALUE)
+                     .when(F.col("event_id") % 89 == 0, F.lit(None))
+                     .otherwise(F.concat(F.lit("10.0.0."), (F.col("user_id") % 8).cast("string"))),
         "ClientIP": F.concat(F.lit("172.16.0."), F.col("user_id").cast("string")),
     }
     return (F.get_json_object("props", "$.k").try_cast("long"),

@@ -1,17 +1,19 @@
 """Hourly and daily statistics tables for scoring, partitioned by (year, month).
 
-Readers select months with a predicate on the partition columns, so only the one or
-two month folders that cover a scoring window are listed and read.
+Readers select months with a predicate on the partition columns: the folders are listed,
+and only the one or two months that cover a scoring window are read.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timegrid import ntz
+from ..session import scratch_path
 
 PARTITION_COLUMNS = ["year", "month"]
 
@@ -29,14 +31,46 @@ def daily_stats(daily: DataFrame) -> DataFrame:
     return daily.withColumns({"year": F.year(t), "month": F.month(t)})
 
 
-def write_stats(stats: DataFrame, path: str) -> None:
-    """Overwrite the months present in ``stats`` (dynamic partition overwrite), keep others.
+def stored_stats(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None before its first write."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
-    Rows are clustered by month first, so each month folder gets the files of one task
-    rather than one small file from every task (a month holds servers x 744 rows)."""
-    (stats.repartition(*PARTITION_COLUMNS).write.mode("overwrite")
+
+def months_of(stats: DataFrame) -> list[tuple[int, int]]:
+    """The (year, month) pairs present: a dozen for each year of a batch."""
+    return [(r["year"], r["month"]) for r in stats.select(*PARTITION_COLUMNS).distinct().collect()]
+
+
+def of_months(stats: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
+    """Rows of the given months (a filter on the partition columns)."""
+    return stats.where((F.col("year") * 100 + F.col("month")).isin([y * 100 + m for y, m in months]))
+
+
+def write_stats(stats: DataFrame, path: str, keys: list[str]) -> list[tuple[int, int]]:
+    """Merge ``stats`` into the table at ``path``: rows with the same ``keys`` are replaced,
+    all others stay, also those of the months that ``stats`` covers in part. Returns the
+    months written.
+
+    The merged months are staged in the shared folder, as a table can't be overwritten
+    while it is read. ``rebalance`` gives a month as many tasks and files as its size needs.
+    """
+    spark = stats.sparkSession
+    months = months_of(stats)
+    old = stored_stats(spark, path)
+    if old is not None and months:
+        staged = scratch_path(spark, "stats-merge")
+        kept = of_months(old, months).select(*stats.columns).join(stats.select(*keys), keys, "left_anti")
+        stats.unionByName(kept).write.parquet(staged)
+        stats = spark.read.schema(stats.schema).parquet(staged)
+    (stats.hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITION_COLUMNS).parquet(path))
+    return months
 
 
 def _months(begin: datetime, end: datetime) -> list[tuple[int, int]]:
@@ -60,9 +94,3 @@ def read_stats(spark: SparkSession, path: str, begin: str, end: str, ts: str) ->
     return (spark.read.parquet(path)
             .where(month_predicate(begin, end))
             .where(F.col(ts).between(ntz(begin), ntz(end))))
-
-
-def shift(ts: str, seconds: float) -> str:
-    """A ``yyyy-MM-dd HH:mm:ss`` literal moved by ``seconds`` (driver-side constant folding)."""
-    fmt = "%Y-%m-%d %H:%M:%S"
-    return (datetime.strptime(ts, fmt) + timedelta(seconds=seconds)).strftime(fmt)

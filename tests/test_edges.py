@@ -180,7 +180,7 @@ def test_month_crossing_score_window_reads_two_months(spark):
     assert {(r.year, r.month) for r in hs.select("year", "month").distinct().collect()} == {(2016, 5), (2016, 6)}
     assert ds.count() == 31
     cfg = ONE_MONTH.with_(train_begin="2016-04-20 00:00:00")
-    feats = SC.score_features(hs, ds, cfg)
+    feats = SC.score_features(hs, cfg)
     assert feats.count() == 48
     assert feats.where(F.col("peakLoadLag730") != 1.0).count() == 0   # every lag lands in the window
     assert feats.where(F.col("peakLoadDailyLag2Win7") != 1.0).count() == 0

@@ -9,14 +9,15 @@ from loadcast.operators.model import classification_metrics, evaluator_metrics
 from loadcast.plans import features as FT
 from loadcast.plans import scoring as SC
 from loadcast.plans import training as TR
-from loadcast.queries import cfg_of, hourly, sessions
+from loadcast.config import EVENTS
+from loadcast.queries import hourly, sessions
 from loadcast.session import scratch_path
 from loadcast.streaming.score_stream import score_files_once
 
 
 @pytest.fixture(scope="module")
 def trained(spark):
-    cfg = cfg_of(SF_SMALL)
+    cfg = EVENTS
     fm, table = FT.build_feature_table(spark, sessions(spark, SF_SMALL), cfg, scratch_path(spark, "t-ft"))
     model, rf = TR.train(table, fm, cfg)
     return cfg, fm, table, model, rf
@@ -89,7 +90,7 @@ def test_save_load_and_stream_give_same_predictions(spark, trained):
     hp, dp = scratch_path(spark, "t-hs"), scratch_path(spark, "t-ds")
     SC.write_statistics(FT.with_day(hourly(spark, SF_SMALL)), hp, dp)
     hs, ds = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
-    feats = SC.score_features(hs, ds, cfg)
+    feats = SC.score_features(hs, cfg)
     a = SC.score_batch(model, feats)
     b = SC.score_batch(loaded, feats)
     c = score_files_once(spark, model, feats)
@@ -101,7 +102,7 @@ def test_save_load_and_stream_give_same_predictions(spark, trained):
 def test_fit_on_train_and_keep_unseen_levels(spark):
     """fit_on='train' with handle_invalid='keep': the test days' unseen day-of-month levels
     are kept (all-zero one-hot) instead of being skipped."""
-    cfg = cfg_of(SF_SMALL).with_(fit_on="train", handle_invalid="keep")
+    cfg = EVENTS.with_(fit_on="train", handle_invalid="keep")
     feats = FT.hourly_features(sessions(spark, SF_SMALL), cfg)
     fm = fit_features(FT.fit_rows(feats, cfg), cfg.handle_invalid)
     out = fm.transform(feats)
@@ -114,13 +115,13 @@ def test_fit_on_train_and_keep_unseen_levels(spark):
 def test_score_coverage_counts_what_skip_drops(spark):
     """Indexer fitted on the train split only: the scored days (29th, 30th) are unseen
     day-of-month levels, so every 48-hour row is skipped, and coverage says so."""
-    cfg = cfg_of(SF_SMALL).with_(fit_on="train")
+    cfg = EVENTS.with_(fit_on="train")
     feats = FT.hourly_features(sessions(spark, SF_SMALL), cfg)
     fm = fit_features(FT.fit_rows(feats, cfg), "skip")
     hp, dp = scratch_path(spark, "cov-hs"), scratch_path(spark, "cov-ds")
     SC.write_statistics(FT.with_day(hourly(spark, SF_SMALL)), hp, dp)
     hs, ds = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
-    scored = SC.score_features(hs, ds, cfg)
+    scored = SC.score_features(hs, cfg)
     cov = {r.metric: r.n for r in SC.score_coverage(fm.indexer, scored).collect()}
     kept = fm.transform(scored).count()
     assert cov["feature_rows"] == scored.count() == 8 * 48
@@ -137,7 +138,7 @@ def test_stream_restart_scores_each_file_once(spark, trained):
     hp, dp = scratch_path(spark, "st-hs"), scratch_path(spark, "st-ds")
     SC.write_statistics(FT.with_day(hourly(spark, SF_SMALL)), hp, dp)
     hs, ds = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
-    feats = SC.score_features(hs, ds, cfg)
+    feats = SC.score_features(hs, cfg)
     base = scratch_path(spark, "st")
     first = feats.where(F.col("ServerIP").isin("10.0.0.1", "10.0.0.2"))
     second = feats.where(~F.col("ServerIP").isin("10.0.0.1", "10.0.0.2"))

@@ -6,7 +6,7 @@ from conftest import SF_SMALL
 from helpers import same_result
 from loadcast import queries as Q
 
-ORACLE = Q.oracle_sql(Q.events_config(SF_SMALL))
+ORACLE = Q.oracle_sql()
 # Model fits are covered in test_model.py; here the relational queries.
 NAMES = sorted(ORACLE)
 

@@ -5,7 +5,8 @@ import re
 from conftest import SF_SMALL
 from loadcast.plans import features as FT
 from loadcast.plans import scoring as SC
-from loadcast.queries import cfg_of, hourly, queries, sessions
+from loadcast.config import EVENTS
+from loadcast.queries import hourly, queries, sessions
 from loadcast.session import scratch_path
 
 
@@ -27,7 +28,7 @@ def exchanges(p: str) -> list[str]:
 def test_feature_plan_has_two_shuffles(spark):
     # One on (server, 5-minute bucket) below the partial aggregate, one on server; the
     # hourly arg-max, daily means, rolling means and lags add none.
-    p = formatted(FT.hourly_features(sessions(spark, SF_SMALL), cfg_of(SF_SMALL)))
+    p = formatted(FT.hourly_features(sessions(spark, SF_SMALL), EVENTS))
     assert len(exchanges(p)) == 2, p
 
 
@@ -46,7 +47,7 @@ def test_scan_reads_only_used_columns(spark):
 
 
 def test_stats_read_prunes_partitions(spark):
-    cfg = cfg_of(SF_SMALL)
+    cfg = EVENTS
     hp, dp = scratch_path(spark, "p-hs"), scratch_path(spark, "p-ds")
     SC.write_statistics(FT.with_day(hourly(spark, SF_SMALL)), hp, dp)
     hs, ds = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
@@ -110,6 +111,6 @@ def test_hot_server_is_spread_by_the_rollup_shuffle(spark):
 def test_feature_plan_sorts(spark):
     """Calendar mode: one sort for the hourly arg-max, which the lag window reuses (it is
     ordered by the hour itself), and one shared by the per-day and rolling windows."""
-    p = formatted(FT.hourly_features(sessions(spark, SF_SMALL), cfg_of(SF_SMALL)))
+    p = formatted(FT.hourly_features(sessions(spark, SF_SMALL), EVENTS))
     tree = p.split("\n\n")[0]
     assert len(re.findall(r"Sort \(\d+\)", tree)) == 2, tree

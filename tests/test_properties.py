@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_BIG, SF_MID
 from helpers import canon
-from loadcast.config import LAG_COLUMNS, ROLLING_COLUMNS, events_config
+from loadcast.config import EVENTS, LAG_COLUMNS, ROLLING_COLUMNS
 from loadcast.functions.timegrid import FIVE_MINUTES, HOUR, floor_ts
 from loadcast.operators.lags import join_daily_lags, lag_features, rolling_daily_mean, rolling_on_hours
 from loadcast.operators.rollup import daily_mean, five_min_rollup, hourly_peak, with_day
@@ -72,12 +72,12 @@ def test_window_rolling_equals_join_rolling(spark, mode):
 
 
 def test_train_and_score_features_agree(spark):
-    cfg = events_config(SF_MID)
+    cfg = EVENTS
     feats = FT.hourly_features(sessions(spark, SF_MID), cfg)
     hp, dp = scratch_path(spark, "t-hs"), scratch_path(spark, "t-ds")
     SC.write_statistics(with_day(hourly(spark, SF_MID)), hp, dp)
     hs, ds = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
-    scored = SC.score_features(hs, ds, cfg)
+    scored = SC.score_features(hs, cfg)
     cols = LAG_COLUMNS + ROLLING_COLUMNS + ["linearTrend", "dayofweek", "year", "month", "weekofyear",
                                             "dayofmonth", "hourofday", "Holiday", "BusinessHour", "Morning"]
     both = scored.select("key", *cols).join(feats.select("key", *[F.col(c).alias("t_" + c) for c in cols]), "key")
