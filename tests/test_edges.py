@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import session_rows, ts
-from loadcast.config import FULL, ONE_MONTH, RunConfig
+from loadcast.config import FULL, ONE_MONTH, PEAK_COLUMNS, RunConfig
 from loadcast.functions.calendar import calendar_columns, is_federal_holiday
 from loadcast.functions.labels import load_label
 from loadcast.functions.timegrid import FIVE_MINUTES, floor_ts, ntz
@@ -195,3 +195,75 @@ def test_server_filter_list_and_semi_join_agree(spark):
     by_join = filter_servers(s, spark.createDataFrame([(w,) for w in wanted] * 2, "ServerIP string"))
     assert by_list.count() > 0
     assert by_list.exceptAll(by_join).count() == 0 and by_join.exceptAll(by_list).count() == 0
+
+
+def hours_of(spark, first, last, value=1.0):
+    hours = spark.sql(f"SELECT explode(sequence(TIMESTAMP_NTZ'{first}', TIMESTAMP_NTZ'{last}', INTERVAL 1 HOUR)) "
+                      "AS SessionStartHourTime")
+    return hours.select(F.lit("k").alias("key"), F.lit("s1").alias("ServerIP"), "SessionStartHourTime",
+                        *[F.lit(value).alias(c) for c in PEAK_COLUMNS])
+
+
+def test_two_batches_inside_one_month_lose_no_hour(spark):
+    from loadcast.plans import scoring as SC
+    hp, dp = scratch_path(spark, "two-h"), scratch_path(spark, "two-d")
+    SC.write_statistics(hours_of(spark, "2016-05-30 00:00:00", "2016-06-20 11:00:00"), hp, dp)
+    SC.write_statistics(hours_of(spark, "2016-06-20 12:00:00", "2016-06-30 23:00:00", 3.0), hp, dp)
+    june = spark.read.parquet(hp).where("month = 6")
+    assert june.count() == 720 and june.select("SessionStartHourTime").distinct().count() == 720
+    days = {r.SessionStartDay.day: r.peakLoadDaily for r in spark.read.parquet(dp).where("month = 6").collect()}
+    assert len(days) == 30 and days[19] == 1.0 and days[20] == 2.0 and days[21] == 3.0
+    assert spark.read.parquet(dp).where("month = 5").count() == 2
+    SC.write_statistics(hours_of(spark, "2016-06-01 00:00:00", "2016-06-01 23:00:00", 9.0), hp, dp)  # corrected day
+    june = spark.read.parquet(hp).where("month = 6")
+    assert june.count() == 720 and june.where("peakLoad = 9").count() == 24
+    SC.write_statistics(hours_of(spark, "2016-06-01 00:00:00", "2016-06-01 23:00:00").limit(0), hp, dp)
+    assert spark.read.parquet(hp).where("month = 6").count() == 720
+
+
+def test_a_server_without_statistics_gets_its_hours(spark):
+    from loadcast.plans import scoring as SC
+    hp, dp = scratch_path(spark, "req-h"), scratch_path(spark, "req-d")
+    SC.write_statistics(hours_of(spark, "2016-06-01 00:00:00", "2016-06-30 23:00:00"), hp, dp)
+    cfg = ONE_MONTH.with_(score_begin="2016-07-01 00:00:00")
+    feats = SC.features_for_scoring(spark, cfg, hp, dp, ["s1", "new"])
+    assert {r.ServerIP: r["count"] for r in feats.groupBy("ServerIP").count().collect()} == {"s1": 48, "new": 48}
+    new = feats.where("ServerIP = 'new'")
+    assert new.where("peakLoadLag48 <> 0 OR peakLoadDailyLag2Win7 <> 0").count() == 0
+    assert SC.features_for_scoring(spark, cfg, hp, dp).count() == 48
+
+
+def test_times_in_any_usual_form_are_read(spark):
+    from loadcast.sources.sessions import read_sessions_text, unparsed_times
+    path = scratch_path(spark, "edge-times")
+    os.makedirs(path)
+    forms = ["2016-06-01 00:00:12", "2016-06-01T00:00:12", "2016-06-01 00:00", "2016-06-01T00:00:12.250", "2016-06-01",
+             "first of June", ""]
+    with open(f"{path}/part-0.csv", "w") as f:
+        for t in forms:
+            f.write(f"web,{t},,1,1.0,A,1,x,0,0,0,0,0,0,2.0,10.0.0.1,1.2.3.4\n")
+        f.write("TrafficType,SessionStart,SessionEnd,a,b,c,d,e,f,g,h,i,j,k,TotalLoad,IPs,ClientIP\n")
+    got = [r.SessionStart for r in read_sessions_csv(spark, path).collect()]
+    assert got[:5] == [ts("2016-06-01 00:00:12"), ts("2016-06-01 00:00:12"), ts("2016-06-01 00:00:00"),
+                       ts("2016-06-01 00:00:12").replace(microsecond=250000), ts("2016-06-01 00:00:00")]
+    assert got[5:] == [None, None, None]
+    lost = {r.metric: r.n for r in unparsed_times(read_sessions_text(spark, path)).collect()}
+    assert lost == {"unparsed_SessionStart": 1, "unparsed_SessionEnd": 0}
+    own = scratch_path(spark, "edge-times-own")
+    os.makedirs(own)
+    with open(f"{own}/part-0.csv", "w") as f:
+        f.write("web,01.06.2016 00:05,2016-06-01 00:06:00,1,1.0,A,1,x,0,0,0,0,0,0,2.0,10.0.0.1,1.2.3.4\n")
+    row = read_sessions_csv(spark, own, "dd.MM.yyyy HH:mm").first()
+    assert row.SessionStart == ts("2016-06-01 00:05:00") and row.SessionEnd == ts("2016-06-01 00:06:00")
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from loadcast.session import checkpoint_root
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getConf=lambda: conf, master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError):
+        checkpoint_root(SimpleNamespace(sparkContext=sc, conf=conf))

@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from conftest import SF_SMALL
 from loadcast.plans import features as FT
 from loadcast.plans import scoring as SC
@@ -10,6 +12,10 @@ from loadcast.queries import hourly, queries, sessions
 from loadcast.session import scratch_path
 
 
+# These train a forest; their plans are covered by the executions test below.
+MODEL_QUERIES = {"rf_train", "rf_metrics", "model_roundtrip", "score_batch", "score_stream"}
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -57,25 +63,18 @@ def test_stats_read_prunes_partitions(spark):
 
 
 def test_no_python_udfs_in_relational_queries(spark):
-    skip = {"csv_roundtrip", "json_roundtrip", "feature_table", "rf_train", "model_roundtrip", "score_batch",
-            "score_stream", "hourly_stats", "daily_stats", "stats_for_score", "score_features",
-            "string_index", "scale_lags", "one_hot", "feature_vector"}
     for name, fn in queries().items():
-        if name in skip:
+        if name in MODEL_QUERIES:
             continue
         p = plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
 def test_each_query_scans_its_raw_table_once(spark):
-    """No query re-reads and re-aggregates the raw tables (queries that use an
-    intermediate twice read it from a staged table)."""
-    skip = {"rf_train", "model_roundtrip", "score_batch", "score_stream", "feature_table",
-            "long_history_feature_table", "string_index", "scale_lags", "one_hot", "feature_vector",
-            "json_roundtrip", "csv_roundtrip", "hourly_stats", "daily_stats", "stats_for_score",
-            "score_features", "row_counts"}
+    """No query's plan reads a raw table twice (queries that use an intermediate twice read it
+    from a staged table)."""
     for name, fn in queries().items():
-        if name in skip:
+        if name in MODEL_QUERIES:
             continue
         p = formatted(fn(spark, SF_SMALL))
         raw = [l for l in re.findall(r"Location: InMemoryFileIndex \[file:([^\]]+)\]", p)
@@ -114,3 +113,40 @@ def test_feature_plan_sorts(spark):
     p = formatted(FT.hourly_features(sessions(spark, SF_SMALL), EVENTS))
     tree = p.split("\n\n")[0]
     assert len(re.findall(r"Sort \(\d+\)", tree)) == 2, tree
+
+
+@pytest.mark.parametrize("name", ["rf_train", "model_roundtrip", "score_coverage", "score_batch", "score_stream",
+                                  "score_features", "row_counts", "daily_stats", "feature_table"])
+def test_the_raw_log_is_read_by_one_execution(spark, name):
+    """All executions of a query together, staging writes and fits included, read the raw log once."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    known = {store.executionsList().apply(i).executionId() for i in range(store.executionsList().size())}
+    queries()[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+    done = store.executionsList()
+    plans = [done.apply(i).physicalPlanDescription() for i in range(done.size())
+             if done.apply(i).executionId() not in known]
+    assert plans
+    raw = [p for p in plans if re.search(r"InMemoryFileIndex \[file:/root/testdata", p)]
+    assert len(raw) <= 1, (name, len(raw))
+
+
+def test_scoring_features_read_the_statistics_once_without_a_join(spark):
+    hp, dp = scratch_path(spark, "p-hs"), scratch_path(spark, "p-ds")
+    SC.write_statistics(FT.with_day(hourly(spark, SF_SMALL)), hp, dp)
+    hs, _ = SC.stats_for_score(spark, hp, dp, EVENTS.score_begin)
+    p = formatted(SC.score_features(hs, EVENTS))
+    tree = p.split("\n\n")[0]
+    assert len(re.findall(r"Scan parquet", tree)) == 1, tree
+    assert "Join" not in tree and len(exchanges(p)) == 1, tree
+    named = spark.createDataFrame([("10.0.0.1",), ("new",)], "ServerIP string")
+    tree = formatted(SC.score_features(hs, EVENTS, named)).split("\n\n")[0]
+    assert len(re.findall(r"Scan parquet", tree)) == 1 and "Join" not in tree, tree
+
+
+def test_statistics_are_written_in_tasks_by_size(spark):
+    """The write rebalances months: AQE splits a large one, where a plain repartition would not."""
+    from loadcast.sources.stats_store import hourly_stats, write_stats
+    store = spark._jsparkSession.sharedState().statusStore()
+    write_stats(hourly_stats(hourly(spark, SF_SMALL)), scratch_path(spark, "p-reb"), ["ServerIP", "SessionStartHourTime"])
+    done = store.executionsList()
+    assert any("REBALANCE_PARTITIONS" in done.apply(i).physicalPlanDescription() for i in range(done.size()))
