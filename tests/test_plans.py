@@ -47,9 +47,11 @@ def test_rollup_aggregates_before_the_shuffle(spark):
 
 def test_scan_reads_only_used_columns(spark):
     from loadcast.operators.rollup import five_min_rollup
-    p = formatted(five_min_rollup(sessions(spark, SF_SMALL)))
+    from loadcast.queries import lineitem_sessions
+    p = formatted(five_min_rollup(lineitem_sessions(spark, SF_SMALL)))
     rs = [l for l in p.splitlines() if l.startswith("ReadSchema")][0]
-    assert "event_id" not in rs    # only ts, user_id, event_type, value, props are needed
+    assert not [c for c in ("l_orderkey", "l_tax", "l_discount", "l_returnflag") if c in rs]
+    assert [c for c in ("l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate") if c in rs]
 
 
 def test_stats_read_prunes_partitions(spark):
