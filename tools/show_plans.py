@@ -20,7 +20,8 @@ from loadcast.session import build_session  # noqa: E402
 # Queries that run jobs while being built (model fits, writes); their returned frame is
 # a read of the written result, so its plan says little.
 EAGER = {"rf_train", "model_roundtrip", "score_batch", "score_stream", "feature_table",
-         "long_history_feature_table", "csv_roundtrip", "json_roundtrip", "hourly_stats", "daily_stats"}
+         "long_history_feature_table", "feature_table_train_fit", "rf_metrics", "csv_roundtrip", "csv_glob",
+         "json_roundtrip", "hourly_stats", "daily_stats", "stats_merge", "stats_two_months", "unparsed_times"}
 
 
 TREES = ["five_min_rollup", "hourly_peak", "lag_calendar", "long_history_features", "score_features"]
