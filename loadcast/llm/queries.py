@@ -63,7 +63,8 @@ def op7_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weighted_minhash.near_classes(read(spark, sf_dir, "documents"))
+    """Class of every document; class_id is the doc_id of the document that stays."""
+    return weighted_minhash.near_classes(read(spark, sf_dir, "documents")).withColumn("class_id", F.col("keep_id"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
