@@ -54,7 +54,8 @@ LEVELS = 2  # bands combined at most to split a bucket that spans several classe
 SLICES = 64  # parts of the frequency table while partial tables are merged
 BLOOM_BITS, BLOOM_HASHES = 1 << 24, 4
 FEATURES_PER_BUCKET = 10_000
-DRAWS = 1 << 17  # table of random draws, indexed by two hashes of the shingle and sample number
+DRAW_BITS = 17  # table of random draws, indexed by two hashes of the shingle and the sample number
+DRAWS = 1 << DRAW_BITS
 
 
 # ---- shingles of a batch --------------------------------------------------------------------
@@ -124,18 +125,19 @@ def idf_table(docs: DataFrame) -> np.ndarray:
 
 # ---- sampling -------------------------------------------------------------------------------
 
-_draws: np.ndarray | None = None
+_draws: tuple[np.ndarray, ...] | None = None
+LIFT = 64.0  # added to every ln a: positive floats sort like their bits
 
 
-def draw_table() -> np.ndarray:
-    """Rows (1/r, beta, r, ln c + r * beta - r) for gamma(2, 1) draws r, c and uniform beta."""
+def draw_tables() -> tuple[np.ndarray, ...]:
+    """1 / r, beta, r and ln c + r beta - r + LIFT for gamma(2, 1) draws r, c and uniform beta."""
     global _draws
     if _draws is None:
         g = np.random.Generator(np.random.PCG64(20240229))
         r = g.gamma(2.0, 1.0, DRAWS).clip(1e-6)
         c = g.gamma(2.0, 1.0, DRAWS).clip(1e-12)
         beta = g.random(DRAWS)
-        _draws = np.stack([1 / r, beta, r, np.log(c) + r * beta - r], axis=1).astype(np.float32)
+        _draws = tuple(x.astype(np.float32) for x in (1 / r, beta, r, np.log(c) + r * beta - r + LIFT))
     return _draws
 
 
@@ -144,30 +146,38 @@ def consistent_samples(rows: np.ndarray, hashes: np.ndarray, weights: np.ndarray
     """(row numbers, keys): ``keys[i, k]`` identifies sample k of row ``rows[i]``.
 
     For each element: t = floor(ln w / r + beta), ln a = ln c - r (t - beta + 1); the sample
-    is the element of least a together with its t. Rows must be sorted.
+    is the element of least a together with its t. Rows must be sorted. The least is found on
+    64-bit numbers with the bits of ln a above and the element's place below.
     """
     present, first = np.unique(rows, return_index=True)
-    if not len(present):
-        return present, np.zeros((0, samples), np.uint64)
-    table = draw_table()
+    n = len(hashes)
+    keys = np.empty((len(present), samples), np.uint64)
+    if not n:
+        return present, keys
+    inverse_r, beta, r, constant = draw_tables()
     log_w = np.log(weights).astype(np.float32)
+    packed = np.empty(n, "<u8")
+    halves = packed.view("<u4").reshape(n, 2)
+    halves[:, 0] = np.arange(n)
+    t, x, y = (np.empty(n, np.float32) for _ in range(3))
+    draw = np.empty(n, np.uint32)
     with np.errstate(over="ignore"):
-        h1 = mix64(hashes)
-        step = (h1 >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-        at = h1.astype(np.uint32)
-        keys = np.empty((len(present), samples), np.uint64)
-        position = np.arange(len(hashes), dtype=np.uint64)
+        mixed = mix64(hashes)
+        step = (mixed >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        at = mixed.astype(np.uint32)
         for k in range(samples):
-            d = table[(at >> np.uint32(15)) & np.uint32(DRAWS - 1)]
-            at = at + step
-            t = np.floor(log_w * d[:, 0] + d[:, 1])
-            log_a = d[:, 3] - d[:, 2] * t
-            bits = log_a.view(np.uint32)
-            order = np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(1 << 31))  # sorts like the float
-            best = np.minimum.reduceat((order.astype(np.uint64) << np.uint64(32)) | position, first)
-            pick = (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            np.right_shift(at, np.uint32(32 - DRAW_BITS), out=draw)
+            np.add(at, step, out=at)
+            np.take(inverse_r, draw, out=t, mode="clip")
+            np.multiply(t, log_w, out=t)
+            np.take(beta, draw, out=x, mode="clip")
+            np.floor(np.add(t, x, out=t), out=t)
+            np.take(r, draw, out=x, mode="clip")
+            np.take(constant, draw, out=y, mode="clip")
+            halves[:, 1] = np.subtract(y, np.multiply(x, t, out=x), out=y).view(np.uint32)
+            pick = (np.minimum.reduceat(packed, first) & np.uint64(0xFFFFFFFF)).astype(np.int64)
             keys[:, k] = hashes[pick] * np.uint64(MIX2) + t[pick].astype(np.int64).astype(np.uint64)
-        return present, keys
+    return present, keys
 
 
 def band_keys(keys: np.ndarray) -> np.ndarray:
