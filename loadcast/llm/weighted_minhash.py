@@ -54,6 +54,7 @@ LEVELS = 2  # bands combined at most to split a bucket that spans several classe
 SLICES = 64  # parts of the frequency table while partial tables are merged
 BLOOM_BITS, BLOOM_HASHES = 1 << 24, 4
 FEATURES_PER_BUCKET = 10_000
+LEADER_SALTS = 32
 DRAW_BITS = 17  # table of random draws, indexed by two hashes of the shingle and the sample number
 DRAWS = 1 << DRAW_BITS
 
@@ -319,10 +320,13 @@ def _verify(idf, threshold: float) -> callable:
 
 
 def verified(pairs: DataFrame, features: DataFrame, idf, threshold: float) -> DataFrame:
-    """The (a, b) pairs whose weighted Jaccard similarity reaches the threshold."""
+    """The (a, b) pairs whose weighted Jaccard similarity reaches the threshold. A leader's
+    pairs are dealt over LEADER_SALTS copies of it, so a huge class doesn't meet in one task."""
     left = features.select(F.col("id").alias("a"), F.col("shingles").alias("shingles_a"))
     right = features.select(F.col("id").alias("b"), F.col("shingles").alias("shingles_b"))
-    both = pairs.select("a", "b").join(right, "b").join(left, "a")
+    salted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(LEADER_SALTS)).alias("salt"))
+    leaders = salted.select("a", "salt").distinct().join(left, "a")
+    both = salted.join(right, "b").join(leaders, ["a", "salt"])
     return both.select("a", "b", "shingles_a", "shingles_b").mapInPandas(
         _verify(idf, threshold), "a bigint, b bigint, similarity double")
 
