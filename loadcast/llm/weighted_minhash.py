@@ -15,14 +15,14 @@ sqrt(ln(1 + N / cell)): the root keeps copies alike in large groups of near copi
 common shingles are frequent because of the group itself.
 
 Work on groups stays linear: equal texts collapse to one representative first; in a band
-bucket every document is compared with the bucket's leader (a star), not with all others. Where a bucket's documents are still in several classes after that, they are compared
-with a randomly drawn member too, then the bucket is split by further bands (``LEVELS`` in
-all), each finer bucket with a drawn leader of its own. Two texts of similarity 0.8 share six
-of twelve bands on average, so they meet in many buckets. Each level handles at most
-C(BANDS, level) rows a document; no bucket is capped, and no document skipped. A link is
-found with the probability of the bands when either text is a leader of a shared bucket;
-classes need only a chain of such links. README gives the measured agreement with an
-exhaustive comparison.
+bucket every document is compared with the bucket's leader (a star), not with all others. Where
+a bucket's documents are still in several classes after that, they are compared with a randomly
+drawn member too, then the bucket is split by further bands (``LEVELS`` in all), each finer
+bucket with a drawn leader of its own. What these rounds leave is compared in full: in every
+bucket that still spans several classes, all members of different classes, in cells of two
+blocks of about ``BLOCK_DOCS`` texts dealt over the tasks. The largest class of a bucket is
+not compared with itself, so its texts are copied once for each block of the others. No bucket
+is capped, and no pair of different classes that shares a band is skipped.
 
 Defined results: null text counts as empty; texts without words are near-duplicates only of
 equal texts; a text of one to four words has one shingle, the whole of it; null doc_id rows
@@ -50,7 +50,8 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3  # a pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8**3)**12 = 0.9998
 IDF_CELLS = 1 << 18
-LEVELS = 2  # bands combined at most to split a bucket that spans several classes
+LEVELS = 2  # bands combined at most to split a bucket that spans several classes, before all its pairs are compared
+BLOCK_DOCS, BLOCK_BYTES = 128, 4 << 20  # texts, and bytes of shingles, that a block of a bucket holds on average
 SLICES = 64  # parts of the frequency table while partial tables are merged
 BLOOM_BITS, BLOOM_HASHES = 1 << 24, 4
 FEATURES_PER_BUCKET = 10_000
@@ -331,6 +332,87 @@ def verified(pairs: DataFrame, features: DataFrame, idf, threshold: float) -> Da
         _verify(idf, threshold), "a bigint, b bigint, similarity double")
 
 
+# ---- pairs of different classes in a bucket ---------------------------------------------------
+
+def cell_links(rows: list[tuple], factors: np.ndarray, threshold: float) -> list[tuple]:
+    """Links (a, b, similarity) among the (p, q, block, id, label, shingles) of one cell: of all
+    pairs of its block with itself (p = q) or of its two blocks with one another, those of
+    different classes. Classes joined by a link are not compared further."""
+    rows = sorted(rows, key=lambda r: r[3])
+    block = np.array([r[2] for r in rows])
+    docs = [unpack(r[5], factors) for r in rows]
+    total = np.array([w.sum() for _, w in docs])
+    joined = np.unique([r[4] for r in rows], return_inverse=True)[1]
+    place, inside = np.arange(len(rows)), rows[0][0] == rows[0][1]
+    least = threshold * (1 - 1e-9)  # what rounding may cost here is decided by weighted_jaccard
+    out = []
+    for i, (h, w) in enumerate(docs):
+        other = place > i if inside else (place > i) & (block != block[i])
+        near = np.minimum(total, total[i]) >= least * np.maximum(total, total[i])
+        some = np.flatnonzero(other & near & (joined != joined[i]) & (total > 0))
+        if not len(some):
+            continue
+        hs, ws = (np.concatenate(x) for x in zip(*(docs[j] for j in some)))
+        first = np.cumsum([0, *(len(docs[j][0]) for j in some[:-1])])
+        at = np.searchsorted(h, hs)
+        at[at == len(h)] = 0
+        common = np.add.reduceat(np.where(h[at] == hs, np.minimum(w[at], ws), 0.0), first)
+        for j in some[common >= least * (total[i] + total[some] - common)].tolist():
+            similarity = weighted_jaccard(docs[i], docs[j])
+            if similarity >= threshold:
+                out.append((rows[i][3], rows[j][3], similarity))
+                joined[joined == joined[j]] = joined[i]
+    return out
+
+
+def _cells(idf, threshold: float) -> callable:
+    """Rows arrive sorted by cell; one cell is held at a time."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        factors, cell, rows = idf.value, None, []
+        for pdf in batches:
+            out = []
+            for band, key, *row in zip(*(pdf[c] for c in ("band", "key", "p", "q", "block", "id", "label", "shingles"))):
+                if (band, key, row[0], row[1]) != cell:
+                    if len(rows) > 1:
+                        out += cell_links(rows, factors, threshold)
+                    cell, rows = (band, key, row[0], row[1]), []
+                rows.append(tuple(row))
+            yield pd.DataFrame(out, columns=["a", "b", "similarity"])
+        if len(rows) > 1:
+            yield pd.DataFrame(cell_links(rows, factors, threshold), columns=["a", "b", "similarity"])
+    return run
+
+
+def remaining_links(in_bucket: DataFrame, labels: DataFrame, features: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links between the classes that still meet in a bucket (band, key, id, a), from all pairs
+    but those with its leader a, which are tried already."""
+    sizes = features.select("id", F.length("shingles").alias("size"))
+    mixed = in_bucket.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 2").drop("n")
+    members = stage(in_bucket.where("id <> a").select("band", "key", "id").join(mixed, ["band", "key"])
+                    .join(labels, "id").join(sizes, "id"), "near-left")
+    classes = members.groupBy("band", "key", "label").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK_DOCS, size / BLOCK_BYTES)).cast("int")
+    buckets = classes.groupBy("band", "key").agg(
+        F.max(F.struct("n", "label", "size")).alias("top"), F.sum("n").alias("n"), F.sum("size").alias("size"),
+        F.count("*").alias("classes")).where("classes > 1").select(
+        "band", "key", F.col("top.label").alias("top"), blocks(F.col("top.n"), F.col("top.size")).alias("tops"),
+        blocks(F.col("n") - F.col("top.n"), F.col("size") - F.col("top.size")).alias("rests"))
+    # blocks of the largest class are -1, -2, ..., those of the others 0, 1, ...
+    dealt = members.join(buckets, ["band", "key"]).withColumn(
+        "block", F.expr("IF(label = top, -1 - pmod(xxhash64(id), tops), pmod(xxhash64(id), rests))").cast("int"))
+    rest = F.expr("sequence(0, rests - 1)")
+    cells = dealt.select("band", "key", "id", "label", "block", F.explode(
+        F.when(F.col("block") < 0, rest).otherwise(F.concat(rest, F.expr("sequence(-tops, -1)")))).alias("with"))
+    cells = cells.select(
+        "band", "key", "id", "label", "block",
+        F.expr("IF(block < 0, with, IF(with < 0, block, least(block, with)))").alias("p"),
+        F.expr("IF(block < 0, block, IF(with < 0, with, greatest(block, with)))").alias("q"))
+    cell = ["band", "key", "p", "q"]
+    rows = cells.join(features, "id").repartition(*cell).sortWithinPartitions(*cell)
+    found = rows.mapInPandas(_cells(idf, threshold), "a bigint, b bigint, similarity double")
+    return found.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+
+
 # ---- classes --------------------------------------------------------------------------------
 
 def components(nodes_in_links: DataFrame, links: DataFrame) -> DataFrame:
@@ -411,6 +493,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             links = links.unionByName(more)
             labels = components(wanted, links)
 
+    # all pairs of different classes that are left
+    more = stage(remaining_links(in_bucket, labels, features, idf, threshold), "near-rest")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = components(wanted, links)
+
     # classes of texts, then of rows
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
     of_text = (texts.select("digest", "id", "copies").join(labels, "id", "left").join(degree, "id", "left")

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from helpers_llm import docs_frame, edited, rng, sentence
 from loadcast.llm import weighted_minhash as M
@@ -78,6 +79,25 @@ def test_classes_match_brute_force(spark):
     assert max(n for _, n in got.values()) >= 10
 
 
+def test_no_pair_of_a_bucket_is_skipped(spark, monkeypatch):
+    """One bucket of a ruling class of 300 texts and 100 pairs, which meet nowhere else."""
+    r = rng(11)
+    base = sentence(r, 120)
+    texts = [edited(r, base, 1) for _ in range(300)]
+    for _ in range(100):
+        texts.append(sentence(r, 120))
+        texts.append(edited(r, texts[-1], 1))
+    signed = M.signatures
+
+    def one_bucket(docs, idf):
+        alone = F.transform(F.sequence(F.lit(2), F.lit(M.BANDS)), lambda band: F.xxhash64("doc_id", band))
+        return signed(docs, idf).withColumn("bands", F.concat(F.array(F.lit(7).cast("bigint")), alone))
+
+    monkeypatch.setattr(M, "signatures", one_bucket)
+    got = {x.doc_id: (x.keep_id, x.class_size) for x in M.near_classes(docs_frame(spark, list(enumerate(texts)))).collect()}
+    assert got == {i: (299, 300) if i < 300 else (i | 1, 2) for i in range(500)}
+
+
 def test_star_links_are_the_verified_similarities(spark):
     rows = corpus()[:3] + [(50, corpus()[0][1])]
     out = {r.doc_id: r for r in M.near_classes(docs_frame(spark, rows)).collect()}
