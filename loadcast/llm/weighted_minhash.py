@@ -53,7 +53,6 @@ IDF_CELLS = 1 << 18
 LEVELS = 2  # bands combined at most to split a bucket that spans several classes, before all its pairs are compared
 BLOCK_DOCS, BLOCK_BYTES = 128, 4 << 20  # texts, and bytes of shingles, that a block of a bucket holds on average
 SLICES = 64  # parts of the frequency table while partial tables are merged
-BLOOM_BITS, BLOOM_HASHES = 1 << 24, 4
 FEATURES_PER_BUCKET = 10_000
 LEADER_SALTS = 32
 DRAW_BITS = 17  # table of random draws, indexed by two hashes of the shingle and the sample number
@@ -217,65 +216,27 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
 
 # ---- verification ---------------------------------------------------------------------------
 
-def bloom_places(ids: np.ndarray) -> np.ndarray:
-    """Bits of each id in the Bloom filter."""
-    with np.errstate(over="ignore"):
-        seeds = np.arange(1, BLOOM_HASHES + 1, dtype=np.uint64) * np.uint64(MIX2)
-        return (mix64(ids.astype(np.int64).view(np.uint64)[:, None] + seeds) % np.uint64(BLOOM_BITS)).astype(np.int64)
-
-
-def _bloom(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    bits = np.zeros(BLOOM_BITS, bool)
-    for pdf in batches:
-        bits[bloom_places(pdf["id"].to_numpy(np.int64))] = True
-    yield pd.DataFrame({"bits": [zlib.compress(np.packbits(bits).tobytes(), 1)]})
-
-
-def _either(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    bits = np.zeros(BLOOM_BITS // 8, np.uint8)
+def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(id, shingles) of texts: 48-bit hashes and tf of each shingle, packed in 8 bytes."""
     for pdf in batches:
-        for b in pdf["bits"]:
-            bits |= np.frombuffer(zlib.decompress(b), np.uint8)
-    yield pd.DataFrame({"bits": [zlib.compress(bits.tobytes(), 1)]})
-
-
-def bloom_filter(ids: DataFrame) -> np.ndarray:
-    """Bloom filter of a column ``id``: BLOOM_BITS / 8 bytes, whatever the number of ids."""
-    partial = ids.select("id").mapInPandas(_bloom, "bits binary").repartition(16).mapInPandas(_either, "bits binary")
-    bits = np.zeros(BLOOM_BITS // 8, np.uint8)
-    for r in partial.collect():  # 16 rows
-        bits |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
-    return np.unpackbits(bits).view(bool)
-
-
-def _features(bloom) -> callable:
-    """(id, shingles) of the documents whose id passes the filter: 48-bit hashes and tf of each
-    shingle, packed in 8 bytes."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf = pdf[bloom.value[bloom_places(pdf["id"].to_numpy(np.int64))].all(axis=1)]
-            texts, out = pdf["text"].tolist(), [b""] * len(pdf)
-            for start, part in text_slices(texts):
-                r, h, tf = batch_shingles(part)
-                packed = (h << np.uint64(16)) | np.minimum(tf, 65535).astype(np.uint64)
-                for i, f, l in zip(*_runs(r)):
-                    out[start + i] = packed[f:l].tobytes()
-            yield pd.DataFrame({"id": pdf["id"], "shingles": out})
-    return run
+        texts, out = pdf["text"].tolist(), [b""] * len(pdf)
+        for start, part in text_slices(texts):
+            r, h, tf = batch_shingles(part)
+            packed = (h << np.uint64(16)) | np.minimum(tf, 65535).astype(np.uint64)
+            for i, f, l in zip(*_runs(r)):
+                out[start + i] = packed[f:l].tobytes()
+        yield pd.DataFrame({"id": pdf["id"], "shingles": out})
 
 
 def features_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, shingles) of the wanted documents, bucketed by id: the joins that follow move
-    pairs to the shingles, not the shingles to the pairs. Texts are not shuffled: the tasks
-    that read them drop the documents that a Bloom filter of the wanted ids rules out, and
-    the few false positives go by an exact join afterwards."""
+    pairs to the shingles, not the shingles to the pairs."""
     spark = docs.sparkSession
-    bloom = spark.sparkContext.broadcast(bloom_filter(wanted))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"),
                        F.coalesce("text", F.lit("")).alias("text"))
     n = bucket_count(spark, wanted.count(), FEATURES_PER_BUCKET)
-    found = (rows.mapInPandas(_features(bloom), "id bigint, shingles binary").repartition(n, "id")
-             .join(wanted, "id", "left_semi").dropDuplicates(["id"]))
+    found = (rows.join(wanted, "id", "left_semi").mapInPandas(_features, "id bigint, shingles binary")
+             .repartition(n, "id").dropDuplicates(["id"]))
     path = scratch_path(spark, "near-features")
     name = "near_features_" + path.rpartition("-")[2]
     found.write.bucketBy(n, "id").sortBy("id").option("path", path).saveAsTable(name)
