@@ -24,9 +24,12 @@ blocks of about ``BLOCK_DOCS`` texts dealt over the tasks. The largest class of
 not compared with itself, so its texts are copied once for each block of the others. No bucket
 is capped, and no pair of different classes that shares a band is skipped.
 
+A text is known by its sha256 digest; doc_id only chooses the row of a class that stays.
+
 Defined results: null text counts as empty; texts without words are near-duplicates only of
-equal texts; a text of one to four words has one shingle, the whole of it; null doc_id rows
-take part with a null class member id; repeated rows carry the same class; extra columns are
+equal texts; a text of one to four words has one shingle, the whole of it; a null doc_id
+loses to any other; of several texts of a class with its largest doc_id the one of the
+largest digest stays; repeated rows carry the same class; extra columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -229,13 +232,15 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def features_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, shingles) of the wanted documents, bucketed by id: the joins that follow move
-    pairs to the shingles, not the shingles to the pairs."""
+    """(id, shingles) of the wanted (id, doc_id), bucketed by id: the joins that follow move
+    pairs to the shingles, not the shingles to the pairs. Of equal texts only the rows of the
+    doc_id asked for are read on."""
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"),
-                       F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"),
+                       F.coalesce("text", F.lit("")).alias("text")).withColumn("id", F.unhex(F.sha2("text", 256)))
     n = bucket_count(spark, wanted.count(), FEATURES_PER_BUCKET)
-    found = (rows.join(wanted, "id", "left_semi").mapInPandas(_features, "id bigint, shingles binary")
+    found = (rows.join(wanted, ["id", "doc_id"], "left_semi").select("id", "text")
+             .mapInPandas(_features, "id binary, shingles binary")
              .repartition(n, "id").dropDuplicates(["id"]))
     path = scratch_path(spark, "near-features")
     name = "near_features_" + path.rpartition("-")[2]
@@ -290,7 +295,7 @@ def verified(pairs: DataFrame, features: DataFrame, idf, threshold: float) -> Da
     leaders = salted.select("a", "salt").distinct().join(left, "a")
     both = salted.join(right, "b").join(leaders, ["a", "salt"])
     return both.select("a", "b", "shingles_a", "shingles_b").mapInPandas(
-        _verify(idf, threshold), "a bigint, b bigint, similarity double")
+        _verify(idf, threshold), "a binary, b binary, similarity double")
 
 
 # ---- pairs of different classes in a bucket ---------------------------------------------------
@@ -303,7 +308,8 @@ def cell_links(rows: list[tuple], factors: np.ndarray, threshold: float) -> list
     block = np.array([r[2] for r in rows])
     docs = [unpack(r[5], factors) for r in rows]
     total = np.array([w.sum() for _, w in docs])
-    joined = np.unique([r[4] for r in rows], return_inverse=True)[1]
+    number: dict = {}
+    joined = np.array([number.setdefault(r[4], len(number)) for r in rows])
     place, inside = np.arange(len(rows)), rows[0][0] == rows[0][1]
     least = threshold * (1 - 1e-9)  # what rounding may cost here is decided by weighted_jaccard
     out = []
@@ -370,7 +376,7 @@ def remaining_links(in_bucket: DataFrame, labels: DataFrame, features: DataFrame
         F.expr("IF(block < 0, block, IF(with < 0, with, greatest(block, with)))").alias("q"))
     cell = ["band", "key", "p", "q"]
     rows = cells.join(features, "id").repartition(*cell).sortWithinPartitions(*cell)
-    found = rows.mapInPandas(_cells(idf, threshold), "a bigint, b bigint, similarity double")
+    found = rows.mapInPandas(_cells(idf, threshold), "a binary, b binary, similarity double")
     return found.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
@@ -408,9 +414,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     idf = spark.sparkContext.broadcast(idf_table(docs))
     rows = signatures(docs, idf)
 
-    # one representative for each distinct text
-    texts = stage(rows.groupBy("digest").agg(F.max("doc_id").alias("id"), F.count("*").alias("copies"),
-                                             F.first("bands").alias("bands")), "near-texts")
+    # one representative for each distinct text; its digest is its id
+    texts = stage(rows.groupBy(F.col("digest").alias("id")).agg(F.max("doc_id").alias("doc_id"), F.count("*").alias("copies"),
+                                                                F.first("bands").alias("bands")), "near-texts")
     members = texts.where("bands is not null").select("id", F.posexplode("bands").alias("band", "key"))
     # a bucket's leader is its document with the most company over all its buckets: of near
     # copies of one text, the one closest to that text
@@ -424,7 +430,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     # shingles of the documents that occur in any bucket of two or more
     wanted = stage(in_bucket.select("id").distinct(), "near-wanted")
-    features = features_of(docs, wanted)
+    features = features_of(docs, texts.select("id", "doc_id").join(wanted, "id", "left_semi"))
     links = stage(verified(star, features, idf, threshold), "near-star")
     labels = components(wanted, links)
 
@@ -462,16 +468,19 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     # classes of texts, then of rows
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
-    of_text = (texts.select("digest", "id", "copies").join(labels, "id", "left").join(degree, "id", "left")
-               .select("digest", "id", "copies", F.coalesce("label", "id").alias("label"),
+    of_text = (texts.select("id", "doc_id", "copies").join(labels, "id", "left").join(degree, "id", "left")
+               .select("id", "doc_id", "copies", F.coalesce("label", "id").alias("label"),
                        F.coalesce("links", F.lit(0)).alias("links")))
     of_text = stage(of_text, "near-text-classes")
-    heads = of_text.groupBy("label").agg(F.max("id").alias("keep_id"), F.sum("copies").alias("class_size"))
-    groups = of_text.join(heads, "label").select("digest", "keep_id", "class_size", "links")
+    heads = of_text.groupBy("label").agg(F.max(F.struct("doc_id", "id")).alias("head"),
+                                         F.sum("copies").alias("class_size"))
+    groups = of_text.join(heads, "label").select(
+        F.col("id").alias("digest"), F.col("head.doc_id").alias("keep_id"), "class_size", "links",
+        (F.col("id") == F.col("head.id")).alias("head"))
     out = attach_by_group(rows.select("doc_id", "digest", "salt"), "digest", "salt", groups)
     return out.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"),
                       F.nullif("keep_id", F.lit(NO_ID)).alias("keep_id"), "class_size", "links",
-                      (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+                      (F.col("head") & (F.col("doc_id") == F.col("keep_id"))).alias("kept"),
                       F.lower(F.hex("digest")).alias("text_sha256"))
 
 

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -98,6 +100,22 @@ def test_no_pair_of_a_bucket_is_skipped(spark, monkeypatch):
     assert got == {i: (299, 300) if i < 300 else (i | 1, 2) for i in range(500)}
 
 
+def test_texts_that_share_a_doc_id_are_told_apart(spark):
+    r = rng(4)
+    texts = [sentence(r, 120) for _ in range(6)]
+    near = [edited(r, t, 1) for t in texts]
+    rows = [(9, texts[0]), (None, near[0]), (5, texts[1]), (None, near[1]), (None, texts[2]), (None, near[2]),
+            (None, texts[3]), (2, texts[4]), (1, near[4]), (1, texts[5]), (1, near[5])]
+    got = {x.text_sha256: x for x in M.near_classes(docs_frame(spark, rows)).collect()}
+    classes = [[got[hashlib.sha256(t.encode()).hexdigest()] for _, t in rows[a:b]]
+               for a, b in ((0, 2), (2, 4), (4, 6), (6, 7), (7, 9), (9, 11))]
+    assert [[x.keep_id for x in c] for c in classes] == [[9, 9], [5, 5], [None, None], [None], [2, 2], [1, 1]]
+    assert all(x.class_size == len(c) for c in classes for x in c)
+    assert all(sum(x.kept for x in c) == 1 for c in classes)
+    kept = {x.text for x in M.drop_near_copies(docs_frame(spark, rows)).collect()}
+    assert len(kept) == 6 and {texts[0], texts[1], texts[3], texts[4]} <= kept
+
+
 def test_star_links_are_the_verified_similarities(spark):
     rows = corpus()[:3] + [(50, corpus()[0][1])]
     out = {r.doc_id: r for r in M.near_classes(docs_frame(spark, rows)).collect()}
