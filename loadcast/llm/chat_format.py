@@ -8,11 +8,12 @@ Within the span, the text's own place is found by rendering the same prefix with
 texts in place of the last: what all three share before and after is the template's, the
 rest is the text. Nothing is assumed about the template's marks.
 
-Long conversations: each prefix is rendered anew, which is quadratic. During the first
-``LOCAL_TURNS`` turns it is also tested whether a turn's span is the same after the first turn
-alone; if it always was, later turns are rendered in that short context, one by one, and
-rows of a conversation stream through with constant memory. A template without this property
-keeps being rendered in full. Rows arrive sorted by conversation and turn, and a
+Long conversations: each prefix is rendered anew, which is quadratic, but nothing shorter shows
+that a black box left its history alone. Only a template that declares itself ``local`` (a
+turn's span is the same after the first turn alone, in every conversation) is rendered in that
+short context after ``LOCAL_TURNS`` turns, during which the declaration is tested; rows of a
+conversation then stream through with constant memory. A template that does not declare it, or
+fails the test, keeps being rendered in full. Rows arrive sorted by conversation and turn, and a
 conversation's digests are fed turn by turn.
 
 ``MarkedTemplate`` is the template of the query: turns between control strings, which are
@@ -45,6 +46,7 @@ LOCAL_TURNS = 32
 # ---- the query's template -------------------------------------------------------------------
 
 class MarkedTemplate:
+    local = True  # a turn's output depends on nothing but the turn
     begin, end = "<|im_start|>", "<|im_end|>"
     _escape, _unescape = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
     _turn = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
@@ -104,7 +106,7 @@ class IncrementalRenderer:
         self.output = ""
         self.length = 0
         self.count = 0
-        self.local = True
+        self.local = getattr(template, "local", False)
         self.first: Turn | None = None
         self.first_output = ""
 

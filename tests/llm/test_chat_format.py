@@ -59,6 +59,25 @@ def test_black_box_templates():
     assert "".join(run.add(*t).piece for t in many) == counts_turns(many) and not run.local
 
 
+def keeps_the_last_40(turns):
+    """Local at first: a sliding window that drops the oldest turns of a long conversation."""
+    return "".join(f"[{r}]{x}\n" for r, x in turns[-40:])
+
+
+def test_rewrites_late_in_a_long_conversation_are_detected():
+    run = C.IncrementalRenderer(keeps_the_last_40)
+    turns = [("user", f"text {i}") for i in range(100)]
+    before = ""
+    for i in range(len(turns)):
+        out = keeps_the_last_40(turns[:i + 1])
+        same = next((k for k, (x, y) in enumerate(zip(before, out)) if x != y), min(len(before), len(out)))
+        span = run.add(*turns[i])
+        assert span.rewritten_at == (-1 if same == len(before) else same)
+        assert (i >= 40) == (span.rewritten_at >= 0)
+        assert span.piece == out[same:]
+        before = out
+
+
 def test_a_long_conversation_streams():
     run = C.IncrementalRenderer(C.MarkedTemplate())
     turns = [("user", "u" * (i % 9)) for i in range(500)]
