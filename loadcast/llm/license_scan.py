@@ -11,7 +11,10 @@ Exact prefilter: the aligned words of a template are words the text holds, so wh
 template's words that occur in the text at all make less than ``COVERAGE`` of it, it can't be
 found. The words of a batch are compared with all templates at once by their hashes; only
 the few texts that pass are aligned, in windows around dense places: a template is shorter
-than ``WINDOW`` times its length around the words they share.
+than ``WINDOW`` times its length around the words they share. Where a template stands several
+times, its words are unique nowhere in the whole range, so a range is also aligned in overlapping
+windows of about the template's length and up to ``WINDOW`` times it. Windows whose words,
+counted as often as the template has them, can't reach the coverage are passed over.
 
 Defined results: null and empty texts hold no license; a template that occurs several times
 is reported once, at its best place, the first of equals; of several templates ``license``
@@ -173,20 +176,56 @@ def dense_windows(places: list[int], size: int, least: int) -> list[tuple[int, i
     return [(a, b) for a, b in out]
 
 
+def template_windows(words: list[str], low: int, high: int, template: Template, least: int) -> Iterator[tuple[int, int]]:
+    """Windows of the range that hold at least ``least`` of the template's words: any stretch of
+    up to ``WINDOW`` template lengths stands whole in one that is hardly more than half longer."""
+    n = len(template.words)
+    size = n
+    while True:
+        step = max(size // 4, 1)
+        width = size + step - 1
+        counts = dict.fromkeys(template.counts, 0)
+        held, last = 0, low
+        for start in range(low, max(high - size, low) + step, step):
+            for i in range(max(start - step, low), start):  # words that leave, then those that come
+                w = words[i]
+                if w in counts:
+                    counts[w] -= 1
+                    held -= counts[w] < template.counts[w]
+            end = min(start + width, high)
+            for i in range(last, end):
+                w = words[i]
+                if w in counts:
+                    held += counts[w] < template.counts[w]
+                    counts[w] += 1
+            last = end
+            if held >= least:
+                yield start, end
+        if size >= min(WINDOW * n, high - low):
+            return
+        size = min(size + max(size // 4, 1), WINDOW * n)
+
+
 def best_match(words: list[str], template: Template, coverage: float) -> tuple[int, int, int] | None:
-    """(aligned words, first text word, last text word) of the template's best place."""
+    """(aligned words, first text word, last text word) of the template's best place: of the
+    most aligned words, then the shortest, then the first."""
     least = max(int(np.ceil(coverage * len(template.words))), 1)
     places = [i for i, w in enumerate(words) if w in template.counts]
     best = None
     for low, high in dense_windows(places, WINDOW * len(template.words), least):
         step = WINDOW * len(template.words)
         starts = range(low, max(high - step, low) + step, step) if high - low > 2 * step else [low]
-        for start in starts:  # a long run of shared words is walked in overlapping parts
-            end = min(start + 2 * step, high) if high - low > 2 * step else high
+        # a long run of shared words is walked in overlapping parts
+        parts = [(start, min(start + 2 * step, high) if high - low > 2 * step else high) for start in starts]
+        if high - low > len(template.words):
+            parts += template_windows(words, low, high, template, least)
+        for start, end in parts:
             pairs = patience_align(words[start:end], template.words)
-            if len(pairs) >= least and (best is None or len(pairs) > best[0]):
-                best = len(pairs), start + pairs[0][0], start + pairs[-1][0]
-    return best
+            if len(pairs) >= least:
+                first, last = start + pairs[0][0], start + pairs[-1][0]
+                found = -len(pairs), last - first, first
+                best = found if best is None else min(best, found)
+    return best and (-best[0], best[2], best[2] + best[1])
 
 
 def scan(text: str, found: list[Template], coverage: float = COVERAGE) -> list[tuple[str, int, float, int, int]]:

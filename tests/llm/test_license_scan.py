@@ -55,6 +55,25 @@ def test_every_template_is_found_in_place(spark):
     assert set(two.licenses) == {"MIT", "Apache-2.0"}
 
 
+def test_templates_that_stand_several_times_are_found():
+    traced = "the license: Released under the MIT License. Released under the MIT License. See the license"
+    assert S.scan(traced, S.templates()) == [("MIT", 5, 1.0, 13, 43)]
+    r = rng(12)
+    for t, text in zip(S.templates(), (x for texts in S.TEMPLATES.values() for x in texts)):
+        common = sorted(t.counts, key=lambda w: (-t.counts[w], w))[:4]
+
+        def noise(n):
+            return " ".join(w if r.random() < 0.5 else str(r.choice(common)) for w in sentence(r, n).split())
+
+        for copies in (2, 3):
+            for between in (0, 7, 60):
+                before = noise(40) + " | "
+                whole = before + "".join(text + " " + noise(between) + "\n" for _ in range(copies)) + noise(40)
+                found = S.best_match([w for w, _, _ in S.words_of(whole)], t, S.COVERAGE)
+                assert found is not None and found[0] == len(t.words), (t.name, copies, between)
+                assert found[2] - found[1] == len(t.words) - 1
+
+
 def test_prefilter_loses_nothing():
     r = rng(8)
     known = S.templates()
