@@ -116,6 +116,11 @@ def test_texts_that_share_a_doc_id_are_told_apart(spark):
     assert len(kept) == 6 and {texts[0], texts[1], texts[3], texts[4]} <= kept
 
 
+def test_counts_beyond_16_bits_are_verified_whole(spark):
+    rows = [(i, "ab cd ef gh ij " * n) for i, n in enumerate((66_000, 90_000, 120_000, 160_000))]
+    assert [x.class_size for x in M.near_classes(docs_frame(spark, rows)).collect()] == [1] * 4
+
+
 def test_star_links_are_the_verified_similarities(spark):
     rows = corpus()[:3] + [(50, corpus()[0][1])]
     out = {r.doc_id: r for r in M.near_classes(docs_frame(spark, rows)).collect()}
