@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat_format, collision_ann, exact_dedup, host_reputation, language_id, license_scan, mixing,
-               toxicity, weighted_minhash)
+from . import (bpe, chat_format, collision_ann, exact_dedup, host_reputation, language_id, license_scan,
+               merkle_manifest, mixing, toxicity, weighted_minhash)
 from .frames import read
+from .manifest_sql import OP13_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -75,12 +76,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verify(merkle_manifest.build_manifest(read(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_cuckoo_dedup, op2_language_id, op3_streaming_bpe, op4_chat_format, op5_mixture,
                                     op6_host_reputation, op7_collision_ann, op8_weighted_minhash, op9_toxicity,
-                                    op10_license_scan)}
+                                    op10_license_scan, op13_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_cuckoo_dedup": OP1_SQL, "op5_mixture": mixing.oracle(),
-            "op6_host_reputation": host_reputation.oracle()}
+            "op6_host_reputation": host_reputation.oracle(), "op13_merkle_manifest": OP13_SQL}
