@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, name):
 
 @pytest.mark.parametrize("name, key", [("op2_language_id", "page_id"), ("op3_streaming_bpe", "doc_id"),
                                        ("op8_weighted_minhash", "doc_id"), ("op9_toxicity", "doc_id"),
-                                       ("op10_license_scan", "doc_id")])
+                                       ("op10_license_scan", "doc_id"), ("op13_merkle_manifest", "doc_id")])
 def test_one_row_for_each_input_row(spark, name, key):
     table = "pages" if key == "page_id" else "documents"
     want = sorted(r[0] for r in spark.read.parquet(f"{SF_SMALL}/{table}.parquet").select(key).collect())
