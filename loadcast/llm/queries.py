@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, chat_format, collision_ann, exact_dedup, host_reputation, language_id, license_scan,
-               merkle_manifest, mixing, spelling_groups, toxicity, weighted_minhash)
+               merkle_manifest, mixing, packing, spelling_groups, toxicity, weighted_minhash)
 from .frames import read
 from .manifest_sql import OP13_SQL
 
@@ -76,6 +76,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op11_instruction_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), TOKENIZER).drop("loss_from", "ids")
+
+
 def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups.spelling_groups(read(spark, sf_dir, "documents"))
 
@@ -87,7 +91,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_cuckoo_dedup, op2_language_id, op3_streaming_bpe, op4_chat_format, op5_mixture,
                                     op6_host_reputation, op7_collision_ann, op8_weighted_minhash, op9_toxicity,
-                                    op10_license_scan, op12_spelling_groups, op13_merkle_manifest)}
+                                    op10_license_scan, op11_instruction_packing, op12_spelling_groups,
+                                    op13_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
