@@ -9,6 +9,9 @@
                                    [--score-begin '2016-07-01 00:00:00'] \
                                    [--servers 10.0.0.1,10.0.0.2] --out /shared/predictions
 
+``stats`` adds the files that its store has not read yet, so it can be run again over a glob that
+grows; files may split hours and come late.
+
 Session files are headerless CSV in the 17-column layout. ``--servers`` restricts any step
 to a list of servers (the debug mode). ``score`` takes its settings from the run info stored
 with the model (any of them can be overridden) and writes ``<out>-coverage`` beside the
@@ -24,8 +27,8 @@ import argparse
 from . import config as C
 from .plans import features as FT
 from .plans import scoring as SC
+from .plans import statistics as ST
 from .plans import training as TR
-from .operators.rollup import five_min_rollup, hourly_peak, with_day
 from .session import build_session
 from .sources.records import write_records
 from .sources.sessions import clean_sessions, filter_servers, read_sessions_csv
@@ -63,8 +66,8 @@ def _cfg_from_info(info: dict, args) -> C.RunConfig:
     return base.with_(**kw)
 
 
-def _sessions(spark, args):
-    s = clean_sessions(read_sessions_csv(spark, args.sessions, args.timestamp_format))
+def _sessions(spark, args, paths=None):
+    s = clean_sessions(read_sessions_csv(spark, paths or args.sessions, args.timestamp_format))
     return filter_servers(s, args.servers.split(",")) if args.servers else s
 
 
@@ -89,8 +92,9 @@ def main(argv=None, spark=None) -> None:
     t.add_argument("--servers")
     t.add_argument("--out", required=True)
     t.add_argument("--json", action="store_true")
-    s = sub.add_parser("stats", help="hourly and daily statistics for scoring")
+    s = sub.add_parser("stats", help="hourly and daily statistics for scoring, from files not read before")
     _add_session_args(s)
+    s.add_argument("--compact", action="store_true", help="add up the batches of each month afterwards")
     s.add_argument("--out", required=True)
     c = sub.add_parser("score", help="48-hour predictions")
     c.add_argument("--stats", required=True)
@@ -118,8 +122,11 @@ def main(argv=None, spark=None) -> None:
                                   f"{args.out}/model", ",".join(args.sessions))
         _write(metrics, f"{args.out}/metrics", args.json)
     elif args.cmd == "stats":
-        hourly = with_day(hourly_peak(five_min_rollup(_sessions(spark, args))))
-        SC.write_statistics(hourly, f"{args.out}/hourly", f"{args.out}/daily")
+        read = lambda spark, paths: _sessions(spark, args, paths)
+        n = ST.take_in(spark, args.out, args.sessions, read)
+        print(f"{n} new files")
+        if args.compact:
+            ST.compact(spark, args.out)
     else:
         model, info = TR.load_model(spark, args.model)
         servers = args.servers.split(",") if args.servers else None

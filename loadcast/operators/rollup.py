@@ -28,6 +28,13 @@ def five_min_rollup(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy("ServerIP", bucket).agg(*aggs)
 
 
+def merge_rollups(partials: DataFrame) -> DataFrame:
+    """Five-minute sums of parts of a session log, added up: the rollup of the whole log. A sum
+    is NULL only if it is in every part."""
+    sums = ["SumTotalLoad", "NumSession", *[name for name, _ in FIVE_MIN_SUMS[1:]]]
+    return partials.groupBy("ServerIP", "SessionStartFiveMin").agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def row_key(server: str, ts: str) -> F.Column:
     """``<server>_<yyyy-MM-dd HH:mm:ss>`` (NULL when either part is NULL)."""
     return F.concat(F.col(server), F.lit("_"), F.col(ts).cast("string"))

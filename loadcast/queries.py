@@ -28,6 +28,7 @@ from .operators.model import add_label, classification_metrics, split_column
 from .operators.rollup import daily_mean, five_min_rollup, hourly_peak, row_key, with_day
 from .plans import features as FT
 from .plans import scoring as SC
+from .plans import statistics as ST
 from .plans import training as TR
 from .session import scratch_path
 from .streaming.score_stream import score_files_once
@@ -771,6 +772,37 @@ def q_stats_merge(spark, d):
     return rounded(spark.read.parquet(hp).select(*_HSTATS_COLS))
 
 
+def _late_store(spark, d) -> str:
+    """A store of four batches that split every hour, one of them sent twice, one after the
+    others were compacted."""
+    store = scratch_path(spark, "stats-store")
+    log = sessions(spark, d)
+    # the service grade is the event number modulo 3, HTTP1 modulo 2
+    odd = (F.col("ServiceGrade") == "0") & (F.col("HTTP1") == "1")
+    parts = {"a": F.col("ServiceGrade") == "1", "b": F.col("ServiceGrade") == "2",
+             "c": (F.col("ServiceGrade") == "0") & ~odd, "d": odd}
+    for name in "aba":
+        ST.add_batch(log.where(parts[name]), store, name)
+    ST.compact(spark, store)
+    for name in "cbd":
+        ST.add_batch(log.where(parts[name]), store, name)
+    return store
+
+
+@register("stats_late_sessions", O.with_(O.base_ctes(), f"SELECT {_hstats_sql_select()} FROM hourly"))
+def q_stats_late_sessions(spark, d):
+    """Hourly statistics after batches that split every hour, one sent twice: those of one batch."""
+    return rounded(spark.read.parquet(f"{_late_store(spark, d)}/hourly").select(*_HSTATS_COLS))
+
+
+@register("stats_late_daily", O.with_(O.base_ctes() + [("daily", O.daily_sql())],
+                                      "SELECT " + ", ".join(O.rnd(c, c) if c in DAILY_COLUMNS else c for c in _DAILY_COLS)
+                                      + " FROM daily"))
+def q_stats_late_daily(spark, d):
+    """The daily means after the same batches."""
+    return rounded(spark.read.parquet(f"{_late_store(spark, d)}/daily").select(*_DAILY_COLS))
+
+
 @register("score_horizon", """
 SELECT score_begin,
        score_begin + INTERVAL 172799 SECOND AS score_end,

@@ -17,6 +17,11 @@ from ..session import scratch_path
 
 PARTITION_COLUMNS = ["year", "month"]
 
+# A reader that wants a few servers skips row groups by their Bloom filter, and pages of the
+# others by the column index, as rows are sorted by server.
+SKIP_OPTIONS = {"parquet.bloom.filter.enabled#ServerIP": "true", "parquet.page.row.count.limit": "2000",
+                "parquet.block.size": str(16 << 20)}
+
 
 def hourly_stats(hourly: DataFrame) -> DataFrame:
     """Hourly peaks with the calendar columns they are stored and filtered by."""
@@ -31,10 +36,10 @@ def daily_stats(daily: DataFrame) -> DataFrame:
     return daily.withColumns({"year": F.year(t), "month": F.month(t)})
 
 
-def stored_stats(spark: SparkSession, path: str) -> DataFrame | None:
+def stored_stats(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame | None:
     """The table at ``path``, or None before its first write."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.format(form).load(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -54,7 +59,11 @@ def of_months(stats: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
 def write_stats(stats: DataFrame, path: str, keys: list[str]) -> list[tuple[int, int]]:
     """Merge ``stats`` into the table at ``path``: rows with the same ``keys`` are replaced,
     all others stay, also those of the months that ``stats`` covers in part. Returns the
-    months written.
+    months written. A row replaces another whole: batches that share an hour go through
+    ``plans.statistics``, which adds them up.
+
+    Files are sorted by ``keys``, the server first, and hold a Bloom filter of servers, so that
+    a filter on servers skips most of a month's pages.
 
     The merged months are staged in the shared folder, as a table can't be overwritten
     while it is read. ``rebalance`` gives a month as many tasks and files as its size needs.
@@ -67,8 +76,8 @@ def write_stats(stats: DataFrame, path: str, keys: list[str]) -> list[tuple[int,
         kept = of_months(old, months).select(*stats.columns).join(stats.select(*keys), keys, "left_anti")
         stats.unionByName(kept).write.parquet(staged)
         stats = spark.read.schema(stats.schema).parquet(staged)
-    (stats.hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
+    (stats.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*PARTITION_COLUMNS, *keys)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**SKIP_OPTIONS)
      .partitionBy(*PARTITION_COLUMNS).parquet(path))
     return months
 
