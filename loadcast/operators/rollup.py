@@ -49,7 +49,9 @@ def hourly_peak(rollup: DataFrame) -> DataFrame:
     dropped here.
     """
     keep, hour, best, out = _peak_exprs()
-    return rollup.where(keep).groupBy("ServerIP", hour).agg(best).select(*out)
+    # dealt by hour first: the arg-max then sorts once, not on both sides of its shuffle
+    rows = rollup.where(keep).withColumn("SessionStartHourTime", hour).repartition("ServerIP", "SessionStartHourTime")
+    return rows.groupBy("ServerIP", "SessionStartHourTime").agg(best).select(*out)
 
 
 def _peak_exprs():
@@ -58,7 +60,7 @@ def _peak_exprs():
     row = F.struct(load.alias("peakLoad"),
                    *[F.col(src).alias(name) for name, src in PEAK_MEASURES[1:]])
     keep = F.col("ServerIP").isNotNull() & F.col("SessionStartFiveMin").isNotNull()
-    hour = floor_ts("SessionStartFiveMin", HOUR).alias("SessionStartHourTime")
+    hour = floor_ts("SessionStartFiveMin", HOUR)
     out = [row_key("ServerIP", "SessionStartHourTime").alias("key"), F.col("ServerIP"),
            F.col("SessionStartHourTime"), *[F.col("p." + c).alias(c) for c in PEAK_COLUMNS]]
     return keep, hour, F.max_by(row, order).alias("p"), out

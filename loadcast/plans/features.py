@@ -2,9 +2,9 @@
 -> indexed, one-hot and scaled columns, written as parquet.
 
 Physical plan, by design: one shuffle on (server, five-minute bucket) with a map-side
-partial aggregate, then one shuffle on server. The hourly arg-max, the daily means, the
-rolling means and the lags all run on that server partitioning without another
-exchange (their keys all start with the server).
+partial aggregate, one on (server, hour) for the hourly arg-max, and one on (server, chunk of
+time), where the daily means, the rolling means and the lags all run. The number of tasks
+grows with the history, not only with the number of servers.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from ..functions.calendar import add_calendar
 from ..functions.labels import fill_numeric
 from ..functions.timegrid import DAY, HOUR, floor_ts, ntz
 from ..operators.encode import FeatureModel, fit_features, scaled_columns
-from ..operators.lags import lag_features, rolling_on_hours
+from ..operators.lags import hour_features
 from ..operators.model import train_test
 from ..operators.rollup import five_min_rollup, hourly_peak, with_day
 
@@ -28,25 +28,17 @@ CALENDAR_OUT = ["year", "month", "weekofyear", "dayofmonth", "hourofday", "dayof
 HOURLY_FEATURE_COLUMNS = HOUR_KEYS + PEAK_COLUMNS + CALENDAR_OUT + ROLLING_COLUMNS + LAG_COLUMNS
 
 
-def hourly_by_server(sessions: DataFrame) -> DataFrame:
-    """Hourly peaks, hash-partitioned by server for the windows that follow."""
-    return with_day(hourly_peak(five_min_rollup(sessions).repartition("ServerIP")))
-
-
 def hourly_features(sessions: DataFrame, cfg: RunConfig) -> DataFrame:
     """One row per observed server-hour with calendar, rolling and lag features."""
-    return features_of_hours(hourly_by_server(sessions), cfg)
+    return features_of_hours(with_day(hourly_peak(five_min_rollup(sessions))), cfg)
 
 
 def features_of_hours(hourly: DataFrame, cfg: RunConfig) -> DataFrame:
-    """The same from hourly peaks (with their day), shuffled by server unless they are already.
+    """The same from hourly peaks (with their day).
 
     NULL lags (no history yet) become 0, as they are model inputs.
     """
-    # Lags first: they are ordered by (server, hour), as the hourly aggregation leaves the
-    # rows, so they add no sort; the day windows then sort once by day number.
-    feats = lag_features(hourly, cfg.lag_mode)
-    feats = rolling_on_hours(feats, cfg.lag_mode)
+    feats = hour_features(hourly, cfg.lag_mode)
     feats = add_calendar(feats, "SessionStartHourTime", cfg.train_begin)
     feats = fill_numeric(feats, ROLLING_COLUMNS + LAG_COLUMNS, 0)
     return feats.select(*HOURLY_FEATURE_COLUMNS)

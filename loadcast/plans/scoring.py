@@ -18,7 +18,7 @@ from ..functions.calendar import add_calendar
 from ..functions.labels import fill_numeric
 from ..functions.timegrid import DAY, HOUR, floor_ts, horizon, ntz, shift
 from ..operators.encode import prepare_for_index
-from ..operators.lags import lag_features, rolling_on_hours
+from ..operators.lags import lags_within, rolling_within
 from ..operators.rollup import daily_mean, row_key, with_day
 from ..session import scratch_path
 from ..sources.sessions import filter_servers
@@ -88,7 +88,8 @@ def score_features(hs: DataFrame, cfg: RunConfig, servers: DataFrame | None = No
         rows = rows.repartition("ServerIP").withColumn("_hour", F.when(first, F.concat(own, ahead)).otherwise(own))
         rows = rows.withColumn("SessionStartHourTime", F.explode("_hour")).drop("_hour")
         rows = rows.withColumns({c: F.when(hour < begin, F.col(c)) for c in PEAK_COLUMNS})
-    out = rolling_on_hours(lag_features(with_day(rows), "calendar"), "calendar").where(hour >= begin)
+    by = ["ServerIP"]  # the window is a month long
+    out = rolling_within(lags_within(with_day(rows), "calendar", by), "calendar", by).where(hour >= begin)
     out = add_calendar(out, "SessionStartHourTime", cfg.train_begin)
     out = out.withColumn("key", row_key("ServerIP", "SessionStartHourTime"))
     out = fill_numeric(out, LAG_COLUMNS + ROLLING_COLUMNS + ["linearTrend"], 0)

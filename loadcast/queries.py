@@ -63,10 +63,8 @@ def hourly(spark, d) -> DataFrame:
     return hourly_peak(five_min_rollup(sessions(spark, d)))
 
 
-def hourly_by_server(spark, d) -> DataFrame:
-    """Hourly peaks hash-partitioned by server (with their day): windows and per-day
-    groupings over them need no further shuffle."""
-    return FT.hourly_by_server(sessions(spark, d))
+def hourly_with_day(spark, d) -> DataFrame:
+    return with_day(hourly(spark, d))
 
 
 def staged_hourly(spark, d) -> DataFrame:
@@ -185,7 +183,7 @@ _DAILY_COLS = ["ServerIP", "SessionStartDay"] + DAILY_COLUMNS
 @register("daily_mean_peak", O.with_(O.base_ctes() + [("daily", O.daily_sql())],
                                      O.final(doubles(_DAILY_COLS), "daily")))
 def q_daily_mean_peak(spark, d):
-    return rounded(daily_mean(hourly_by_server(spark, d)))
+    return rounded(daily_mean(hourly_with_day(spark, d)))
 
 
 @register("row_key", O.with_(O.base_ctes()[:3], """
@@ -269,7 +267,7 @@ _ROLL_COLS = _DAILY_COLS + ROLLING_COLUMNS
                                         O.final(doubles(_ROLL_COLS), "rolling")))
 def q_rolling_daily_mean(spark, d):
     """Rolling mean over the observed days -9 .. -3 of each server (the training ETL's rows)."""
-    return rounded(rolling_daily_mean(daily_mean(hourly_by_server(spark, d)), "observed"))
+    return rounded(rolling_daily_mean(daily_mean(hourly_with_day(spark, d)), "observed"))
 
 
 @register("rolling_daily_calendar", O.with_(O.base_ctes() + [("daily", O.daily_sql()),
@@ -277,7 +275,7 @@ def q_rolling_daily_mean(spark, d):
                                             O.final(doubles(_ROLL_COLS), "rolling")))
 def q_rolling_daily_calendar(spark, d):
     """Rolling mean over the calendar days d-9 .. d-3 (what scoring sees on its day grid)."""
-    return rounded(rolling_daily_mean(daily_mean(hourly_by_server(spark, d)), "calendar"))
+    return rounded(rolling_daily_mean(daily_mean(hourly_with_day(spark, d)), "calendar"))
 
 
 _LAG_OUT = ["key", "ServerIP", "SessionStartHourTime", "peakLoad"] + LAG_COLUMNS
@@ -286,13 +284,13 @@ _LAG_OUT = ["key", "ServerIP", "SessionStartHourTime", "peakLoad"] + LAG_COLUMNS
 @register("lag_observed", O.with_(O.base_ctes() + [("lagged", O.lags_sql("hourly", "observed"))],
                                   O.final(doubles(_LAG_OUT), "lagged")))
 def q_lag_observed(spark, d):
-    return rounded(lag_features(hourly_by_server(spark, d), "observed").select(*_LAG_OUT))
+    return rounded(lag_features(hourly_with_day(spark, d), "observed").select(*_LAG_OUT))
 
 
 @register("lag_calendar", O.with_(O.base_ctes() + [("lagged", O.lags_sql("hourly", "calendar"))],
                                   O.final(doubles(_LAG_OUT), "lagged")))
 def q_lag_calendar(spark, d):
-    return rounded(lag_features(hourly_by_server(spark, d), "calendar").select(*_LAG_OUT))
+    return rounded(lag_features(hourly_with_day(spark, d), "calendar").select(*_LAG_OUT))
 
 
 _EARLIER = "2023-12-25 00:00:00"  # a grid that begins before the data has hours without any server
@@ -307,7 +305,7 @@ _EARLIER = "2023-12-25 00:00:00"  # a grid that begins before the data has hours
             + " FROM all_hours WHERE ServerIP IS NOT NULL AND SessionStartHourTime IS NOT NULL)")))
 def q_null_fill(spark, d):
     """Observed lags on a grid of hours, NULL lags -> 0; the grid's hours without a server go."""
-    lagged = lag_features(hourly_by_server(spark, d), "observed").select(*_LAG_OUT)
+    lagged = lag_features(hourly_with_day(spark, d), "observed").select(*_LAG_OUT)
     grid = time_grid(bounds_row(spark, _EARLIER, EVENTS.train_end), "b", "e", HOUR)
     rows = grid_outer_join(grid, lagged, ts="SessionStartHourTime")
     return rounded(fill_numeric(drop_null_keys(rows, ["ServerIP", "SessionStartHourTime"]), LAG_COLUMNS, 0)

@@ -16,10 +16,6 @@ from loadcast.session import scratch_path
 MODEL_QUERIES = {"rf_train", "rf_metrics", "model_roundtrip", "score_batch", "score_stream"}
 
 
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def formatted(df) -> str:
     mode = df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     return df._jdf.queryExecution().explainString(mode)
@@ -31,11 +27,11 @@ def exchanges(p: str) -> list[str]:
     return [l for l in tree.splitlines() if re.search(r"Exchange \(\d+\)", l)]
 
 
-def test_feature_plan_has_two_shuffles(spark):
-    # One on (server, 5-minute bucket) below the partial aggregate, one on server; the
-    # hourly arg-max, daily means, rolling means and lags add none.
+def test_feature_plan_has_three_shuffles(spark):
+    # One on (server, 5-minute bucket) below the partial aggregate, one on (server, hour) for the
+    # arg-max, one on (server, chunk); daily means, rolling means and lags add none.
     p = formatted(FT.hourly_features(sessions(spark, SF_SMALL), EVENTS))
-    assert len(exchanges(p)) == 2, p
+    assert len(exchanges(p)) == 3, p
 
 
 def test_rollup_aggregates_before_the_shuffle(spark):
@@ -64,21 +60,20 @@ def test_stats_read_prunes_partitions(spark):
     assert "PushedFilters: [" in p and "SessionStartHourTime" in p.split("PushedFilters: [")[1].split("]")[0]
 
 
-def test_no_python_udfs_in_relational_queries(spark):
-    for name, fn in queries().items():
-        if name in MODEL_QUERIES:
-            continue
-        p = plan(fn(spark, SF_SMALL))
-        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+@pytest.fixture(scope="module")
+def relational_plans(spark):
+    return {name: formatted(fn(spark, SF_SMALL)) for name, fn in queries().items() if name not in MODEL_QUERIES}
+
 
+def test_no_python_udfs_in_relational_queries(relational_plans):
+    for name, p in relational_plans.items():
+        assert not re.search(r"BatchEvalPython|ArrowEvalPython|InPandas|InArrow", p), name
 
-def test_each_query_scans_its_raw_table_once(spark):
+
+def test_each_query_scans_its_raw_table_once(relational_plans):
     """No query's plan reads a raw table twice (queries that use an intermediate twice read it
     from a staged table)."""
-    for name, fn in queries().items():
-        if name in MODEL_QUERIES:
-            continue
-        p = formatted(fn(spark, SF_SMALL))
+    for name, p in relational_plans.items():
         raw = [l for l in re.findall(r"Location: InMemoryFileIndex \[file:([^\]]+)\]", p)
                if l.startswith("/root/testdata")]
         assert len(raw) <= 1, (name, raw)
@@ -110,11 +105,32 @@ def test_hot_server_is_spread_by_the_rollup_shuffle(spark):
 
 
 def test_feature_plan_sorts(spark):
-    """Calendar mode: one sort for the hourly arg-max, which the lag window reuses (it is
-    ordered by the hour itself), and one shared by the per-day and rolling windows."""
+    """Calendar mode: one sort for the hourly arg-max, one for the lag window, and one shared by
+    the per-day and rolling windows."""
     p = formatted(FT.hourly_features(sessions(spark, SF_SMALL), EVENTS))
     tree = p.split("\n\n")[0]
-    assert len(re.findall(r"Sort \(\d+\)", tree)) == 2, tree
+    assert len(re.findall(r"Sort \(\d+\)", tree)) == 3, tree
+
+
+@pytest.mark.parametrize("mode", ["calendar", "observed"])
+def test_one_server_keeps_many_tasks_busy(spark, mode):
+    """Five years of one server: the windows' rows lie in several tasks, none with a third."""
+    from pyspark.sql import functions as F
+    from loadcast.config import PEAK_COLUMNS
+    from loadcast.operators.lags import hour_features
+    hours = spark.range(0, 5 * 8766, 2).select(
+        F.lit("s").alias("ServerIP"), F.expr("timestampadd(HOUR, id, TIMESTAMP_NTZ'2010-01-01 00:00:00')").alias("SessionStartHourTime"),
+        *[F.col("id").cast("double").alias(c) for c in PEAK_COLUMNS])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = hour_features(FT.with_day(hours), mode)
+        tasks = [r.n for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(tasks) == hours.count() and len(tasks) >= 5 and max(tasks) < sum(tasks) / 3, tasks
 
 
 @pytest.mark.parametrize("name", ["rf_train", "model_roundtrip", "score_coverage", "score_batch", "score_stream",

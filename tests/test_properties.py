@@ -1,17 +1,18 @@
 """Properties over the test tables."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_BIG, SF_MID
 from helpers import canon
 from loadcast.config import EVENTS, LAG_COLUMNS, ROLLING_COLUMNS
 from loadcast.functions.timegrid import FIVE_MINUTES, HOUR, floor_ts
-from loadcast.operators.lags import join_daily_lags, lag_features, rolling_daily_mean, rolling_on_hours
+from loadcast.operators.lags import join_daily_lags, hour_features, lag_features, rolling_daily_mean
 from loadcast.operators.rollup import daily_mean, five_min_rollup, hourly_peak, with_day
 from loadcast.plans import features as FT
 from loadcast.plans import scoring as SC
-from loadcast.queries import hourly, sessions
+from loadcast.queries import hourly, rounded, sessions
 from loadcast.session import scratch_path
 
 
@@ -64,7 +65,7 @@ def test_observed_and_calendar_agree_without_gaps(spark):
 def test_window_rolling_equals_join_rolling(spark, mode):
     h = with_day(hourly(spark, SF_MID))
     via_join = join_daily_lags(h, rolling_daily_mean(daily_mean(h), mode)).select("key", *ROLLING_COLUMNS)
-    via_window = rolling_on_hours(h, mode).select("key", *ROLLING_COLUMNS)
+    via_window = hour_features(h, mode).select("key", *ROLLING_COLUMNS)
     rows_a = [tuple(r) for r in via_join.collect()]
     rows_b = [tuple(r) for r in via_window.collect()]
     cols = via_join.columns
@@ -87,3 +88,26 @@ def test_train_and_score_features_agree(spark):
         if c in LAG_COLUMNS + ROLLING_COLUMNS + ["linearTrend"]:
             diff = both.where(F.abs(F.col(c) - F.col("t_" + c)) > 1e-9)
         assert diff.count() == 0, c
+
+
+@pytest.mark.parametrize("mode", ["calendar", "observed"])
+def test_chunked_windows_equal_windows_over_the_whole_history(spark, mode):
+    """Gappy history of two servers over some 400 days, in chunks of one halo and of four."""
+    import random
+    from datetime import datetime, timedelta
+    from loadcast.config import PEAK_COLUMNS
+    from loadcast.operators.lags import lags_within, rolling_within
+    r = random.Random(3)
+    hours = [(s, datetime(2014, 12, 1) + timedelta(hours=h)) for s, share in (("a", .9), ("b", .08)) for h in range(400 * 24)
+             if r.random() < share and not 3000 < h < 4500]
+    df = spark.createDataFrame([(s, t, *[float(r.randrange(1000)) for _ in PEAK_COLUMNS]) for s, t in hours],
+                               "ServerIP string, SessionStartHourTime timestamp_ntz, " + ", ".join(f"{c} double" for c in PEAK_COLUMNS))
+    df = with_day(df)
+    whole = df.withColumn("_day", F.dense_rank().over(Window.partitionBy("ServerIP").orderBy("SessionStartDay")))
+    by = ["ServerIP"]
+    want = rolling_within(lags_within(whole, mode, by), mode, by).drop("_day")
+    expected = sorted(map(str, rounded(want).collect()))
+    assert sum("Lag730=None" not in x for x in expected) > 3000 or mode == "calendar"
+    for halos in (1, 4):
+        got = hour_features(df, mode, chunk_halos=halos).select(*want.columns)
+        assert sorted(map(str, rounded(got).collect())) == expected
