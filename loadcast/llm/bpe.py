@@ -40,6 +40,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import map_keyed
+
 SHORT = 64  # symbols: longer pieces go through the transducer in blocks
 BLOCK = 256
 CACHE = 200_000  # words of each of two generations
@@ -325,7 +327,7 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
                                 "ids_sha256": [r[1] for r in rows], "decoded_sha256": [r[2] for r in rows]})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return map_keyed(rows, "doc_id", run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def encode_with_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -345,8 +347,8 @@ def encode_with_digests(docs: DataFrame, path: str) -> DataFrame:
                                        for r in rows]})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, n_tokens bigint, ids array<int>, ids_sha256 string, "
-                                 "decoded_sha256 string")
+    return map_keyed(rows, "doc_id", run, "doc_id bigint, n_tokens bigint, ids array<int>, ids_sha256 string, "
+                                          "decoded_sha256 string")
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -358,7 +360,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": ids})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, ids array<int>")
+    return map_keyed(rows, "doc_id", run, "doc_id bigint, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -373,5 +375,5 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
                              if ids is not None else "")
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": texts})
 
-    return tokens.select(F.col("doc_id").cast("bigint").alias("doc_id"), "ids").mapInPandas(
-        run, "doc_id bigint, text string")
+    rows = tokens.select(F.col("doc_id").cast("bigint").alias("doc_id"), "ids")
+    return map_keyed(rows, "doc_id", run, "doc_id bigint, text string")

@@ -37,6 +37,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import map_keyed
+
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 PROBES = ("\u0001", "\u0002")
@@ -156,26 +158,22 @@ def _spans(template: Template, trained: str) -> callable:
         current, renderer = object(), None
         for pdf in batches:
             out = []
-            for conv, role, text in zip(pdf["conv_id"].astype("Int64").tolist(), pdf["role"], pdf["text"]):
-                if renderer is None or not _same(conv, current):
+            for conv, role, text in zip(pdf["conv_id"], pdf["role"], pdf["text"]):
+                if renderer is None or conv != current:
                     current, renderer = conv, IncrementalRenderer(template)
                 s = renderer.add(role, text)
                 out.append((conv, renderer.count - 1, role, s.piece, s.text_start, s.text_end, role == trained,
                             s.rewritten_at))
             yield pd.DataFrame(out, columns=["conv_id", "turn_no", "role", "piece", "text_start", "text_end", "loss",
-                                             "rewritten_at"]).astype({"conv_id": "Int64"})
+                                             "rewritten_at"])
     return run
 
 
-def _same(a, b) -> bool:
-    return (a is pd.NA and b is pd.NA) or (a is not pd.NA and b is not pd.NA and a == b)
-
-
 def turn_spans(conversations: DataFrame, template: Template | None = None, trained: str = "assistant") -> DataFrame:
     """One row per turn, in order: its piece of the output, the text's place in the piece,
     whether the loss covers it, and where the template rewrote history (-1: nowhere). The
     pieces of a conversation, joined, are its formatted text unless history was rewritten."""
-    return _ordered(conversations).mapInPandas(_spans(template or MarkedTemplate(), trained), SPAN_SCHEMA)
+    return map_keyed(_ordered(conversations), "conv_id", _spans(template or MarkedTemplate(), trained), SPAN_SCHEMA)
 
 
 DIGEST_SCHEMA = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
@@ -194,9 +192,9 @@ def _digests(template: MarkedTemplate) -> callable:
         for pdf in batches:
             out = []
             for conv, piece, start, end, loss, rewritten in zip(
-                    pdf["conv_id"].astype("Int64").tolist(), pdf["piece"], pdf["text_start"].tolist(),
+                    pdf["conv_id"], pdf["piece"], pdf["text_start"].tolist(),
                     pdf["text_end"].tolist(), pdf["loss"].tolist(), pdf["rewritten_at"].tolist()):
-                if state is None or not _same(conv, current):
+                if state is None or conv != current:
                     if state is not None:
                         out.append(row())
                     current, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
@@ -209,13 +207,13 @@ def _digests(template: MarkedTemplate) -> callable:
                     state[3].update(text.encode("utf-8", "surrogatepass"))
                 state[4] += len(piece)
                 state[5] += rewritten >= 0
-            yield pd.DataFrame(out, columns=columns).astype({"conv_id": "Int64"})
+            yield pd.DataFrame(out, columns=columns)
         if state is not None:
-            yield pd.DataFrame([row()], columns=columns).astype({"conv_id": "Int64"})
+            yield pd.DataFrame([row()], columns=columns)
     return run
 
 
 def conversation_digests(conversations: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, rewrites."""
     template = MarkedTemplate()
-    return turn_spans(conversations, template).mapInPandas(_digests(template), DIGEST_SCHEMA)
+    return map_keyed(turn_spans(conversations, template), "conv_id", _digests(template), DIGEST_SCHEMA)

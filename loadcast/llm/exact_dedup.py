@@ -20,13 +20,13 @@ an empty table gives an empty result; extra columns pass through ``drop_copies``
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import attach_by_group, bucket_count, stage
+from .frames import ROWS_PER_BUCKET, attach_by_group, bucket_count, pick_rows, stage
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -128,23 +128,33 @@ class CuckooIndex:
         return ((k, v) for k, v in zip(self.keys, self.values) if k is not None)
 
 
-def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _merge(most: int | None = None) -> Callable:
     """One row per digest of the partition: its largest doc_id, its rows, and the rows that
-    hold the largest doc_id."""
-    index = CuckooIndex()
-    for pdf in batches:
-        for digest, doc_id, n, n_top in zip(pdf["digest"], pdf["keep_id"].tolist(),
-                                            pdf["group_size"].tolist(), pdf["n_keep"].tolist()):
-            slot = index.find(digest)
-            if slot < 0:
-                index.insert(digest, [doc_id, n, n_top])
-                continue
-            held = index.values[slot]
-            held[1] += n
-            if doc_id > held[0]:
-                held[0], held[2] = doc_id, n_top
-            elif doc_id == held[0]:
-                held[2] += n_top
+    hold the largest doc_id. With ``most``, an index of that many digests is passed on and a new
+    one begun, so that a digest can come out again: for the pass that only combines."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = CuckooIndex()
+        for pdf in batches:
+            for digest, doc_id, n, n_top in zip(pdf["digest"], pdf["keep_id"].tolist(),
+                                                pdf["group_size"].tolist(), pdf["n_keep"].tolist()):
+                slot = index.find(digest)
+                if slot < 0:
+                    if most is not None and len(index) >= most:
+                        yield from _entries(index)
+                        index = CuckooIndex()
+                    index.insert(digest, [doc_id, n, n_top])
+                    continue
+                held = index.values[slot]
+                held[1] += n
+                if doc_id > held[0]:
+                    held[0], held[2] = doc_id, n_top
+                elif doc_id == held[0]:
+                    held[2] += n_top
+        yield from _entries(index)
+    return run
+
+
+def _entries(index: CuckooIndex) -> Iterator[pd.DataFrame]:
     entries = list(index.items())
     for at in range(0, len(entries), 10_000):
         part = entries[at:at + 10_000]
@@ -171,9 +181,9 @@ def exact_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = stage(digest_rows(docs), "exact-digests")
     one = rows.select("digest", F.coalesce("doc_id", F.lit(NO_ID)).alias("keep_id"),
                       F.lit(1).cast("bigint").alias("group_size"), F.lit(1).cast("bigint").alias("n_keep"))
-    partial = one.mapInPandas(_merge, GROUP_SCHEMA)
+    partial = one.mapInPandas(_merge(ROWS_PER_BUCKET), GROUP_SCHEMA)
     buckets = bucket_count(spark, rows.count())
-    groups = partial.repartition(buckets, "digest").mapInPandas(_merge, GROUP_SCHEMA)
+    groups = partial.repartition(buckets, "digest").mapInPandas(_merge(), GROUP_SCHEMA)
     groups = groups.withColumn("keep_id", F.nullif("keep_id", F.lit(NO_ID)))
     return rows, stage(groups, "exact-groups")
 
@@ -188,54 +198,40 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one for each distinct text, with all their columns.
-
-    The rows that stay are picked by (doc_id, digest); where the same doc_id and text occurs
-    on several rows, those few rows are reduced to one by a second, separate branch, so the
-    texts of all others are moved once.
-    """
-    rows, groups = exact_groups(docs)
-    picks = groups.select(F.col("keep_id").alias("__id"), F.col("digest").alias("__digest"), "n_keep")
-    tagged = docs.withColumn("__digest", F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
-
-    def staying(which: DataFrame) -> DataFrame:
-        same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("l.__digest") == F.col("r.__digest"))
-        return tagged.alias("l").join(which.alias("r"), same, "left_semi")
-
-    once = staying(picks.where("n_keep = 1"))
-    repeated = picks.where("n_keep > 1")
-    if repeated.isEmpty():
-        return once.drop("__digest")
-    twice = staying(repeated)
-    return once.unionByName(twice.dropDuplicates(["doc_id", "__digest"])).drop("__digest")
+    """The rows of ``docs`` that stay, one for each distinct text, with all their columns."""
+    _, groups = exact_groups(docs)
+    return pick_rows(docs, groups.select(F.col("keep_id").alias("id"), "digest", "n_keep"))
 
 
 # ---- a stored index under insertions and deletions -----------------------------------------
 
 INDEX_SCHEMA = "digest binary, doc_id bigint"
-CHANGE_RESULT = "kind string, digest binary, doc_id bigint, holder bigint"
+CHANGE_RESULT = "kind string, digest binary, doc_id string, holder string"
 
 
 def _replay(key, stored: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
+    """Ids and numbers come and go as text (see ``map_keyed``); null is first in order."""
     index = CuckooIndex(len(stored) + len(changes))
     for digest, doc_id in zip(stored["digest"], stored["doc_id"]):
         index.insert(digest, doc_id)
+    number = lambda v: (v is not None, int(v or 0))
+    rows = zip(changes["seq"], changes["doc_id"], changes["op"], changes["digest"])
     out = []
-    for _, row in changes.sort_values(["seq", "doc_id"], kind="stable").iterrows():
-        slot = index.find(row["digest"])
+    for _, doc_id, op, digest in sorted(rows, key=lambda r: (number(r[0]), number(r[1]))):
+        slot = index.find(digest)
         holder = index.values[slot] if slot >= 0 else None
-        if row["op"] == "delete":
-            if holder is not None and holder == row["doc_id"]:
-                index.delete(row["digest"])
-            out.append(("deleted" if holder == row["doc_id"] else "absent", row["digest"], row["doc_id"], holder))
+        if op == "delete":
+            found = slot >= 0 and holder == doc_id
+            if found:
+                index.delete(digest)
+            out.append(("deleted" if found else "absent", digest, doc_id, holder))
         elif slot < 0:
-            index.insert(row["digest"], row["doc_id"])
-            out.append(("added", row["digest"], row["doc_id"], row["doc_id"]))
+            index.insert(digest, doc_id)
+            out.append(("added", digest, doc_id, doc_id))
         else:
-            out.append(("duplicate", row["digest"], row["doc_id"], holder))
+            out.append(("duplicate", digest, doc_id, holder))
     out += [("live", k, v, v) for k, v in index.items()]
-    return pd.DataFrame(out, columns=["kind", "digest", "doc_id", "holder"]).astype(
-        {"doc_id": "Int64", "holder": "Int64"})
+    return pd.DataFrame(out, columns=["kind", "digest", "doc_id", "holder"])
 
 
 def apply_changes(index: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -244,19 +240,21 @@ def apply_changes(index: DataFrame, changes: DataFrame) -> tuple[DataFrame, Data
     ``index`` has (digest, doc_id), one row per live text. ``changes`` has (seq, op, doc_id,
     text), op ``insert`` or ``delete``, replayed by seq. Returns the new index and one row
     per change: kind (added, duplicate, deleted, absent), doc_id, holder. A text becomes
-    insertable again once its holder is deleted. Changes are bucketed by digest prefix;
+    insertable again once its holder is deleted; a null doc_id holds and deletes like any other,
+    changes of equal seq go by doc_id, null first. Changes are bucketed by digest prefix;
     a batch's changes of one text are expected to fit a task.
     """
     spark = index.sparkSession
-    n = bucket_count(spark, max(index.count(), 1))
+    n = bucket_count(spark, index.count() + changes.count())
 
     def bucketed(df: DataFrame) -> DataFrame:
         return df.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(n)))
 
-    rows = changes.select("seq", "op", F.col("doc_id").cast("bigint").alias("doc_id"),
+    text_id = F.col("doc_id").cast("bigint").cast("string").alias("doc_id")
+    rows = changes.select(F.col("seq").cast("bigint").cast("string").alias("seq"), "op", text_id,
                           F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)).alias("digest"))
-    done = bucketed(index.select("digest", "doc_id")).groupBy("bucket").cogroup(
+    done = bucketed(index.select("digest", text_id)).groupBy("bucket").cogroup(
         bucketed(rows).groupBy("bucket")).applyInPandas(_replay, CHANGE_RESULT)
-    done = stage(done, "dedup-index")
+    done = stage(done.withColumns({c: F.col(c).cast("bigint") for c in ("doc_id", "holder")}), "dedup-index")
     return (done.where("kind = 'live'").select("digest", "doc_id"),
             done.where("kind <> 'live'").select("kind", "doc_id", "holder"))

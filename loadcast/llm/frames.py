@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,42 @@ def bucket_count(spark: SparkSession, rows: int, per_bucket: int = ROWS_PER_BUCK
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_bucket))
 
 
+def map_keyed(rows: DataFrame, key: str, run: Callable, schema: str) -> DataFrame:
+    """``rows.mapInPandas(run, schema)`` with the bigint column ``key`` carried as text: pandas holds
+    a batch's integers as doubles when one of them is null, and those lose digits above 2 ** 53.
+    ``run`` passes ``key`` on as it gets it."""
+    fields = schema.split(", ")
+    fields[fields.index(f"{key} bigint")] = f"{key} string"
+    out = rows.withColumn(key, F.col(key).cast("string")).mapInPandas(run, ", ".join(fields))
+    return out.withColumn(key, F.col(key).cast("bigint"))
+
+
+def free_name(base: str, taken: list[str]) -> str:
+    """``base``, or a longer name that no column in ``taken`` has."""
+    while base.lower() in {c.lower() for c in taken}:
+        base += "_"
+    return base
+
+
+def pick_rows(docs: DataFrame, picks: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``picks`` (id, digest of the whole text, n_keep) names, one row for
+    each. Names with one row, nearly all, are a semi-join; rows of the same id and text are reduced
+    to one in a second, separate branch, so that the other texts are moved once."""
+    mine, theirs = free_name("text_digest", docs.columns), free_name("pick_digest", docs.columns)
+    pick_id = free_name("pick_id", docs.columns)
+    picks = picks.select(F.col("id").alias(pick_id), F.col("digest").alias(theirs), "n_keep")
+    tagged = docs.withColumn(mine, F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
+
+    def staying(which: DataFrame) -> DataFrame:
+        which = which.select(pick_id, theirs)
+        return tagged.join(which, F.col("doc_id").eqNullSafe(F.col(pick_id)) & (F.col(mine) == F.col(theirs)), "left_semi")
+
+    once, repeated = staying(picks.where("n_keep = 1")), picks.where("n_keep > 1")
+    if repeated.isEmpty():
+        return once.drop(mine)
+    return once.unionByName(staying(repeated).dropDuplicates(["doc_id", mine])).drop(mine)
+
+
 def attach_by_group(rows: DataFrame, key: str, salt: str, decisions: DataFrame) -> DataFrame:
     """``rows`` with the columns of ``decisions`` (one row per ``key``), without gathering a
     hot key: each (key, salt) that occurs gets its own copy of the decision, so a key's

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stage
+from .frames import map_keyed, stage
 from .host_reputation import domain_of, host_of, suffix_of
 from .textvec import text_slices
 
@@ -48,14 +48,34 @@ SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "
                    "us": "en", "au": "en", "com.au": "en", "ie": "en", "it": "it", "pt": "pt", "br": "pt",
                    "com.br": "pt", "nl": "nl", "pl": "pl", "se": "sv", "jp": "ja"}
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|head|nav|noscript|template)\b.*?</\1\s*>", re.S | re.I)
+HIDDEN = ("script", "style", "head", "nav", "noscript", "template")
+_OPENING = re.compile(rf"<!--|<({'|'.join(HIDDEN)})\b", re.I)
+_CLOSING = {None: re.compile("-->")} | {name: re.compile(rf"</{name}\s*>", re.I) for name in HIDDEN}
 _TAG = re.compile(r"<[^>]*>")
-_DECLARED = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]+)"
+_DECLARED = r"(?is)<html\b[^<>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]+)"
 
 
 def visible_text(source: str) -> str:
-    """Text of a page without markup, scripts, styles, head and navigation."""
-    return html_entities.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", source)))
+    """Text of a page without markup, scripts, styles, head and navigation. An element that is
+    never closed is not hidden, only its tag is."""
+    shown = _without_hidden(source)
+    last = shown.rfind(">") + 1  # no tag ends behind it
+    return html_entities.unescape(_TAG.sub(" ", shown[:last]) + shown[last:])
+
+
+def _without_hidden(source: str) -> str:
+    """One pass: a closing tag that was looked for in vain is not looked for again."""
+    out, at, place, missing = [], 0, 0, set()
+    while opening := _OPENING.search(source, place):
+        name = opening[1] and opening[1].lower()
+        closing = None if name in missing else _CLOSING[name].search(source, opening.end())
+        if closing is None:
+            missing.add(name)
+            place = opening.end()
+        else:
+            out += [source[at:opening.start()], " "]
+            at = place = closing.end()
+    return "".join(out) + source[at:]
 
 
 def trigram_cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -143,9 +163,9 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
             yield out
 
     fields = "page_id bigint, host string, declared string, salt int, suffix string, domain string"
-    rows = stage(base.select(F.col("page_id").cast("bigint").alias("page_id"), "host", "declared", "salt", "suffix",
+    rows = base.select(F.col("page_id").cast("bigint").alias("page_id"), "host", "declared", "salt", "suffix",
                              "domain", "html")
-                 .mapInPandas(likelihoods, fields + ", loglik array<double>, soft array<double>"), "lang-pages")
+    rows = stage(map_keyed(rows, "page_id", likelihoods, fields + ", loglik array<double>, soft array<double>"), "lang-pages")
     # a declaration outside the known languages is one of two values: none, other
     known = F.when(F.col("declared") == "", "").when(F.col("declared").isin(langs), F.col("declared")).otherwise("?")
     rows = rows.withColumn("declared_class", known)
@@ -207,6 +227,6 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
                                 "declared": pdf["declared"], "text_lang": [langs[i] for i in z.argmax(axis=1)],
                                 "lang": [langs[i] for i in best], "confidence": p.max(axis=1)})
 
-    return joined.select("page_id", "host", "suffix", "declared", "declared_class", "loglik", "soft", "counts",
-                         "parent").mapInPandas(fuse, "page_id bigint, host string, suffix string, declared string, "
-                                                     "text_lang string, lang string, confidence double")
+    joined = joined.select("page_id", "host", "suffix", "declared", "declared_class", "loglik", "soft", "counts", "parent")
+    return map_keyed(joined, "page_id", fuse, "page_id bigint, host string, suffix string, declared string, "
+                                              "text_lang string, lang string, confidence double")

@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import map_keyed
 from .textvec import Words, text_slices
 
 COVERAGE = 0.8
@@ -293,4 +294,4 @@ def scan_licenses(docs: DataFrame, coverage: float = COVERAGE) -> DataFrame:
                                 "licenses": [[x[0] for x in f] for f in found]})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, SCHEMA)
+    return map_keyed(rows, "doc_id", run, SCHEMA)

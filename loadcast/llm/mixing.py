@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import stage
+from .frames import free_name, stage
 
 SEED = 17
 MAX_EPOCHS = 2
@@ -142,14 +142,15 @@ def mix(docs: DataFrame, weights: dict = WEIGHTS, max_epochs: int = MAX_EPOCHS,
     # every key below the first one left out is in; a leaf that is never cut keeps them all
     decided = stage(plan.select(*LEVELS, "epochs").join(last, LEVELS, "left"), "mix-cuts")
 
-    d = decided.select(*[F.col(c).alias(f"__{c}") for c in LEVELS], F.col("epochs").alias("__epochs"),
-                       F.col("first_out").alias("__first_out"))
-    on = [F.coalesce(name[c].cast("string"), F.lit("")) == F.col(f"__{c}") for c in LEVELS]
-    key = order_key(seed, F.col("__epochs"), F.col("doc_id"))
-    extra = F.when(F.col("__first_out").isNull() | (key < F.col("__first_out")), 1).otherwise(0)
-    joined = docs.drop("epoch").join(d, on).withColumn("__copies", (F.col("__epochs") + extra).cast("int"))
-    return (joined.where("__copies > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
-            .drop("__copies", "__epochs", "__first_out", *[f"__{c}" for c in LEVELS]))
+    # names that no column of docs has
+    own = {c: free_name(f"mix_{c}", docs.columns) for c in (*LEVELS, "epochs", "first_out", "copies")}
+    d = decided.select(*[F.col(c).alias(own[c]) for c in (*LEVELS, "epochs", "first_out")])
+    on = [F.coalesce(name[c].cast("string"), F.lit("")) == F.col(own[c]) for c in LEVELS]
+    epochs, first_out, copies = (F.col(own[c]) for c in ("epochs", "first_out", "copies"))
+    extra = F.when(first_out.isNull() | (order_key(seed, epochs, F.col("doc_id")) < first_out), 1).otherwise(0)
+    joined = docs.drop("epoch").join(d, on).withColumn(own["copies"], (epochs + extra).cast("int"))
+    return (joined.where(copies > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), copies - 1)))
+            .drop(*own.values()))
 
 
 def oracle(weights: dict = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> str:

@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import map_keyed
 from .textvec import Words, text_slices
 
 TRAIN_ROWS = 20_000
@@ -331,7 +332,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> T
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """(doc_id, score, n_restored) of every document: n_restored counts restored spans."""
+    """(doc_id, score) of every document."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -346,7 +347,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": scores})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, score double")
+    return map_keyed(rows, "doc_id", run, "doc_id bigint, score double")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .exact_dedup import NO_ID
-from .frames import attach_by_group, bucket_count, stage
+from .frames import attach_by_group, bucket_count, pick_rows, stage
 from .textvec import MIX2, Words, distinct_counts, mix64, shingles, text_slices
 
 WIDTH = 5
@@ -487,16 +487,5 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that stay, one for each class, with all their columns."""
     kept = near_classes(docs, threshold).where("kept")
-    picks = stage(kept.groupBy(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__digest"))
-                  .agg(F.count("*").alias("n_keep")), "near-kept")
-    tagged = docs.withColumn("__digest", F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("l.__digest") == F.col("r.__digest"))
-
-    def staying(which: DataFrame) -> DataFrame:
-        return tagged.alias("l").join(which.alias("r"), same, "left_semi")
-
-    once = staying(picks.where("n_keep = 1"))
-    repeated = picks.where("n_keep > 1")
-    if repeated.isEmpty():
-        return once.drop("__digest")
-    return once.unionByName(staying(repeated).dropDuplicates(["doc_id", "__digest"])).drop("__digest")
+    return pick_rows(docs, stage(kept.groupBy(F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("digest"))
+                                 .agg(F.count("*").alias("n_keep")), "near-kept"))
