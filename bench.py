@@ -56,8 +56,9 @@ def main() -> None:
             spark, Q.sessions(spark, d), cfg, scratch_path(spark, "bench-feature-table")))
 
         def train_and_eval():
-            model, rf = TR.train(table, fm, cfg)
-            TR.evaluate(TR.predictions(table, rf, fm, cfg)).collect()
+            cuts = TR.with_cuts(table, Q.EVENTS_CUTS)  # three classes of like size
+            model, rf = TR.train(table, fm, cuts)
+            TR.evaluate(TR.predictions(table, rf, fm, cuts)).collect()
             return model
         model = timed("rf_train", train_and_eval)
 

@@ -15,7 +15,8 @@ grows; files may split hours and come late.
 Session files are headerless CSV in the 17-column layout. ``--servers`` restricts any step
 to a list of servers (the debug mode). ``score`` takes its settings from the run info stored
 with the model (any of them can be overridden) and writes ``<out>-coverage`` beside the
-predictions: rows asked for, scored, and skipped for a level the model has not seen. Outputs
+predictions: rows asked for, scored, and skipped for a level the model has not seen. Label cuts are
+``--low`` and ``--high``, or with ``--label-quantiles 0.5,0.9`` percentiles of the train split. Outputs
 are parquet (predictions and metrics as JSON lines with ``--json``). The master and cluster settings come from
 spark-submit; scratch tables go below ``spark.checkpoint.dir``.
 """
@@ -36,8 +37,13 @@ from .sources.sessions import clean_sessions, filter_servers, read_sessions_csv
 CONFIGS = {"ONE_MONTH": C.ONE_MONTH, "FULL": C.FULL}
 
 
+def _fractions(text: str) -> tuple[float, float]:
+    low, high = map(float, text.split(","))
+    return low, high
+
+
 _OVERRIDES = {"train_begin": str, "train_end": str, "test_split_start": str, "score_begin": str,
-              "low": float, "high": float, "lag_mode": str, "fit_on": str, "handle_invalid": str}
+              "low": float, "high": float, "label_quantiles": _fractions, "lag_mode": str, "fit_on": str, "handle_invalid": str}
 
 
 def _cfg(args) -> C.RunConfig:

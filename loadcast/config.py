@@ -126,6 +126,9 @@ class RunConfig:
     lag_mode: str = "calendar"
     fit_on: str = "all"  # rows the indexer and scaler are fitted on: "all" or "train"
     handle_invalid: str = "skip"  # unseen levels at scoring time
+    # Cuts from the data: with fractions given, ``low`` and ``high`` are those percentiles of the train
+    # split's loads once ``plans.training.with_cuts`` has looked at it.
+    label_quantiles: tuple[float, float] | None = None
 
     @property
     def duration(self) -> str:
@@ -144,11 +147,12 @@ FULL = RunConfig("2009-01-01 00:00:00", "2016-06-30 23:59:59", "2016-06-01 00:00
                  score_begin="2016-07-01 00:00:00")
 
 # Test fixture: the `events` table (30 days of January 2024), split on the last two days.
-# One pair of thresholds for every folder; the hourly peaks grow with the scale, and each
-# scale has at least two load classes between them.
+# One pair of thresholds for every folder (the hourly peaks grow with the scale).
 EVENTS = RunConfig("2024-01-01 00:00:00", "2024-01-30 23:59:59", "2024-01-29 00:00:00",
                    low=50.0, high=230.0, score_begin="2024-01-29 00:00:00")
 
+# The same with cuts from the train split: three classes of like size in every folder.
+EVENTS_CUTS = EVENTS.with_(label_quantiles=(1 / 3, 2 / 3))
 
 # Long-history fixture: `lineitem` as a daily session log, 1995-2001, processed the way the
 # original training ETL did (lags and rolling means over observed rows).

@@ -162,8 +162,18 @@ def calendar_select(t: str, begin: str) -> str:
 
 
 def label_sql(x: str, cfg: RunConfig) -> str:
-    return (f"CASE WHEN {x} IS NULL OR {x} <= {cfg.low} THEN 1 "
-            f"WHEN {x} <= {cfg.high} THEN 2 ELSE 3 END")
+    low, high = ("(SELECT low FROM cuts)", "(SELECT high FROM cuts)") if cfg.label_quantiles else (cfg.low, cfg.high)
+    return f"CASE WHEN {x} IS NULL OR {x} <= {low} THEN 1 WHEN {x} <= {high} THEN 2 ELSE 3 END"
+
+
+def cuts_cte(cfg: RunConfig) -> tuple[str, str]:
+    """``cuts`` (low, high): nearest-rank percentiles of the train split's peak load."""
+    at = [f"max(CASE WHEN rank = greatest(1, ceil(round({q!r} * n, 9))) THEN peakLoad END) AS {name}"
+          for q, name in zip(cfg.label_quantiles, ("low", "high"))]
+    return "cuts", f"""
+SELECT {', '.join(at)} FROM (
+  SELECT peakLoad, row_number() OVER (ORDER BY peakLoad) AS rank, count(*) OVER () AS n
+  FROM hourly WHERE SessionStartHourTime < TIMESTAMP '{cfg.test_split_start}')"""
 
 
 # ---- the feature table ------------------------------------------------------------------

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import SCALED_COLUMNS, RunConfig
 from ..operators.encode import FEATURES, FeatureModel
 from ..operators.model import add_label, classification_metrics, fit_forest, split_column, train_test
+from ..operators.quantiles import order_statistics
 
 
 def table_assembler(fm: FeatureModel) -> VectorAssembler:
@@ -18,6 +19,17 @@ def table_assembler(fm: FeatureModel) -> VectorAssembler:
     return VectorAssembler(inputCols=cols, outputCol=FEATURES)
 
 
+def with_cuts(table: DataFrame, cfg: RunConfig) -> RunConfig:
+    """``cfg`` with the label cuts of its ``label_quantiles``, exact percentiles of the peak load over
+    the train split of a stored table; ``cfg`` itself if it has fixed cuts."""
+    if cfg.label_quantiles is None:
+        return cfg
+    low, high = order_statistics(train_test(table, cfg)[0], "peakLoad", list(cfg.label_quantiles))
+    if low is None:
+        raise ValueError("the train split has no rows to take label cuts from")
+    return cfg.with_(low=low, high=high)
+
+
 def labelled(table: DataFrame, cfg: RunConfig) -> DataFrame:
     """Adds the load class ``label`` and the ``split`` ("train" / "test")."""
     return add_label(table, cfg).withColumn("split", split_column(cfg))
@@ -44,6 +56,11 @@ def evaluate(pred: DataFrame) -> DataFrame:
 
 # ---- persistence: the fitted pipeline plus a one-row run-info dataset -------------------
 
+INFO_SCHEMA = ("trainBegin string, trainEnd string, testSplitStart string, low double, high double, lagMode string, "
+               "fitOn string, handleInvalid string, scoreBegin string, dataFile string, duration string, "
+               "labelQuantiles array<double>, columnOnlyIndexed array<string>, columnForEncode array<string>")
+
+
 def save_model(spark: SparkSession, model: PipelineModel, fm: FeatureModel, cfg: RunConfig, path: str,
                data_file: str | None = None) -> None:
     """``path/pipeline``: the fitted stages; ``path/info``: run config, data path, duration and
@@ -53,13 +70,13 @@ def save_model(spark: SparkSession, model: PipelineModel, fm: FeatureModel, cfg:
             "testSplitStart": cfg.test_split_start, "low": cfg.low, "high": cfg.high,
             "lagMode": cfg.lag_mode, "fitOn": cfg.fit_on, "handleInvalid": cfg.handle_invalid,
             "scoreBegin": cfg.score_begin or "", "dataFile": data_file or "", "duration": cfg.duration,
-            "columnOnlyIndexed": fm.only_indexed, "columnForEncode": fm.encoded}
-    spark.createDataFrame([info]).coalesce(1).write.mode("overwrite").json(f"{path}/info")
+            "labelQuantiles": list(cfg.label_quantiles or []), "columnOnlyIndexed": fm.only_indexed, "columnForEncode": fm.encoded}
+    spark.createDataFrame([info], INFO_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/info")
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     """Inverse of ``save_model``: (pipeline, run info dict)."""
-    info = spark.read.json(f"{path}/info").first().asDict()
+    info = spark.read.schema(INFO_SCHEMA).json(f"{path}/info").first().asDict()
     return PipelineModel.load(f"{path}/pipeline"), info
 
 
@@ -67,7 +84,8 @@ def config_from_info(info: dict) -> RunConfig:
     """The run config that was stored with a model or with encoders."""
     return RunConfig(info["trainBegin"], info["trainEnd"], info["testSplitStart"], low=info["low"], high=info["high"],
                      score_begin=info.get("scoreBegin") or None, lag_mode=info["lagMode"],
-                     fit_on=info.get("fitOn", "all"), handle_invalid=info.get("handleInvalid", "skip"))
+                     fit_on=info.get("fitOn", "all"), handle_invalid=info.get("handleInvalid", "skip"),
+                     label_quantiles=tuple(info.get("labelQuantiles") or []) or None)
 
 
 def save_features(spark: SparkSession, fm: FeatureModel, cfg: RunConfig, path: str,
@@ -91,6 +109,7 @@ def load_features(spark: SparkSession, path: str) -> tuple[FeatureModel, dict]:
 def train_from_table(spark: SparkSession, table: DataFrame, fm: FeatureModel, cfg: RunConfig,
                      model_path: str, data_file: str | None = None) -> DataFrame:
     """Forest on a stored feature table; model saved; metrics per split returned."""
+    cfg = with_cuts(table, cfg)
     model, rf = train(table, fm, cfg)
     save_model(spark, model, fm, cfg, model_path, data_file)
     return evaluate(predictions(table, rf, fm, cfg))

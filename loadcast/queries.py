@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from . import oracle as O
 from .config import (DAILY_COLUMNS, FIVE_MIN_SUMS, INDEX_COLUMNS, INDEXED_COLUMNS, LAG_COLUMNS, PEAK_COLUMNS,
-                     EVENTS, LINEITEM, ROLLING_COLUMNS, SCALED_COLUMNS, SUM_COLUMNS, RunConfig)
+                     EVENTS, EVENTS_CUTS, LINEITEM, ROLLING_COLUMNS, SCALED_COLUMNS, SUM_COLUMNS, RunConfig)
 from .functions.calendar import add_calendar, calendar_columns, is_federal_holiday
 from .functions.labels import drop_null_keys, fill_numeric, load_label
 from .functions.timegrid import DAY, FIVE_MINUTES, HOUR, floor_ts, horizon_columns, ntz
@@ -391,13 +391,25 @@ def q_train_test_split(spark, d):
     return hourly(spark, d).select("key", "SessionStartHourTime", split_column(EVENTS).alias("split"))
 
 
-@register("label_distribution", lambda cfg: O.with_(O.base_ctes(), f"""
-SELECT {_split_sql(cfg, 'SessionStartHourTime')} AS split, {O.label_sql('peakLoad', cfg)} AS label,
+def _cuts_ctes() -> list[tuple[str, str]]:
+    return O.base_ctes() + [O.cuts_cte(EVENTS_CUTS)]
+
+
+@register("label_cuts", O.with_(_cuts_ctes(), f"SELECT {O.rnd('low', 'low')}, {O.rnd('high', 'high')} FROM cuts"))
+def q_label_cuts(spark, d):
+    """Label cuts from the data: exact percentiles of the train split's peak load."""
+    cfg = TR.with_cuts(staged_hourly(spark, d), EVENTS_CUTS)
+    return rounded(spark.createDataFrame([(cfg.low, cfg.high)], "low double, high double"))
+
+
+@register("label_distribution", O.with_(_cuts_ctes(), f"""
+SELECT {_split_sql(EVENTS_CUTS, 'SessionStartHourTime')} AS split, {O.label_sql('peakLoad', EVENTS_CUTS)} AS label,
        count(*) AS n
-FROM hourly GROUP BY 1, 2"""))
+FROM hourly GROUP BY ALL"""))
 def q_label_distribution(spark, d):
-    cfg = EVENTS
-    return (add_label(hourly(spark, d), cfg).withColumn("split", split_column(cfg))
+    """Rows of each class and split, with cuts from the train split."""
+    h = staged_hourly(spark, d)
+    return (TR.labelled(h, TR.with_cuts(h, EVENTS_CUTS))
             .groupBy("split", "label").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -572,30 +584,45 @@ def q_feature_vector(spark, d):
 # ---- M8-M10, S9-S11: model ------------------------------------------------------------------
 
 def _trained(spark, d, hourly_=None):
-    cfg = EVENTS
     raw = None if hourly_ is not None else sessions(spark, d)
-    fm, table_ = FT.build_feature_table(spark, raw, cfg, scratch_path(spark, "feature-table"), hourly_)
+    fm, table_ = FT.build_feature_table(spark, raw, EVENTS_CUTS, scratch_path(spark, "feature-table"), hourly_)
+    cfg = TR.with_cuts(table_, EVENTS_CUTS)
     model, rf = TR.train(table_, fm, cfg)
     return cfg, fm, table_, model, rf
 
 
-def _train_labels(table_, cfg) -> list[float]:
-    """The load classes of the train split (three at most)."""
-    train = TR.labelled(table_, cfg).where("split = 'train'")
-    return [float(r["label"]) for r in train.select("label").distinct().collect()]
+# A forest must be right on its own train split more often, by this share, than the most
+# frequent class is, and predict each class that has so many rows there.
+FIT_MARGIN, CLASS_ROWS = 0.1, 20
+
 
+def fit_checks(pred: DataFrame) -> tuple[bool, bool]:
+    """(beats the majority class, predicts every class) on the train split of predictions."""
+    cells = (pred.where("split = 'train'").groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+             .collect())  # at most a row for each pair of classes
+    rows = {}
+    for c in cells:
+        rows[c.label] = rows.get(c.label, 0) + c.n
+    right = sum(c.n for c in cells if c.label == c.prediction)
+    total = sum(rows.values())
+    wanted = {label for label, n in rows.items() if n >= CLASS_ROWS}
+    return (right / total >= max(rows.values()) / total + FIT_MARGIN), wanted <= {c.prediction for c in cells}
 
-@register("rf_train", lambda cfg: O.with_(O.base_ctes(), f"""
-SELECT key, ServerIP, SessionStartHourTime, {_split_sql(cfg, 'SessionStartHourTime')} AS split,
-       {O.label_sql('peakLoad', cfg)} AS label, TRUE AS known_class
+
+@register("rf_train", O.with_(_cuts_ctes(), f"""
+SELECT key, ServerIP, SessionStartHourTime, {_split_sql(EVENTS_CUTS, 'SessionStartHourTime')} AS split,
+       {O.label_sql('peakLoad', EVENTS_CUTS)} AS label, TRUE AS beats_majority, TRUE AS predicts_every_class
 FROM hourly"""))
 def q_rf_train(spark, d):
-    """Fit the forest on the train split; for every row of both splits whether it predicts one
-    of the classes it was fitted on."""
+    """Fit the forest on the train split; every row of both splits with its class, and whether the
+    forest learned: right more often than the most frequent class, and predicting every class."""
     cfg, fm, table_, model, rf = _trained(spark, d)
-    pred = TR.predictions(table_, rf, fm, cfg)
+    path = scratch_path(spark, "predictions")
+    TR.predictions(table_, rf, fm, cfg).write.parquet(path)
+    pred = spark.read.parquet(path)
+    beats, every = fit_checks(pred)
     return pred.select("key", "ServerIP", "SessionStartHourTime", "split", "label",
-                       F.col("prediction").isin(_train_labels(table_, cfg)).alias("known_class"))
+                       F.lit(beats).alias("beats_majority"), F.lit(every).alias("predicts_every_class"))
 
 
 _METRIC_SQL = {
@@ -606,10 +633,11 @@ _METRIC_SQL = {
 }
 
 
-@register("rf_metrics", lambda cfg: O.with_(O.base_ctes(), f"""
+@register("rf_metrics", O.with_(_cuts_ctes(), f"""
 SELECT split, count(*) AS n_rows, count(DISTINCT label) AS n_classes, TRUE AS accuracy, TRUE AS "weightedPrecision",
        TRUE AS "weightedRecall", TRUE AS f1
-FROM (SELECT {_split_sql(cfg, 'SessionStartHourTime')} AS split, {O.label_sql('peakLoad', cfg)} AS label FROM hourly)
+FROM (SELECT {_split_sql(EVENTS_CUTS, 'SessionStartHourTime')} AS split,
+             {O.label_sql('peakLoad', EVENTS_CUTS)} AS label FROM hourly)
 GROUP BY split"""))
 def q_rf_metrics(spark, d):
     """The forest's metrics on each split: rows, classes, and whether each metric equals that
@@ -920,14 +948,29 @@ def q_score_coverage(spark, d):
     return SC.score_coverage(fm.indexer, scored)
 
 
-@register("score_batch", _scored_sql("known_class"))
+def _score_batch_sql(cfg: RunConfig) -> str:
+    ctes, seen = _scored_and_seen(cfg)
+    return O.with_(ctes, f"""
+SELECT s.ServerIP, s.SessionStartHourTime, CASE WHEN h.key IS NOT NULL THEN TRUE END AS agrees, TRUE AS several_classes
+FROM scored s LEFT JOIN hourly h ON h.key = s.key WHERE {seen}""")
+
+
+@register("score_batch", _score_batch_sql)
 def q_score_batch(spark, d):
-    """The 48 scored hours of every server, and whether each gets one of the fitted classes."""
+    """The 48 scored hours of every server. Where the hour has data, whether its prediction is that
+    of the forest on the feature table's row; whether several classes are predicted."""
     h = staged_hourly(spark, d)
     cfg, fm, table_, model, rf = _trained(spark, d, h)
     _, feats = _score_features(spark, d, h)
-    return SC.score_batch(model, feats).select(
-        "ServerIP", "SessionStartHourTime", F.col("prediction").isin(_train_labels(table_, cfg)).alias("known_class"))
+    path = scratch_path(spark, "scored")
+    SC.score_batch(model, feats).write.parquet(path)
+    scored = spark.read.parquet(path)
+    several = scored.agg(F.count_distinct("prediction")).first()[0] > 1
+    theirs = TR.predictions(table_, rf, fm, cfg).where("split = 'test'").select(
+        "ServerIP", "SessionStartHourTime", F.col("prediction").alias("theirs"))
+    return scored.join(theirs, ["ServerIP", "SessionStartHourTime"], "left").select(
+        "ServerIP", "SessionStartHourTime", (F.col("prediction") == F.col("theirs")).alias("agrees"),
+        F.lit(several).alias("several_classes"))
 
 
 @register("score_stream", _scored_sql("agree"))
