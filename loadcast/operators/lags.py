@@ -123,7 +123,9 @@ def rolling_within(hourly: DataFrame, mode: str, by: list[str], day: str = "Sess
     hourly = hourly.withColumn("_dayidx", F.col("_day") if mode == "observed" else bucket_index(day, DAY))
     days = Window.partitionBy(*by).orderBy("_dayidx")
     by_day = days.rangeBetween(0, 0)
-    first = F.col(ts) == F.min(ts).over(by_day)
+    # rows without a peak (hours that are only scored) are no part of a day
+    first = F.col(PEAK_COLUMNS[0]).isNotNull() & (
+        F.col(ts) == F.min(F.when(F.col(PEAK_COLUMNS[0]).isNotNull(), F.col(ts))).over(by_day))
     marked = hourly.withColumns({f"_{d}": F.when(first, F.avg(p).over(by_day))
                                  for p, d in zip(PEAK_COLUMNS, DAILY_COLUMNS)})
     w = days.rangeBetween(-ROLLING_DAYS, -(ROLLING_LAG_DAYS + 1))

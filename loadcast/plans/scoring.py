@@ -13,12 +13,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import LAG_COLUMNS, PEAK_COLUMNS, ROLLING_COLUMNS, RunConfig
+from ..config import LAG_COLUMNS, PEAK_COLUMNS, ROLLING_COLUMNS, SCORE_HOURS, RunConfig
 from ..functions.calendar import add_calendar
 from ..functions.labels import fill_numeric
-from ..functions.timegrid import DAY, HOUR, floor_ts, horizon, ntz, shift
+from ..functions.timegrid import (DAY, HOUR, bucket_index, epoch_seconds, floor_ts, from_epoch_seconds, horizon, ntz,
+                                  shift)
+from ..operators.chunks import CHUNK, OWN, windows_by_chunk
 from ..operators.encode import prepare_for_index
-from ..operators.lags import lags_within, rolling_within
+from ..operators.lags import CHUNK_HALOS, LAG_DAYS, lags_within, rolling_within
 from ..operators.rollup import daily_mean, row_key, with_day
 from ..session import scratch_path
 from ..sources.sessions import filter_servers
@@ -96,6 +98,55 @@ def score_features(hs: DataFrame, cfg: RunConfig, servers: DataFrame | None = No
     return out.select(*SCORE_FEATURE_COLUMNS)
 
 
+def score_backtest(hourly: DataFrame, cfg: RunConfig, first: str, last: str, every: int = DAY) -> DataFrame:
+    """Feature rows as ``score_features`` would have given them at many past moments: for each origin
+    ``first``, ``first + every`` .. ``last`` (seconds) and each server with an hour in the window
+    before it, the 48 hours from the origin, with the column ``score_begin``.
+
+    One scan and one shuffle, whatever the number of origins: a server's hours are dealt into
+    chunks that overlap by the window, and an origin is scored in its own chunk. It is brought up by
+    the server's last hour before it, so once. All lags and rolling days end 48 hours and two days
+    before a scored hour, that is before its origin, so that the windows over all hours see none
+    that the origin could not have seen; lags and days of the window's length reach no further back
+    than it.
+    """
+    h = horizon(first)
+    t, begin = F.col("SessionStartHourTime"), epoch_seconds(ntz(first))
+    reach = int((datetime.fromisoformat(first) - datetime.fromisoformat(_floor(h["feature_begin"], HOUR))).total_seconds())
+    steps = F.floor((epoch_seconds(ntz(last)) - begin) / F.lit(every))
+    size = CHUNK_HALOS * LAG_DAYS
+
+    def apply(rows: DataFrame, by: list[str]) -> DataFrame:
+        following = F.lead(epoch_seconds(t)).over(Window.partitionBy(*by).orderBy(t))
+        chunk_end = (F.col(CHUNK) + 1) * F.lit(size * DAY) - 1
+        # origins after this hour, up to the next hour, within the window and the chunk
+        rows = rows.withColumn("_until", F.least(F.coalesce(following, chunk_end), epoch_seconds(t) + F.lit(reach), chunk_end))
+        chunk_begin = F.col(CHUNK) * F.lit(size * DAY)
+        low = F.greatest(F.floor((epoch_seconds(t) - begin) / F.lit(every)) + 1, F.lit(0),
+                         F.ceil((chunk_begin - begin) / F.lit(every)))
+        high = F.least(F.floor((F.col("_until") - begin) / F.lit(every)), steps)
+        rows = rows.withColumn("_origins", F.when(low <= high, F.transform(
+            F.sequence(low, high), lambda i: begin + i * F.lit(every))).otherwise(F.array().cast("array<bigint>")))
+        # the row itself, and each origin's hours
+        hours = F.flatten(F.transform("_origins", lambda o: F.transform(
+            F.sequence(F.lit(0), F.lit(SCORE_HOURS - 1)), lambda k: F.struct(o.alias("o"), (o + k * HOUR).alias("t")))))
+        own = F.array(F.struct(F.lit(None).cast("bigint").alias("o"), epoch_seconds(t).alias("t")))
+        rows = rows.withColumn("_at", F.explode(F.concat(own, hours))).drop("_origins", "_until")
+        scored = F.col("_at.o").isNotNull()
+        rows = rows.withColumns({"score_begin": from_epoch_seconds(F.col("_at.o")),
+                                 "SessionStartHourTime": from_epoch_seconds(F.col("_at.t")),
+                                 OWN: F.when(scored, F.col(CHUNK)).otherwise(F.col(OWN)),
+                                 **{c: F.when(~scored, F.col(c)) for c in PEAK_COLUMNS}}).drop("_at")
+        return rolling_within(lags_within(with_day(rows), "calendar", by), "calendar", by)
+
+    rows = hourly.select("ServerIP", "SessionStartHourTime", *PEAK_COLUMNS)
+    out = windows_by_chunk(rows, "ServerIP", bucket_index("SessionStartHourTime", DAY), size, LAG_DAYS, apply)
+    out = add_calendar(out.where(F.col("score_begin").isNotNull()), "SessionStartHourTime", cfg.train_begin)
+    out = out.withColumn("key", row_key("ServerIP", "SessionStartHourTime"))
+    out = fill_numeric(out, LAG_COLUMNS + ROLLING_COLUMNS + ["linearTrend"], 0)
+    return out.select("score_begin", *SCORE_FEATURE_COLUMNS)
+
+
 def score_batch(model: PipelineModel, features: DataFrame) -> DataFrame:
     """Predicted load class per server-hour (rows with unseen levels are skipped)."""
     return model.transform(prepare_for_index(features)).select("ServerIP", "SessionStartHourTime", "prediction")

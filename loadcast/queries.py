@@ -22,7 +22,7 @@ from .functions.labels import drop_null_keys, fill_numeric, load_label
 from .functions.timegrid import DAY, FIVE_MINUTES, HOUR, floor_ts, horizon_columns, ntz
 from .operators.encode import (fit_features, one_hot_long, prepare_for_index, scaled_columns,
                                vector_entries)
-from .operators.gapfill import gap_fill, grid_outer_join, server_grid, time_grid
+from .operators.gapfill import fill_gaps, gap_fill, grid_outer_join, server_grid, time_grid
 from .operators.lags import join_daily_lags, lag_features, rolling_daily_mean
 from .operators.model import add_label, classification_metrics, split_column
 from .operators.rollup import daily_mean, five_min_rollup, hourly_peak, row_key, with_day
@@ -235,10 +235,8 @@ def q_grid_outer_join(spark, d):
 def q_gap_fill_hourly(spark, d):
     """Every server x every hour of the run range, peaks NULL where the hour had no data."""
     cfg = EVENTS
-    h = staged_hourly(spark, d).drop("SessionStartDay")
-    grid = server_grid(h.select("ServerIP").distinct(), ntz(cfg.train_begin), ntz(cfg.train_end), HOUR,
-                       out="SessionStartHourTime")
-    return rounded(gap_fill(grid, h.drop("key"), ["ServerIP", "SessionStartHourTime"]))
+    return rounded(fill_gaps(hourly(spark, d).drop("key"), ntz(cfg.train_begin), ntz(cfg.train_end), HOUR,
+                             "SessionStartHourTime"))
 
 
 @register("gap_fill_daily", O.with_(O.base_ctes() + [
@@ -251,10 +249,22 @@ def q_gap_fill_hourly(spark, d):
   LEFT JOIN daily dl ON dl.ServerIP = s.ServerIP AND dl.SessionStartDay = g.ts)""")))
 def q_gap_fill_daily(spark, d):
     cfg = EVENTS
-    h = staged_hourly(spark, d)
-    grid = server_grid(h.select("ServerIP").distinct(), ntz(cfg.train_begin), ntz(cfg.train_end), DAY,
-                       out="SessionStartDay")
-    return rounded(gap_fill(grid, daily_mean(h), ["ServerIP", "SessionStartDay"]))
+    return rounded(fill_gaps(daily_mean(hourly_with_day(spark, d)), ntz(cfg.train_begin), ntz(cfg.train_end), DAY,
+                             "SessionStartDay"))
+
+
+@register("gap_fill_grid", O.with_(O.base_ctes() + [
+    ("grid", _cfg_grid_sql(EVENTS, "1 HOUR", "date_trunc('hour', {})"))],
+    O.final([("ServerIP", False), ("SessionStartHourTime", False)] + doubles(PEAK_COLUMNS), """(
+  SELECT s.ServerIP, g.ts AS SessionStartHourTime, h.* EXCLUDE (key, ServerIP, SessionStartHourTime)
+  FROM (SELECT unnest(['10.0.0.1', '10.0.0.6', '10.9.9.9']) AS ServerIP) s CROSS JOIN grid g
+  LEFT JOIN hourly h ON h.ServerIP = s.ServerIP AND h.SessionStartHourTime = g.ts)""")))
+def q_gap_fill_grid(spark, d):
+    """Named servers, one of them without data, x every hour: a grid of its own, joined (J4)."""
+    cfg = EVENTS
+    named = spark.createDataFrame([(s,) for s in REQUESTED], "ServerIP string")
+    grid = server_grid(named, ntz(cfg.train_begin), ntz(cfg.train_end), HOUR, out="SessionStartHourTime")
+    return rounded(gap_fill(grid, hourly(spark, d).drop("key"), ["ServerIP", "SessionStartHourTime"]))
 
 
 # ---- W1-W3, J2: rolling means and lags ------------------------------------------------------
@@ -904,6 +914,40 @@ def q_score_requested_servers(spark, d):
     return rounded(SC.features_for_scoring(spark, EVENTS, hp, dp, REQUESTED))
 
 
+def _backtest_sql(cfg: RunConfig) -> str:
+    """Each origin sees only hours before itself: inner joins on hour < score_begin."""
+    lags = ", ".join(f"coalesce(max(h.peakLoad) FILTER (h.SessionStartHourTime = p.t - INTERVAL {i} HOUR), 0.0) AS {c}"
+                     for i, c in zip(O.HOURLY_LAGS, LAG_COLUMNS))
+    means = ", ".join(f"avg({c}) AS {c}" for c in PEAK_COLUMNS)
+    rolls = ", ".join(f"coalesce(avg(d.{p}), 0.0) AS {r}" for p, r in zip(PEAK_COLUMNS, ROLLING_COLUMNS))
+    window = "INTERVAL 2629799 SECOND"
+    return O.with_(O.base_ctes() + [
+        ("origins", "SELECT DISTINCT date_trunc('day', ts) AS o FROM events"),
+        ("before", f"""SELECT o, h.* FROM origins JOIN hourly h ON h.SessionStartHourTime < o
+                   AND h.SessionStartHourTime >= date_trunc('hour', o - {window})"""),
+        ("points", """SELECT o, ServerIP, unnest(generate_series(o, o + INTERVAL 47 HOUR, INTERVAL 1 HOUR)) AS t
+                      FROM (SELECT DISTINCT o, ServerIP FROM before)"""),
+        ("lagged", f"""SELECT p.o, p.ServerIP, p.t, {lags} FROM points p LEFT JOIN before h
+                       ON h.o = p.o AND h.ServerIP = p.ServerIP AND h.SessionStartHourTime <= p.t - INTERVAL 48 HOUR
+                       GROUP BY ALL"""),
+        ("days", f"SELECT o, ServerIP, CAST(SessionStartHourTime AS DATE) AS day, {means} FROM before GROUP BY ALL"),
+        ("rolled", f"""SELECT p.o, p.ServerIP, p.t, {rolls} FROM points p LEFT JOIN days d
+                       ON d.o = p.o AND d.ServerIP = p.ServerIP
+                       AND d.day BETWEEN CAST(p.t AS DATE) - 9 AND CAST(p.t AS DATE) - 3 GROUP BY ALL"""),
+        ("scored", f"""SELECT l.o AS score_begin, l.ServerIP || '_' || CAST(l.t AS VARCHAR) AS key, l.ServerIP,
+                              l.t AS SessionStartHourTime, {', '.join('l.' + c for c in LAG_COLUMNS)},
+                              {', '.join('r.' + c for c in ROLLING_COLUMNS)}, {O.calendar_select('l.t', cfg.train_begin)}
+                       FROM lagged l JOIN rolled r ON r.o = l.o AND r.ServerIP = l.ServerIP AND r.t = l.t""")],
+        O.final([("score_begin", False)] + [(c, c in _SCORE_DOUBLES) for c in SC.SCORE_FEATURE_COLUMNS], "scored"))
+
+
+@register("score_backtest", _backtest_sql)
+def q_score_backtest(spark, d):
+    """The scoring features of every day of the data as an origin, each from the hours before it."""
+    days = table(spark, d, "events").agg(F.min("ts").alias("b"), F.max("ts").alias("e")).first()
+    return rounded(SC.score_backtest(hourly(spark, d), EVENTS, f"{days.b:%Y-%m-%d} 00:00:00", f"{days.e:%Y-%m-%d} 00:00:00"))
+
+
 @register("json_roundtrip", _score_sql)
 def q_json_roundtrip(spark, d):
     """Scoring feature records written as JSON lines and read back with their schema."""
