@@ -9,6 +9,8 @@
                                    [--score-begin '2016-07-01 00:00:00'] \
                                    [--servers 10.0.0.1,10.0.0.2] --out /shared/predictions
 
+Malformed lines are no sessions; ``--rejects`` keeps them with their file and the reason.
+
 ``stats`` adds the files that its store has not read yet, so it can be run again over a glob that
 grows; files may split hours and come late.
 
@@ -32,7 +34,7 @@ from .plans import statistics as ST
 from .plans import training as TR
 from .session import build_session
 from .sources.records import write_records
-from .sources.sessions import clean_sessions, filter_servers, read_sessions_csv
+from .sources.sessions import clean_sessions, filter_servers, read_sessions_checked
 
 CONFIGS = {"ONE_MONTH": C.ONE_MONTH, "FULL": C.FULL}
 
@@ -56,6 +58,7 @@ def _add_session_args(p) -> None:
     p.add_argument("--sessions", required=True, action="append", help="path or glob; repeatable")
     p.add_argument("--timestamp-format", help="Spark datetime pattern, for times in an unusual form")
     p.add_argument("--servers", help="comma-separated server list (debug mode)")
+    p.add_argument("--rejects", help="folder to add the malformed lines to, with file and reason")
 
 
 def _add_config_args(p, named: bool = True) -> None:
@@ -73,7 +76,10 @@ def _cfg_from_info(info: dict, args) -> C.RunConfig:
 
 
 def _sessions(spark, args, paths=None):
-    s = clean_sessions(read_sessions_csv(spark, paths or args.sessions, args.timestamp_format))
+    s, rejects = read_sessions_checked(spark, paths or args.sessions, args.timestamp_format)
+    if args.rejects:
+        rejects.write.mode("append").parquet(args.rejects)
+    s = clean_sessions(s)
     return filter_servers(s, args.servers.split(",")) if args.servers else s
 
 
@@ -94,6 +100,7 @@ def main(argv=None, spark=None) -> None:
     src.add_argument("--sessions", action="append", help="path or glob; repeatable")
     src.add_argument("--features", help="output folder of the features command")
     t.add_argument("--timestamp-format")
+    t.add_argument("--rejects")
     _add_config_args(t)
     t.add_argument("--servers")
     t.add_argument("--out", required=True)

@@ -1,7 +1,7 @@
 """DuckDB SQL for every query with a relational equivalent (the correctness oracle).
 
 The SQL states each result in plain SQL over the pre-registered test tables. It shares the
-fixed names and values of ``config`` (column spellings, offsets, the list of holidays) with
+fixed names and values of ``config`` (column spellings, offsets) with
 the Spark code, and no logic. Doubles are rounded to 6 places on both sides, because sums and
 means in a different order differ in the last bits.
 """
@@ -12,7 +12,6 @@ from .config import (DAILY_COLUMNS, FIVE_MIN_SUMS, HOURLY_LAGS, INDEX_COLUMNS, L
                      PEAK_COLUMNS, PEAK_MEASURES, ROLLING_COLUMNS, ROLLING_LAG_DAYS,
                      ROLLING_WINDOW_DAYS, SCALED_COLUMNS, SCALED_INPUTS, SESSION_COLUMNS,
                      SECONDS_PER_YEAR, RunConfig)
-from .functions.calendar import FIXED_DATE_HOLIDAYS, FLOATING_HOLIDAYS
 
 R = 6  # decimal places of every compared double
 # Two engines add the same doubles in a different order, so a value exactly half-way between
@@ -129,24 +128,23 @@ def lags_sql(src: str = "hourly", mode: str = "calendar") -> str:
 
 # ---- calendar ---------------------------------------------------------------------------
 
-def _observed(x: str) -> str:
-    return f"(CASE isodow({x}) WHEN 6 THEN {x} - 1 WHEN 7 THEN {x} + 1 ELSE {x} END)"
-
-
 def holiday_sql(d: str) -> str:
-    """Boolean SQL: date expression ``d`` is an observed US federal holiday."""
-    tests = []
-    for _, m, day, first in FIXED_DATE_HOLIDAYS:
-        years = [f"year({d})", f"year({d}) + 1"] if m == 1 else [f"year({d})"]
-        for y in years:
-            t = f"{d} = {_observed(f'make_date({y}, {m}, {day})')}"
-            if first:
-                t = f"({t} AND {d} >= DATE '{first}')"
-            tests.append(t)
-    for _, m, wd, nth in FLOATING_HOLIDAYS:
-        week = f"({d} + 7 > last_day({d}))" if nth < 0 else f"((dayofmonth({d}) - 1) // 7 = {nth - 1})"
-        tests.append(f"(month({d}) = {m} AND isodow({d}) = {wd} AND {week})")
-    return "coalesce(" + " OR ".join(tests) + ", false)"
+    """Boolean SQL: date expression ``d`` is an observed US federal holiday. The rules are those of
+    5 U.S.C. 6103, written out: days moved off a weekend, and the n-th weekday of a month."""
+    monthday = "month({0}) * 100 + dayofmonth({0})"
+    on_its_day, saturday_after, sunday_before = (monthday.format(x) for x in (f"({d})", f"({d} + 1)", f"({d} - 1)"))
+    dates = "(101, 704, 1111, 1225)"  # New Year, Independence, Veterans, Christmas
+    return f"""coalesce(
+      (isodow({d}) < 6 AND {on_its_day} IN {dates}) OR (isodow({d}) = 5 AND {saturday_after} IN {dates})
+      OR (isodow({d}) = 1 AND {sunday_before} IN {dates})
+      OR ({d} >= DATE '2021-06-18' AND ((isodow({d}) < 6 AND {on_its_day} = 619)
+          OR (isodow({d}) = 5 AND {saturday_after} = 619) OR (isodow({d}) = 1 AND {sunday_before} = 619)))
+      OR (isodow({d}) = 1 AND (
+            (month({d}) IN (1, 2) AND dayofmonth({d}) BETWEEN 15 AND 21)
+            OR (month({d}) = 5 AND dayofmonth({d}) > 24)
+            OR (month({d}) = 9 AND dayofmonth({d}) < 8)
+            OR (month({d}) = 10 AND dayofmonth({d}) BETWEEN 8 AND 14)))
+      OR (isodow({d}) = 4 AND month({d}) = 11 AND dayofmonth({d}) BETWEEN 22 AND 28), false)"""
 
 
 def calendar_select(t: str, begin: str) -> str:

@@ -7,9 +7,12 @@ server, so a server-hour gets the same features on both paths.
 
 from __future__ import annotations
 
+import functools
+import operator
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +22,9 @@ from ..functions.labels import fill_numeric
 from ..functions.timegrid import (DAY, HOUR, bucket_index, epoch_seconds, floor_ts, from_epoch_seconds, horizon, ntz,
                                   shift)
 from ..operators.chunks import CHUNK, OWN, windows_by_chunk
-from ..operators.encode import prepare_for_index
+from ..operators.encode import index_rows, level_numbers, prepare_for_index
 from ..operators.lags import CHUNK_HALOS, LAG_DAYS, lags_within, rolling_within
+from ..operators.levels import LevelIndexer
 from ..operators.rollup import daily_mean, row_key, with_day
 from ..session import scratch_path
 from ..sources.sessions import filter_servers
@@ -175,22 +179,20 @@ def run_scoring(spark: SparkSession, model: PipelineModel, cfg: RunConfig, hourl
     path = scratch_path(spark, "score-features")
     feats.write.parquet(path)
     feats = spark.read.parquet(path)
-    return score_batch(model, feats), score_coverage(model.stages[0], feats)
+    indexers = [s for s in model.stages if isinstance(s, (StringIndexerModel, LevelIndexer))]
+    return score_batch(model, feats), score_coverage(indexers, feats)
 
 
-def score_coverage(indexer, features: DataFrame) -> DataFrame:
+def score_coverage(indexers: list, features: DataFrame) -> DataFrame:
     """(metric, n): feature rows, rows the model scores, rows it skips for an unseen level
-    (none when the indexer itself keeps unseen levels).
-
-    One pass: a copy of the fitted indexer that keeps unseen values maps them to the extra
-    index ``len(labels)``; a row is skipped when any of its columns gets that index."""
-    strict = indexer.getHandleInvalid() != "keep"
-    keep = indexer.copy().setHandleInvalid("keep")
-    idx = keep.transform(prepare_for_index(features))
-    unseen = None
-    for col, labels in zip(keep.getOutputCols(), keep.labelsArray):
-        hit = F.col(col) >= F.lit(float(len(labels)))
-        unseen = hit if unseen is None else (unseen | hit)
+    (none when the indexers keep unseen levels).
+
+    One pass: copies of the fitted indexers that keep unseen values map them to the extra
+    index past the levels; a row is skipped when any of its columns gets that index."""
+    strict = indexers[0].getHandleInvalid() != "keep"
+    keep = [i.copy({i.handleInvalid: "keep"}) for i in indexers]
+    idx = index_rows(prepare_for_index(features), keep)
+    unseen = functools.reduce(operator.or_, [F.col(c) >= F.lit(float(n)) for c, n in level_numbers(keep).items()])
     counts = idx.agg(F.count(F.lit(1)).alias("feature_rows"),
                      F.count(F.when(~unseen | F.lit(not strict), 1)).alias("scored_rows"),
                      F.count(F.when(unseen & F.lit(strict), 1)).alias("skipped_rows"))

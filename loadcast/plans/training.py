@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import SCALED_COLUMNS, RunConfig
 from ..operators.encode import FEATURES, FeatureModel
+from ..operators.levels import LevelIndexer
 from ..operators.model import add_label, classification_metrics, fit_forest, split_column, train_test
 from ..operators.quantiles import order_statistics
 
@@ -65,7 +66,8 @@ def save_model(spark: SparkSession, model: PipelineModel, fm: FeatureModel, cfg:
                data_file: str | None = None) -> None:
     """``path/pipeline``: the fitted stages; ``path/info``: run config, data path, duration and
     column lists (one JSON row)."""
-    model.write().overwrite().save(f"{path}/pipeline")
+    stages = [_own_levels(spark, s, path) for s in model.stages]
+    PipelineModel(stages=stages).write().overwrite().save(f"{path}/pipeline")
     info = {"trainBegin": cfg.train_begin, "trainEnd": cfg.train_end,
             "testSplitStart": cfg.test_split_start, "low": cfg.low, "high": cfg.high,
             "lagMode": cfg.lag_mode, "fitOn": cfg.fit_on, "handleInvalid": cfg.handle_invalid,
@@ -74,6 +76,16 @@ def save_model(spark: SparkSession, model: PipelineModel, fm: FeatureModel, cfg:
     spark.createDataFrame([info], INFO_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/info")
 
 
+def _own_levels(spark: SparkSession, stage, path: str):
+    """An indexer of a wide column with its table of levels stored beside the model."""
+    if not isinstance(stage, LevelIndexer):
+        return stage
+    own, table = f"{path}/levels/{stage.getInputCol()}", stage.getOrDefault(stage.table)
+    if table != own:
+        spark.read.parquet(table).write.mode("overwrite").parquet(own)
+    return stage.with_params(table=own)
+
+
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     """Inverse of ``save_model``: (pipeline, run info dict)."""
     info = spark.read.schema(INFO_SCHEMA).json(f"{path}/info").first().asDict()
@@ -99,10 +111,10 @@ def load_features(spark: SparkSession, path: str) -> tuple[FeatureModel, dict]:
     from pyspark.ml.feature import OneHotEncoderModel, StandardScalerModel, StringIndexerModel
     pipe, info = load_model(spark, path)
     stages = pipe.stages
-    indexer = next(s for s in stages if isinstance(s, StringIndexerModel))
+    indexers = [s for s in stages if isinstance(s, (StringIndexerModel, LevelIndexer))]
     encoder = next((s for s in stages if isinstance(s, OneHotEncoderModel)), None)
     scaler = next(s for s in stages if isinstance(s, StandardScalerModel))
-    fm = FeatureModel(indexer, encoder, scaler, list(info["columnOnlyIndexed"]), list(info["columnForEncode"]))
+    fm = FeatureModel(indexers, encoder, scaler, list(info["columnOnlyIndexed"]), list(info["columnForEncode"]))
     return fm, info
 
 

@@ -16,11 +16,11 @@ from pyspark.sql import types as T
 
 from . import oracle as O
 from .config import (DAILY_COLUMNS, FIVE_MIN_SUMS, INDEX_COLUMNS, INDEXED_COLUMNS, LAG_COLUMNS, PEAK_COLUMNS,
-                     EVENTS, EVENTS_CUTS, LINEITEM, ROLLING_COLUMNS, SCALED_COLUMNS, SUM_COLUMNS, RunConfig)
+                     EVENTS, EVENTS_CUTS, LINEITEM, SESSION_COLUMNS, ROLLING_COLUMNS, SCALED_COLUMNS, SUM_COLUMNS, RunConfig)
 from .functions.calendar import add_calendar, calendar_columns, is_federal_holiday
 from .functions.labels import drop_null_keys, fill_numeric, load_label
 from .functions.timegrid import DAY, FIVE_MINUTES, HOUR, floor_ts, horizon_columns, ntz
-from .operators.encode import (fit_features, one_hot_long, prepare_for_index, scaled_columns,
+from .operators.encode import (fit_features, fit_indexers, index_rows, one_hot_long, prepare_for_index, scaled_columns,
                                vector_entries)
 from .operators.gapfill import fill_gaps, gap_fill, grid_outer_join, server_grid, time_grid
 from .operators.lags import join_daily_lags, lag_features, rolling_daily_mean
@@ -32,7 +32,7 @@ from .plans import statistics as ST
 from .plans import training as TR
 from .session import scratch_path
 from .streaming.score_stream import score_files_once
-from .sources.sessions import (WRITE_TIMESTAMP_FORMAT, clean_sessions, filter_servers, read_sessions_csv,
+from .sources.sessions import (WRITE_TIMESTAMP_FORMAT, clean_sessions, filter_servers, read_sessions_checked, read_sessions_csv,
                                read_sessions_text, sessions_from_events, sessions_from_lineitem,
                                unparsed_times, write_sessions_csv)
 from .sources.records import read_records, write_records
@@ -169,6 +169,25 @@ def q_sql_five_min_rollup(spark, d):
         FROM lc_sessions GROUP BY 1, 2"""))
 
 
+@register("sql_views", O.with_(O.base_ctes() + [("daily", O.daily_sql())], f"""
+SELECT s.ServerIP, s.sessions, f.buckets, f.counted, {O.r6('h.peak')} AS peak, {O.r6('dm.mean')} AS mean
+FROM (SELECT ServerIP, count(*) AS sessions FROM sessions GROUP BY 1) s
+JOIN (SELECT ServerIP, count(*) AS buckets, CAST(sum(NumSession) AS BIGINT) AS counted FROM rollup GROUP BY 1) f USING (ServerIP)
+JOIN (SELECT ServerIP, max(peakLoad) AS peak FROM hourly GROUP BY 1) h USING (ServerIP)
+JOIN (SELECT ServerIP, avg(peakLoadDaily) AS mean FROM daily GROUP BY 1) dm USING (ServerIP)"""))
+def q_sql_views(spark, d):
+    """All four temp views in one Spark SQL query (S12), over a staged session log."""
+    path = scratch_path(spark, "sessions")
+    sessions(spark, d).write.parquet(path)
+    register_views(spark, spark.read.parquet(path), prefix="lc4_")
+    return rounded(spark.sql("""
+        SELECT s.ServerIP, s.sessions, f.buckets, f.counted, h.peak, dm.mean
+        FROM (SELECT ServerIP, count(*) AS sessions FROM lc4_sessions GROUP BY 1) s
+        JOIN (SELECT ServerIP, count(*) AS buckets, sum(NumSession) AS counted FROM lc4_five_min GROUP BY 1) f USING (ServerIP)
+        JOIN (SELECT ServerIP, max(peakLoad) AS peak FROM lc4_hourly_peak GROUP BY 1) h USING (ServerIP)
+        JOIN (SELECT ServerIP, avg(peakLoadDaily) AS mean FROM lc4_daily_mean GROUP BY 1) dm USING (ServerIP)"""))
+
+
 _HOURLY_COLS = ["key", "ServerIP", "SessionStartHourTime"] + PEAK_COLUMNS
 
 
@@ -453,6 +472,46 @@ def q_unparsed_times(spark, d):
     return unparsed_times(read_sessions_text(spark, path))
 
 
+def _planted_log(spark, d) -> str:
+    """The session log as CSV, with lines cut short, numbers and times that are none."""
+    path = scratch_path(spark, "sessions-planted")
+    log = sessions_from_events(table(spark, d, "events"), SessionStart=F.col("ts"))
+    number = F.regexp_extract("ClientIP", r"([0-9]+)$", 1).cast("int") * 24 + F.hour("SessionStart")
+    own = {"TotalLoad": F.when(number % 11 == 1, F.lit("n/a")), "SessionEnd": F.when(number % 11 == 2, F.lit("25:00")),
+           "MbytesTransferred": F.when(number % 11 == 3, F.lit("")).when(number % 11 == 4, F.lit("NaN"))}
+    fields = [F.coalesce(own.get(c, F.lit(None)), F.col(c).cast("string"), F.lit("")) for c in SESSION_COLUMNS]
+    fields = F.array(*fields)
+    lines = F.when(number % 11 == 0, F.slice(fields, 1, 4)).otherwise(fields)
+    log.select(F.array_join(lines, ",").alias("value")).write.text(path)
+    return path
+
+
+# How the planted lines of an event are numbered, in SQL; header lines hold no reject.
+_PLANTED = [("raw_sessions", O.RAW_SESSIONS), ("planted", """
+SELECT *, (CAST(regexp_extract(ClientIP, '([0-9]+)$', 1) AS INTEGER) * 24 + hour(SessionStart)) % 11 AS kind FROM raw_sessions""")]
+
+
+@register("malformed_lines", O.with_(_PLANTED, """
+SELECT TrafficType, SessionStart, CASE kind WHEN 0 THEN 'number of fields' WHEN 1 THEN 'TotalLoad: not a number'
+       WHEN 2 THEN 'SessionEnd: not a time' ELSE 'MbytesTransferred: not a number' END AS reason
+FROM planted WHERE kind = 0 OR (kind IN (1, 2, 4) AND ServerIP IS DISTINCT FROM 'IPs')"""))
+def q_malformed_lines(spark, d):
+    """Rejected lines with their reason: cut short, numbers and times that are none."""
+    _, rejects = read_sessions_checked(spark, _planted_log(spark, d))
+    field = lambda i: F.split_part("line", F.lit(","), F.lit(i))
+    return rejects.select(field(1).alias("TrafficType"), field(2).cast("timestamp_ntz").alias("SessionStart"), "reason")
+
+
+@register("malformed_rollup", O.with_(_PLANTED + [("sessions", """
+SELECT * REPLACE (CASE WHEN kind <> 3 THEN MbytesTransferred END AS MbytesTransferred) FROM planted
+WHERE kind NOT IN (0, 1, 2, 4) AND ServerIP IS NOT NULL AND ServerIP <> 'IPs'"""), ("rollup", O.rollup_sql())],
+    O.final(doubles(_ROLLUP_COLS), "rollup")))
+def q_malformed_rollup(spark, d):
+    """Five-minute sums of the lines that are none of the rejects; empty fields count as missing."""
+    log, _ = read_sessions_checked(spark, _planted_log(spark, d))
+    return rounded(five_min_rollup(clean_sessions(log)))
+
+
 # ---- M1-M7, S4, S7: the feature table -------------------------------------------------------
 
 _FT_COLS = (FT.HOUR_KEYS + PEAK_COLUMNS + ["year", "month", "weekofyear", "dayofmonth", "hourofday",
@@ -541,7 +600,14 @@ def q_long_history_feature_table(spark, d):
 @register("string_index", lambda cfg: _ft_sql(cfg, ["key"] + INDEXED_COLUMNS))
 def q_string_index(spark, d):
     _, feats, fm = _features(spark, d)
-    return fm.indexer.transform(prepare_for_index(feats)).select("key", *INDEXED_COLUMNS)
+    return fm.index(feats).select("key", *INDEXED_COLUMNS)
+
+
+@register("string_index_wide", lambda cfg: _ft_sql(cfg, ["key"] + INDEXED_COLUMNS))
+def q_string_index_wide(spark, d):
+    """The same indexes where columns of more than four levels are joined from their tables."""
+    feats = FT.stage_hourly_features(spark, sessions(spark, d), EVENTS, scratch_path(spark, "hourly-features"))
+    return index_rows(prepare_for_index(feats), fit_indexers(prepare_for_index(feats), narrow=4)).select("key", *INDEXED_COLUMNS)
 
 
 @register("scale_lags", lambda cfg: _ft_sql(cfg, ["key"] + SCALED_COLUMNS))
@@ -561,7 +627,7 @@ def _one_hot_sql(cfg: RunConfig) -> str:
 def q_one_hot(spark, d):
     """One-hot vectors in long form: (key, feature, position, 1.0) for each set slot."""
     _, feats, fm = _features(spark, d)
-    return one_hot_long(fm.indexer.transform(prepare_for_index(feats)), fm)
+    return one_hot_long(fm.index(feats), fm)
 
 
 def _feature_vector_sql(cfg: RunConfig) -> str:
@@ -989,7 +1055,7 @@ def q_score_coverage(spark, d):
     h = staged_hourly(spark, d)
     _, feats, fm = _features(spark, d, h)
     _, scored = _score_features(spark, d, h)
-    return SC.score_coverage(fm.indexer, scored)
+    return SC.score_coverage(fm.indexers, scored)
 
 
 def _score_batch_sql(cfg: RunConfig) -> str:

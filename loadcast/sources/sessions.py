@@ -66,6 +66,46 @@ def read_sessions_csv(spark: SparkSession, path: str | list[str],
     return raw.withColumns({c: parse_time(F.col(c), timestamp_format) for c in TIME_COLUMNS})
 
 
+NUMBER_COLUMNS = [c for c in SESSION_COLUMNS if isinstance(_TYPES[c], (T.LongType, T.DoubleType))]
+REJECT_COLUMNS = ["file", "line", "reason"]
+
+
+def read_sessions_checked(spark: SparkSession, path: str | list[str],
+                          timestamp_format: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(sessions, rejects) of headerless CSV files. A line of another number of fields, or with a
+    number or time that is there but can't be read, is a reject with its file, its text and the
+    reason (the first one, in file order), and no session: so no sum takes a field for missing that
+    was malformed. Empty fields are missing values, as they stand; header lines are no rejects and
+    are left to ``clean_sessions``. NaN and infinite numbers are malformed.
+
+    Both are lazy over one reading of text; the fields are parsed once each."""
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in [*SESSION_COLUMNS, "_line"]])
+    raw = (spark.read.schema(texts).option("header", "false").option("sep", ",").option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_line").csv(path))
+    parsed = {}
+    for c in SESSION_COLUMNS:
+        text = F.col(c)
+        if c in TIME_COLUMNS:
+            parsed[c] = parse_time(text, timestamp_format)
+        elif c in NUMBER_COLUMNS:
+            number = F.trim(text).try_cast(_TYPES[c])
+            if isinstance(_TYPES[c], T.DoubleType):
+                number = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+            parsed[c] = number
+    typed = raw.select("*", F.col("_metadata.file_path").alias("_file"), *[v.alias(f"_as_{c}") for c, v in parsed.items()])
+    bad = [F.when(F.col(c).isNotNull() & F.col(f"_as_{c}").isNull(),
+                  F.lit(f"{c}: not a {'time' if c in TIME_COLUMNS else 'number'}")) for c in SESSION_COLUMNS if c in parsed]
+    header = F.coalesce(F.col("ServerIP") == HEADER_SERVER_VALUE, F.lit(False))
+    reason = F.when(F.col("_line").isNotNull(), F.lit("number of fields")).when(~header, F.coalesce(*bad))
+    typed = typed.withColumn("_reason", reason)
+    line = F.coalesce("_line", F.to_csv(F.struct(*SESSION_COLUMNS)))
+    rejects = typed.where(F.col("_reason").isNotNull()).select(
+        F.col("_file").alias("file"), line.alias("line"), F.col("_reason").alias("reason"))
+    sessions = typed.where(F.col("_reason").isNull()).select(
+        *[F.col(f"_as_{c}" if c in parsed else c).alias(c) for c in SESSION_COLUMNS])
+    return sessions, rejects
+
+
 def unparsed_times(raw: DataFrame, timestamp_format: str | None = None) -> DataFrame:
     """(metric, n) of rows read as text whose time is there but can't be parsed, header rows
     aside, for each time column."""

@@ -22,7 +22,9 @@ def test_train_stats_score(spark):
     cli.main(["train", "--sessions", glob, *rng, "--out", f"{base}/run"], spark=spark)
     metrics = spark.read.parquet(f"{base}/run/metrics").collect()
     assert {r.split for r in metrics} == {"train", "test"}
-    cli.main(["stats", "--sessions", glob, "--out", f"{base}/stats"], spark=spark)
+    cli.main(["stats", "--sessions", glob, "--out", f"{base}/stats", "--rejects", f"{base}/rejects", "--compact"], spark=spark)
+    cli.main(["stats", "--sessions", glob, "--out", f"{base}/stats"], spark=spark)  # nothing new
+    assert spark.read.parquet(f"{base}/rejects").count() == 0
     cli.main(["score", "--stats", f"{base}/stats", "--model", f"{base}/run/model",
               "--score-begin", "2024-01-29 00:00:00", "--servers", "10.0.0.1,10.0.0.2,10.9.9.9",
               "--out", f"{base}/pred"], spark=spark)

@@ -16,7 +16,7 @@ from loadcast.operators.lags import lag_features, rolling_daily_mean
 from loadcast.operators.rollup import five_min_rollup, hourly_peak
 from loadcast.plans.scoring import horizon
 from loadcast.session import scratch_path
-from loadcast.sources.sessions import clean_sessions, read_sessions_csv
+from loadcast.sources.sessions import clean_sessions, read_sessions_checked, read_sessions_csv
 
 
 def test_cleaning_drops_header_rows_and_null_servers(spark):
@@ -267,3 +267,25 @@ def test_checkpoint_folder_is_required_on_a_cluster():
     sc = SimpleNamespace(getConf=lambda: conf, master="spark://host:7077", getCheckpointDir=lambda: None)
     with pytest.raises(RuntimeError):
         checkpoint_root(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_malformed_lines_are_rejected_with_file_and_reason(spark):
+    path = scratch_path(spark, "edge-rejects")
+    os.makedirs(path)
+    good = "web,2016-06-01 00:00:12,2016-06-01 00:01:00,3,1.5,A,1,x,1,2,3,4,5,6,7.5,10.0.0.1,1.2.3.4"
+    lines = {"a.csv": [good, "web,2016-06-01 00:00:13", good.replace("7.5", "abc"), good.replace("7.5", "")],
+             "b.csv": ["TrafficType,SessionStart,SessionEnd,a,b,c,d,e,f,g,h,i,j,k,TotalLoad,IPs,ClientIP", good.replace(",3,", ",3x,"),
+                       good.replace("2016-06-01 00:00:12", "yesterday"), good.replace("7.5", "Infinity"), good + ",more"]}
+    for name, text in lines.items():
+        with open(f"{path}/{name}", "w") as f:
+            f.write("\n".join(text) + "\n")
+    rows, rejects = read_sessions_checked(spark, path)
+    found = sorted((r.file.rsplit("/", 1)[1], r.line, r.reason) for r in rejects.collect())
+    a, b = lines["a.csv"], lines["b.csv"]
+    assert found == sorted([("a.csv", a[1], "number of fields"), ("a.csv", a[2], "TotalLoad: not a number"),
+                            ("b.csv", b[1], "ConcurrentConnectionCounts: not a number"), ("b.csv", b[2], "SessionStart: not a time"),
+                            ("b.csv", b[3], "TotalLoad: not a number"), ("b.csv", b[4], "number of fields")])
+    kept = clean_sessions(rows)
+    assert sorted((r.TotalLoad for r in kept.collect()), key=str) == [7.5, None]
+    assert kept.columns == clean_sessions(read_sessions_csv(spark, path)).columns
+    assert five_min_rollup(kept).first().NumSession == 2  # also where few columns are read

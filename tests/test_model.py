@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from loadcast.operators.encode import fit_features, split_by_levels
+from loadcast.operators.encode import fit_features, level_numbers, split_by_levels
 from loadcast.operators.model import classification_metrics, evaluator_metrics
 from loadcast.plans import features as FT
 from loadcast.plans import scoring as SC
@@ -33,10 +33,10 @@ def test_indexer_ties_are_alphabetical_and_single_levels_stay_indexed(spark):
     from loadcast.config import SCALED_INPUTS
     df = df.withColumns({c: F.lit(1.0) for c in SCALED_INPUTS}).withColumn("linearTrend", F.lit(0.0))
     fm = fit_features(df)
-    labels = dict(zip(INDEX_COLUMNS, fm.indexer.labelsArray))
+    labels = dict(zip(INDEX_COLUMNS, [i.labels for i in fm.indexers]))
     assert labels["dayofweek"] == ["a", "b"]
     assert labels["hourofday"] == ["10", "9"]          # numbers compare as text
-    only, enc = split_by_levels(fm.indexer)
+    only, enc = split_by_levels(fm.indexers)
     assert "year_indexed" in only and "dayofweek_indexed" in enc
     # constant lag columns scale to 0
     out = FT.scaled_columns(fm.transform(df)).select("scaledpeakLoadLag48").distinct().collect()
@@ -57,8 +57,7 @@ def test_unseen_level_is_skipped(spark):
 
 def test_vector_size(trained):
     cfg, fm, table, model, rf = trained
-    from loadcast.config import INDEXED_COLUMNS
-    levels = dict(zip(INDEXED_COLUMNS, [len(l) for l in fm.indexer.labelsArray]))
+    levels = level_numbers(fm.indexers)
     expected = 1 + len(fm.only_indexed) + sum(levels[c] - 1 for c in fm.encoded) + 20
     assert rf.numFeatures == expected
 
@@ -122,7 +121,7 @@ def test_score_coverage_counts_what_skip_drops(spark):
     SC.write_statistics(FT.with_day(hourly(spark, SF_SMALL)), hp, dp)
     hs, ds = SC.stats_for_score(spark, hp, dp, cfg.score_begin)
     scored = SC.score_features(hs, cfg)
-    cov = {r.metric: r.n for r in SC.score_coverage(fm.indexer, scored).collect()}
+    cov = {r.metric: r.n for r in SC.score_coverage(fm.indexers, scored).collect()}
     kept = fm.transform(scored).count()
     assert cov["feature_rows"] == scored.count() == 8 * 48
     assert cov["scored_rows"] == kept == 0
