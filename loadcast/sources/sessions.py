@@ -81,7 +81,7 @@ def read_sessions_checked(spark: SparkSession, path: str | list[str],
     Both are lazy over one reading of text; the fields are parsed once each."""
     texts = T.StructType([T.StructField(c, T.StringType()) for c in [*SESSION_COLUMNS, "_line"]])
     raw = (spark.read.schema(texts).option("header", "false").option("sep", ",").option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_line").csv(path))
+           .option("columnNameOfCorruptRecord", "_line").option("columnPruning", "false").csv(path))
     parsed = {}
     for c in SESSION_COLUMNS:
         text = F.col(c)
