@@ -5,7 +5,9 @@ once in each are anchors; the longest increasing subsequence of anchor places is
 the alignment's frame, and each gap between neighbouring anchors is aligned the same way,
 where other words become unique. What is left without anchors extends from the gap's two
 ends while words agree. Coverage is the share of the template's words that are aligned; a
-template is found where it reaches ``COVERAGE``.
+template is found where it reaches ``COVERAGE``, the words that tell it from neighbouring licenses
+(names, versions, terms such as ShareAlike) are among the aligned ones, and no neighbour's such word
+stands between them.
 
 Exact prefilter: the aligned words of a template are words the text holds, so where the
 template's words that occur in the text at all make less than ``COVERAGE`` of it, it can't be
@@ -62,20 +64,9 @@ TEMPLATES = {
         "Unless required by applicable law or agreed to in writing, software distributed under the License is "
         "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See "
         "the License for the specific language governing permissions and limitations under the License."],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
-        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
-        "GNU General Public License for more details. You should have received a copy of the GNU General Public "
-        "License along with this program. If not, see <https://www.gnu.org/licenses/>."],
-    "CC-BY-NC-4.0": [
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC-BY-4.0": [
-        "Licensed under CC BY 4.0 International.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies. THE "
@@ -88,6 +79,34 @@ TEMPLATES = {
         "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
         "materials provided with the distribution."],
 }
+BSD_THIRD = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+             "derived from this software without specific prior written permission.")
+GNU_SHORT = "This work is licensed under the GNU {kind}General Public License, version {version}."
+GNU_NOTICE = (
+    "This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public "
+    "License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
+    "later version. This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for "
+    "more details. You should have received a copy of the GNU {kind}General Public License along with this {thing}.")
+GNU = {"GPL-2.0": ("", "2", "program"), "GPL-3.0": ("", "3", "program"), "LGPL-2.1": ("Lesser ", "2.1", "library"),
+       "LGPL-3.0": ("Lesser ", "3", "library"), "AGPL-3.0": ("Affero ", "3", "program")}
+CC_SHORT = "Licensed under CC {short} 4.0{where}."
+CC_NOTICE = "This work is licensed under a Creative Commons {long} 4.0 International License."
+CC = {"BY": "Attribution", "BY-NC": "Attribution-NonCommercial", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
+      "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+TEMPLATES["BSD-3-Clause"] = [f"{TEMPLATES['BSD-2-Clause'][0]} {BSD_THIRD}"]
+for _name, (_kind, _version, _thing) in GNU.items():
+    TEMPLATES[_name] = [t.format(kind=_kind, version=_version, thing=_thing) for t in (GNU_SHORT, GNU_NOTICE)]
+for _short, _long in CC.items():
+    TEMPLATES[f"CC-{_short}-4.0"] = [CC_SHORT.format(short=_short, where=w) for w in ("", " International")] + [CC_NOTICE.format(long=_long)]
+
+# Words that tell a license from its neighbours. Of TELLING, those that a template holds must all be
+# aligned; of MARKS, none that the template lacks may stand between its aligned words.
+TELLING = {"mit", "apache", "gnu", "lesser", "affero", "mozilla", "cc", "commons", "attribution", "noncommercial", "sharealike",
+           "noderivatives", "by", "nc", "sa", "nd", "neither"}
+MARKS = {"lesser", "affero", "noncommercial", "sharealike", "noderivatives", "nc", "sa", "nd"}
+VERSIONED = re.compile(r"(?:GPL|MPL|Apache|CC-)")  # their templates' numbers must be aligned as well
 
 
 # ---- alignment ------------------------------------------------------------------------------
@@ -157,6 +176,13 @@ class Template:
         self.counts: dict[str, int] = {}
         for w in self.words:
             self.counts[w] = self.counts.get(w, 0) + 1
+        self.telling = {w for w in self.counts if w in TELLING or (w.isdigit() and VERSIONED.search(name))}
+        self.foreign = MARKS - self.counts.keys()
+
+    def tells(self, words: list[str], pairs: list[tuple[int, int]]) -> bool:
+        """Whether an alignment is with this license and not with a neighbour of it."""
+        between = words[pairs[0][0]:pairs[-1][0] + 1]
+        return self.telling <= {self.words[j] for _, j in pairs} and self.foreign.isdisjoint(between)
 
 
 def templates() -> list[Template]:
@@ -221,8 +247,9 @@ def best_match(words: list[str], template: Template, coverage: float) -> tuple[i
         if high - low > len(template.words):
             parts += template_windows(words, low, high, template, least)
         for start, end in parts:
-            pairs = patience_align(words[start:end], template.words)
-            if len(pairs) >= least:
+            window = words[start:end]
+            pairs = patience_align(window, template.words)
+            if len(pairs) >= least and template.tells(window, pairs):
                 first, last = start + pairs[0][0], start + pairs[-1][0]
                 found = -len(pairs), last - first, first
                 best = found if best is None else min(best, found)
@@ -241,19 +268,22 @@ def scan(text: str, found: list[Template], coverage: float = COVERAGE) -> list[t
             row = (t.name, match[0], match[0] / len(t.words), spans[match[1]][1], spans[match[2]][2])
             if t.name not in out or row[1] > out[t.name][1]:
                 out[t.name] = row
-    return sorted(out.values(), key=lambda r: (-r[1], r[0]))
+    rows = sorted(out.values(), key=lambda r: (-r[1], r[0]))
+    # a license whose place lies in that of one with more aligned words is a part of that one
+    return [r for i, r in enumerate(rows) if not any(q[3] <= r[3] and r[4] <= q[4] and q[1] > r[1] for q in rows[:i])]
 
 
 # ---- Spark ----------------------------------------------------------------------------------
 
 def candidates(texts: list[str], all_templates: list[Template], coverage: float) -> list[tuple[int, int]]:
-    """(row, template) pairs that pass the exact prefilter. Words are compared as runs of
-    letters, in which any word of a template without its digits occurs as well."""
+    """(row, template) pairs that pass the exact prefilter. Words are compared as runs of a to z in
+    the lower-cased text. Whatever the aligner takes for a word's neighbour, a word of these letters
+    is such a run, so that every word it can align is present here."""
     vocabulary = sorted({w for t in all_templates for w in t.counts if w.isascii() and w.isalpha()})
-    probe = Words([" ".join(vocabulary)], letters_only=True)
+    probe = Words([" ".join(vocabulary)], ascii_only=True)
     hashes = probe.hashes()
     order = np.argsort(hashes)
-    words = Words([t.lower() for t in texts], letters_only=True)
+    words = Words([t.lower() for t in texts], ascii_only=True)
     h = words.hashes()
     at = np.minimum(np.searchsorted(hashes[order], h), len(order) - 1)
     hit = hashes[order][at] == h

@@ -57,15 +57,18 @@ def letter_bytes(raw: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words of a batch (runs of bytes other than white space, or of letters only): ``start``/``end`` byte offsets, ``doc`` (row number of each word),
+    """Words of a batch (runs of bytes other than white space, of letters, or of a to z only): ``start``/``end`` byte offsets, ``doc`` (row number of each word),
     ``first`` (index of each row's first word, with a final total) and ``raw`` bytes."""
 
-    def __init__(self, texts: list[str], letters_only: bool = False):
+    def __init__(self, texts: list[str], letters_only: bool = False, ascii_only: bool = False):
         data = [t.encode("utf-8", "surrogatepass") for t in texts]
         self.raw = np.frombuffer(b"\n".join(data) + b"\n", np.uint8)
         sizes = np.fromiter((len(d) + 1 for d in data), np.int64, len(data))
         self.doc_start = np.concatenate([[0], np.cumsum(sizes)])
-        inside = letter_bytes(self.raw) if letters_only else ~SPACE[self.raw]
+        if ascii_only:
+            inside = (self.raw >= 97) & (self.raw <= 122)
+        else:
+            inside = letter_bytes(self.raw) if letters_only else ~SPACE[self.raw]
         edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
         self.start = np.flatnonzero(edge == 1)
         self.end = np.flatnonzero(edge == -1)

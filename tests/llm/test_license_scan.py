@@ -48,6 +48,7 @@ def test_every_template_is_found_in_place(spark):
         got.setdefault(x.doc_id, []).append(x)
     for i, (name, start) in truth.items():
         assert got[i][0].license == name and got[i][0].start == start and got[i][0].coverage == 1.0, (i, name)
+        assert got[i][0].licenses == [name]
     assert got[100][0].license == "MIT" and 0.8 <= got[100][0].coverage < 1
     assert all(got[i][0].license is None for i in (101, 102, 103, 104, 105))
     assert got[106][0].license == "GPL-3.0" and got[None][0].license == "MIT"
@@ -88,3 +89,47 @@ def test_prefilter_loses_nothing():
 
 def test_empty_table(spark):
     assert S.scan_licenses(docs_frame(spark, [])).count() == 0
+
+
+NEIGHBOURS = [
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("This work is licensed under the GNU General Public License.", None),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("Licensed under CC BY-SA 4.0 International.", "CC-BY-SA-4.0"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "CC-BY-ND-4.0"),
+    ("This work is licensed under a Creative Commons Attribution 3.0 International License.", None),
+    ("Licensed under the Apache License, Version 1.1.", None), ("Released under the BSD License.", None),
+    ("Released under the terms of the MIT License.", "MIT"),
+    (S.TEMPLATES["GPL-2.0"][1].replace(",", ";").replace("software:", "software;"), "GPL-2.0"),
+    (S.TEMPLATES["LGPL-2.1"][1], "LGPL-2.1"), (S.TEMPLATES["BSD-3-Clause"][0], "BSD-3-Clause")]
+
+
+def test_neighbouring_licenses_are_told_apart():
+    r = rng(21)
+    for text, name in NEIGHBOURS:
+        found = S.scan(f"{sentence(r, 20)}. {text} {sentence(r, 20)}", S.templates())
+        assert [f[0] for f in found] == ([name] if name else []), (text, found)
+
+
+def test_scan_equals_the_bare_aligner_beside_any_character(spark):
+    """Every template, damaged or whole, between random Unicode: the whole scan against every
+    template aligned with every text."""
+    r = rng(22)
+    signs = list("\U0001f600\u3000\u3002\ufffd\ufeff\u00abé漢_-9ßİ\u212a")
+    texts = []
+    for t in S.templates():
+        words = [w for w in t.words if r.random() > 0.1]
+        glue = [str(r.choice([" ", " ", " ", *signs])) for _ in words]
+        texts.append("".join(str(r.choice(signs)) + " "[:int(r.integers(2))] + w + g for w, g in zip(words, glue)))
+        texts.append(str(r.choice(signs)) + " ".join(t.words).upper() + str(r.choice(signs)))
+    texts.append("\U0001f600Released under the MIT License\U0001f600")
+    got = {x.doc_id: x for x in S.scan_licenses(docs_frame(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        want = S.scan(text, S.templates())
+        assert got[i].licenses == [f[0] for f in want], text
+        assert (got[i].license, got[i].start, got[i].end) == ((want[0][0], want[0][3], want[0][4]) if want else (None, None, None))
+    assert got[len(texts) - 1].license == "MIT"
