@@ -9,6 +9,9 @@ inside ``mapInPandas`` tasks on one bounded batch.
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 import numpy as np
 
 # An odd multiplier, its powers' period is long; finalizer constants of
@@ -45,15 +48,40 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+LETTER, BLANK = 1, 2
+TABLED = 0x32400  # letters are assigned below this code point
+
+
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """Kind of each code point below ``TABLED`` by its Unicode category: letters and the marks
+    that stand on them (not those that choose the look of a sign), white space, else 0."""
+    out = np.zeros(TABLED, np.uint8)
+    for i in range(TABLED):
+        c = chr(i)
+        kind = unicodedata.category(c)
+        if kind[0] == "L" or kind in ("Mn", "Mc") and not 0xFE00 <= i <= 0xFE0F and not 0x20D0 <= i <= 0x20FF:
+            out[i] = LETTER
+        elif c.isspace():
+            out[i] = BLANK
+    return out
+
+
+def code_points(raw: np.ndarray) -> np.ndarray:
+    """Code points of a UTF-8 buffer; those above every letter become the one below ``TABLED``."""
+    if not len(raw) or raw.max() < 128:
+        return raw.astype(np.uint32)
+    text = raw.tobytes().decode("utf-8", "surrogatepass")
+    return np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), TABLED - 1)
+
+
 def letter_bytes(raw: np.ndarray) -> np.ndarray:
-    """Bytes of letters in lower-cased UTF-8: a to z and everything beyond ASCII but the
-    signs of U+0080..U+00BF and U+2000..U+2FFF (quotes, dashes, spaces)."""
-    letter = ((raw >= 97) & (raw <= 122)) | (raw >= 128)
-    for lead, size in ((0xC2, 2), (0xE2, 3)):
-        at = np.flatnonzero(raw == lead)
-        for j in range(size):
-            letter[np.minimum(at + j, len(raw) - 1)] = False
-    return letter
+    """Bytes of letters, of any script, in lower-cased UTF-8."""
+    cp = code_points(raw)
+    letter = kinds()[cp] == LETTER
+    if len(cp) == len(raw):
+        return letter
+    return letter[np.cumsum((raw & 0xC0) != 0x80) - 1]
 
 
 class Words:

@@ -1,8 +1,8 @@
 """Toxicity scores after noisy-channel deobfuscation.
 
 A character trigram model is counted over every document. Suspicious spans (letters mixed
-with look-alike signs such as ``l0$er``, letters spaced out as ``s c u m``, letters repeated
-three times or more) become lattices of what each sign may stand for, what a repetition may
+with look-alike signs such as ``l0$er``, letters of any script and such signs spaced out as
+``s c u m`` or ``l 0 $ e r``, letters repeated three times or more) become lattices of what each sign may stand for, what a repetition may
 have been, and Viterbi decoding under the character model picks the restored word. A span
 without such signs has one path only, itself, so it needs no decoding.
 
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .frames import map_keyed
-from .textvec import Words, text_slices
+from .textvec import BLANK, LETTER, Words, code_points, kinds, text_slices
 
 TRAIN_ROWS = 20_000
 SHRINK = 8.0  # labelled documents that the overall share counts for
@@ -47,10 +47,11 @@ LOOKALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "
              "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou"}
 SIGN = np.zeros(256, bool)
 SIGN[[ord(c) for c in LOOKALIKE]] = True
+JOINERS = " .-_*"
 JOINER = np.zeros(256, bool)
-JOINER[[ord(c) for c in " .-_*"]] = True
-LETTER = np.zeros(256, bool)
-LETTER[97:123] = True
+JOINER[[ord(c) for c in JOINERS]] = True
+STAR = ord("*")  # a joiner between letters, a sign where spaces stand around it
+CACHED = 64  # code points of the longest span whose reading is kept
 
 # Symbols of the character model: 0 outside words, 1 to 26 letters, 27 any other letter.
 SYMBOLS = 28
@@ -100,7 +101,11 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
     core = span
     while len(core) >= 3 and not core[-1].isalnum() and core[-1] == core[-2] == core[-3]:
         core = core.rstrip(core[-1])
-    spaced = len(core) >= 5 and all(not c.isalnum() for c in core[1::2]) and all(c.isalnum() for c in core[::2])
+    between, units = core[1::2], core[::2]
+    if len(core) >= 5 and (not any(c.isalnum() for c in between) and all(c.isalnum() for c in units)
+                           or all(c in JOINERS for c in between)
+                           and all(c.isalnum() or c in LOOKALIKE for c in units)):
+        core = units
     out: list[list[tuple[str, float]]] = []
     i = 0
     while i < len(core):
@@ -109,8 +114,6 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
         while j < len(core) and core[j] == c:
             j += 1
         n, i = j - i, j
-        if spaced and not c.isalnum():
-            continue
         if c in LOOKALIKE:
             readings = [(x * min(n, 2), CHANNEL_COST * n) for x in LOOKALIKE[c]]
             if n >= 2:
@@ -131,11 +134,12 @@ def symbol_of(c: str) -> int:
 
 
 def viterbi(readings: list[list[tuple[str, float]]], model: np.ndarray) -> str:
-    """The most probable restored word: least channel cost minus log probability."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    """The most probable restored word: least channel cost minus log probability. Paths are
+    chained backwards, so time and memory grow with the span's length only."""
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for options in [*readings, [(" ", 0.0)]]:
-        step: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, word) in states.items():
+        step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (cost, path) in states.items():
             for text, extra in options:
                 x, y, total = a, b, cost + extra
                 for c in text:
@@ -143,49 +147,82 @@ def viterbi(readings: list[list[tuple[str, float]]], model: np.ndarray) -> str:
                     total -= model[x, y, z]
                     x, y = y, z
                 if (x, y) not in step or total < step[x, y][0]:
-                    step[x, y] = total, word + text
+                    step[x, y] = total, (path, text) if text else path
         states = step
-    return min(states.values())[1].strip()
+    least = min(cost for cost, _ in states.values())
+    return min(spelled(path) for cost, path in states.values() if cost == least).strip()
+
+
+def spelled(path: tuple | None) -> str:
+    parts = []
+    while path is not None:
+        path, text = path
+        parts.append(text)
+    return "".join(reversed(parts))
 
 
 class Restorer:
     """Viterbi decoding with a bounded memory of spans seen."""
 
     def __init__(self, model: np.ndarray):
-        self.restore = lru_cache(maxsize=50_000)(lambda span: viterbi(lattice(span), model))
+        self.model = model
+        self.remembered = lru_cache(maxsize=50_000)(self.decode)
+
+    def decode(self, span: str) -> str:
+        return viterbi(lattice(span), self.model)
+
+    def restore(self, span: str) -> str:
+        return self.remembered(span) if len(span) <= CACHED else self.decode(span)
 
 
 def suspicious_spans(words: Words) -> list[tuple[int, str]]:
     """(row, span) of every suspicious span of a batch (whole white-space words, or runs of
-    spaced single letters)."""
+    spaced single letters and signs, two of them letters at least)."""
     raw = words.raw
-    letter, sign = LETTER[raw], SIGN[raw]
-    flag = np.zeros(len(raw), bool)
-    if len(raw) > 2:
-        flag[2:] |= letter[2:] & (raw[2:] == raw[1:-1]) & (raw[1:-1] == raw[:-2])
+    cp = code_points(raw)
+    at_byte = np.arange(len(raw)) if len(cp) == len(raw) else np.flatnonzero((raw & 0xC0) != 0x80)
+    byte_end = np.append(at_byte, len(raw))
+    kind = kinds()[cp]
+    ascii_cp = np.where(cp < 128, cp, 0)
+    letter, blank, sign = kind == LETTER, kind == BLANK, SIGN[ascii_cp]
+
+    def span(start: int, end: int) -> tuple[int, str]:
+        row = int(np.searchsorted(words.doc_start, at_byte[start], side="right") - 1)
+        return row, raw[byte_end[start]:byte_end[end]].tobytes().decode("utf-8", "replace")
+
+    flag = np.zeros(len(cp), bool)
+    if len(cp) > 2:
+        flag[2:] |= letter[2:] & (cp[2:] == cp[1:-1]) & (cp[1:-1] == cp[:-2])
         flag[:-1] |= sign[:-1] & letter[1:]
-        flag[1:] |= sign[1:] & letter[:-1] & (raw[1:] != ord("!")) & (raw[1:] != ord("*")) & (raw[1:] != ord("("))
-        tail = np.zeros(len(raw), bool)  # a sign three times over is decoration, not a letter
-        tail[:-2] = sign[:-2] & (raw[:-2] == raw[1:-1]) & (raw[1:-1] == raw[2:])
+        flag[1:] |= sign[1:] & letter[:-1] & (cp[1:] != ord("!")) & (cp[1:] != STAR) & (cp[1:] != ord("("))
+        tail = np.zeros(len(cp), bool)  # a sign three times over is decoration, not a letter
+        tail[:-2] = sign[:-2] & (cp[:-2] == cp[1:-1]) & (cp[1:-1] == cp[2:])
         flag &= ~tail
-    hits = np.unique(np.searchsorted(words.start, np.flatnonzero(flag), side="right") - 1)
-    out = []
-    for w in hits[hits >= 0].tolist():
-        s, e = words.start[w], words.end[w]
-        if letter[s:e].any():
-            out.append((int(words.doc[w]), raw[s:e].tobytes().decode("utf-8", "replace")))
-    # letters one by one, with one joining sign between: at least three in a row
-    alone = letter.copy()
-    alone[1:] &= ~letter[:-1] & (raw[:-1] < 128)
-    alone[:-1] &= ~letter[1:] & (raw[1:] < 128)
+    edge = np.diff((~blank).astype(np.int8), prepend=np.int8(0), append=np.int8(0))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    letters_before = np.concatenate([[0], np.cumsum(letter)])
+    hits = np.unique(np.searchsorted(start, np.flatnonzero(flag & ~blank), side="right") - 1)
+    hits = hits[letters_before[end[hits]] > letters_before[start[hits]]]
+    out = [span(s, e) for s, e in zip(start[hits].tolist(), end[hits].tolist())]
+    # letters and signs one by one, with one joining sign between: at least three in a row
+    star = cp == STAR
+    if len(cp) > 2:
+        star[1:-1] &= (cp[:-2] == 32) & (cp[2:] == 32)
+    star[[0, -1]] = False
+    unit = letter | star | sign & (cp != STAR)
+    solid = unit | (cp >= 48) & (cp <= 57)
+    alone = unit.copy()
+    alone[1:] &= ~solid[:-1]
+    alone[:-1] &= ~solid[1:]
     at = np.flatnonzero(alone)
     if len(at) > 2:
-        chained = (np.diff(at) == 2) & JOINER[raw[np.minimum(at[:-1] + 1, len(raw) - 1)]]
+        chained = (np.diff(at) == 2) & JOINER[ascii_cp[at[:-1] + 1 - (at[:-1] + 1 == len(cp))]]
         edge = np.diff(np.concatenate([[0], chained.astype(np.int8), [0]]))
         for s, e in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-            if e - s >= 2:
-                row = int(np.searchsorted(words.doc_start, at[s], side="right") - 1)
-                out.append((row, raw[at[s]:at[e] + 1].tobytes().decode()))
+            while e > s and cp[at[e]] in (ord("!"), ord("(")):  # punctuation after the last letter
+                e -= 1
+            if e - s >= 2 and letters_before[at[e] + 1] - letters_before[at[s]] >= 2:
+                out.append(span(int(at[s]), int(at[e]) + 1))
     return out
 
 
