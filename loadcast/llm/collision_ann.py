@@ -223,14 +223,13 @@ def _search_home(k: int) -> callable:
     return run
 
 
-REACHED = "dim int, cell int, part int, query_id bigint, vec array<double>, half double"
+REACHED = ["dim", "cell", "part", "query_id", "vec", "half"]
 
 
 def _reach(key, queries: pd.DataFrame, bounds: pd.DataFrame) -> pd.DataFrame:
     """Blocks, other than its own, that enough windows of a query reach."""
-    names = [c.split()[0] for c in REACHED.split(", ")]
     if not len(queries) or not len(bounds):
-        return pd.DataFrame(columns=names)
+        return pd.DataFrame(columns=REACHED)
     vecs = matrix(queries["vec"])
     centers = unit(vecs) @ directions(vecs.shape[1]).T
     half = queries["half"].to_numpy()[:, None] + SLACK
@@ -243,7 +242,7 @@ def _reach(key, queries: pd.DataFrame, bounds: pd.DataFrame) -> pd.DataFrame:
             out.append(pd.DataFrame({"dim": int(key[0]), "cell": cell, "part": part,
                                      "query_id": queries["query_id"].to_numpy()[at],
                                      "vec": queries["vec"].to_numpy()[at], "half": half[at, 0]}))
-    return pd.concat(out) if out else pd.DataFrame(columns=names)
+    return pd.concat(out) if out else pd.DataFrame(columns=REACHED)
 
 
 FOUND = "query_id bigint, vec_id bigint, score double, verified bigint"
@@ -269,14 +268,15 @@ def _upto(n: str) -> Column:
 
 def blocks_of(vectors: DataFrame, is_query: Column) -> DataFrame:
     """Usable rows (vec_id, vec, is_query) of ``vectors`` with the block of each (dim, cell, part)
-    and ``parts``, the number of blocks of its cell."""
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"),
-                          F.col("embedding").cast("array<double>").alias("vec"),
+    and ``parts``, the number of blocks of its cell. Floats are carried as such, other numbers as
+    doubles; both are computed with in double precision."""
+    kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast(kind).alias("vec"),
                           F.coalesce(is_query, F.lit(False)).alias("is_query"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vec"))).withColumn("dim", F.size("vec"))
     pivots = rows.sparkSession.sparkContext.broadcast(_pivots(rows))
-    placed = rows.mapInPandas(_place(pivots), "vec_id bigint, vec array<double>, is_query boolean, dim int, cell int, deal bigint")
-    placed = stage(placed, "ann-vectors")
+    schema = f"vec_id bigint, vec {kind}, is_query boolean, dim int, cell int, deal bigint"
+    placed = stage(rows.mapInPandas(_place(pivots), schema), "ann-vectors")
     parts = placed.groupBy("dim", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
     return placed.join(parts, ["dim", "cell"]).withColumn(
         "part", F.pmod(F.xxhash64("deal"), F.col("parts")).cast("int"))
@@ -309,7 +309,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     right = bounds.join(sizes, "dim").withColumn("group", F.pmod(F.xxhash64("cell", "part"), F.col("groups"))).select(
         *BLOCK, "low", "high", "group", _upto("query_groups").alias("query_group"))
     at = ["dim", "query_group", "group"]
-    reached = stage(left.groupBy(*at).cogroup(right.groupBy(*at)).applyInPandas(_reach, REACHED), "ann-reached")
+    schema = f"dim int, cell int, part int, query_id bigint, vec {blocks.schema['vec'].dataType.simpleString()}, half double"
+    reached = stage(left.groupBy(*at).cogroup(right.groupBy(*at)).applyInPandas(_reach, schema), "ann-reached")
 
     copies = reached.groupBy(*BLOCK).agg(F.ceil(F.count("*") / QUERY_ROWS).alias("copies"))
     left = blocks.join(copies, BLOCK).select(*BLOCK, "vec_id", "vec", _upto("copies").alias("copy"))
